@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tierflow.operators.dates import between_dates
 from tierflow.operators.hourly import ELECTRICAL, ENERGY, hourly_avg, hourly_sum, node_dim, state_flags, wide_hourly
-from tierflow.sources.files import table
+from tierflow.sources.files import in_catalog
 
 # Silver tables the wide table is built from.
 TABLES = {
@@ -43,7 +43,7 @@ class SilverTables:
     @classmethod
     def registered(cls, spark: SparkSession, database: str) -> SilverTables:
         """The inputs as catalog tables."""
-        return cls(**{role: table(spark, database, name) for role, name in TABLES.items()})
+        return cls(**{role: in_catalog(spark, database, name) for role, name in TABLES.items()})
 
     def within(self, first: str, last: str) -> SilverTables:
         """The four event tables cut to a range of dates (F2)."""

@@ -136,7 +136,10 @@ def register(
     fmt: str = "parquet",
     use: bool = True,
 ) -> None:
-    """Create schema and external table if missing, then pick up partitions (K7)."""
+    """Create schema and external table if missing, then pick up partitions (K7).
+
+    A registration whose columns are out of date is renewed; the data stays.
+    """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")
     if use:
         spark.sql(f"USE `{database}`")
@@ -148,6 +151,10 @@ def register(
         # The transaction log is the schema.
         spark.sql(f"CREATE TABLE IF NOT EXISTS {target} USING delta LOCATION '{location}'")
         return
+    if spark.catalog.tableExists(target) and not _same_columns(spark.table(target).schema, schema):
+        if spark.catalog.getTable(target).tableType != "EXTERNAL":
+            raise ValueError(f"{target} is a managed table with other columns")
+        spark.sql(f"DROP TABLE {target}")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({columns}) USING {fmt} {layout} LOCATION '{location}'")
     if partition_by:
         spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
@@ -176,6 +183,10 @@ def _counted(df: DataFrame, save: Callable[[DataFrameWriter], None]) -> int:
     return seen.get["rows"]
 
 
+def _same_columns(a: StructType, b: StructType) -> bool:
+    return {f.name: f.dataType for f in a} == {f.name: f.dataType for f in b}
+
+
 def _on_batch_dates(existing: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
     """Stored rows on the batch's dates: a static partition filter while the
     list of dates is short, a semi join beyond that. NULL dates match NULL."""

@@ -3,11 +3,11 @@ from tierflow.sources.files import (
     empty,
     event_stream,
     has_files,
+    in_catalog,
     read_dimension,
     remembered_schema,
     snapshot,
     stored_schema,
-    table,
     table_exists,
 )
 from tierflow.sources.relational import bounded, jdbc_options, query, read_table, statement

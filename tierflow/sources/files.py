@@ -11,7 +11,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tierflow.operators.events import localize_events
 
 # Bound of one micro-batch of a first drain over a large raw folder.
-MAX_BATCH_BYTES = "256g"
+MAX_BATCH_BYTES = str(256 * 1024**3)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
@@ -30,7 +30,7 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def table(spark: SparkSession, database: str, name: str) -> DataFrame:
+def in_catalog(spark: SparkSession, database: str, name: str) -> DataFrame:
     """A registered table."""
     return spark.table(f"`{database}`.`{name}`")
 
