@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Keys are broadcast only while their size, measured on the batch, stays under
@@ -32,18 +32,15 @@ class KeyProfile:
     rows: int
     null_rows: int
     keys: int
+    repeated: int
     lo: Any
     hi: Any
     hottest: int
     width: int
 
-    @property
-    def has_duplicates(self) -> bool:
-        return self.rows - self.null_rows > self.keys
-
-    @property
-    def key_bytes(self) -> int:
-        return self.keys * (self.width + ENTRY_BYTES)
+    def fits(self, keys: int, limit: int) -> bool:
+        """Whether that many keys make a broadcast of at most `limit` bytes."""
+        return keys * (self.width + ENTRY_BYTES) <= limit
 
 
 def key_counts(batch: DataFrame, key: str = "id") -> DataFrame:
@@ -60,6 +57,7 @@ def key_profile(batch: DataFrame, key: str = "id") -> KeyProfile:
             F.coalesce(F.sum(n), F.lit(0)).alias("rows"),
             F.coalesce(F.sum(F.when(k.isNull(), n)), F.lit(0)).alias("null_rows"),
             F.count(k).alias("keys"),
+            F.count(F.when(k.isNotNull() & (n > 1), n)).alias("repeated"),
             F.min(k).alias("lo"),
             F.max(k).alias("hi"),
             F.coalesce(F.max(F.when(k.isNotNull(), n)), F.lit(0)).alias("hottest"),
@@ -75,14 +73,14 @@ def first_per_key(
 ) -> DataFrame:
     """The first row of every key by `order_by`, remaining columns as tie-break (Q1).
 
-    A minimum over one struct: partial aggregation leaves at most one row per
-    key and task before the shuffle, so copies of a hot key never meet in one
-    task, and the survivor does not depend on partitioning or batch packing.
+    Spark limits each key to its first row before the shuffle as well as after
+    it (a partial window group limit), so the copies of a hot key never meet in
+    one task. The survivor does not depend on partitioning or batch packing.
     """
     ahead = [c for c in order_by if c in rows.columns and c != key]
-    rest = [c for c in rows.columns if c != key and c not in ahead]
-    least = rows.groupBy(key).agg(F.min(F.struct(*ahead, *rest)).alias("_row"))
-    return least.select(key, "_row.*").select(rows.columns)
+    rest = [c for c, kind in rows.dtypes if c not in (key, *ahead) and "map<" not in kind and kind != "variant"]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*ahead, *rest))
+    return rows.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
 def absent_rows(
@@ -107,31 +105,54 @@ def absent_rows(
       once duplicates are removed; when they are kept, the hot ones take the
       broadcast form and the others the shuffle.
     """
-    keyed = batch.filter(F.col(key).isNotNull())
-    unkeyed = batch.filter(F.col(key).isNull())
     known = existing.select(key)
-    if profile is not None:
-        known = known.filter(F.col(key).between(profile.lo, profile.hi))
-    candidates = first_per_key(keyed, key, order_by) if dedupe and _may_repeat(profile) else keyed
-
-    if profile is not None and profile.key_bytes <= broadcast_bytes:
-        fresh = _anti_by_broadcast(candidates, known, keyed.select(key).distinct(), key)
-    elif profile is not None and not dedupe and profile.hottest > _hot_limit(profile, hot_rows):
-        hot = key_counts(keyed, key).filter(F.col("n") > _hot_limit(profile, hot_rows)).select(key)
-        fresh = _anti_by_broadcast(_semi(candidates, hot, key), known, hot, key).unionByName(
-            _anti(_anti(candidates, F.broadcast(hot), key), known, key)
+    if profile is None:
+        keyed, keyless = _by_key_presence(batch, key)
+        candidates = first_per_key(keyed, key, order_by) if dedupe else keyed
+        return _anti(candidates, known, key).unionByName(keyless)
+
+    known = known.filter(F.col(key).between(profile.lo, profile.hi))
+    if profile.fits(profile.keys, broadcast_bytes):
+        # Rows without a key match nothing and are not moved: no need to split.
+        rows = _without_copies(batch, key, profile, order_by, broadcast_bytes) if dedupe else batch
+        keys = batch.select(key).filter(F.col(key).isNotNull())
+        return _anti_by_broadcast(rows, known, keys.distinct() if profile.repeated else keys, key)
+
+    keyed, keyless = _by_key_presence(batch, key) if profile.null_rows else (batch, None)
+    limit = max(hot_rows, profile.rows // HOT_FRACTION)
+    if dedupe:
+        fresh = _anti(_without_copies(keyed, key, profile, order_by, broadcast_bytes), known, key)
+    elif profile.hottest > limit:
+        hot = _keys_above(keyed, limit, key)
+        fresh = _anti_by_broadcast(_semi(keyed, hot, key), known, hot, key).unionByName(
+            _anti(_anti(keyed, F.broadcast(hot), key), known, key)
         )
     else:
-        fresh = _anti(candidates, known, key)
-    return fresh.unionByName(unkeyed)
+        fresh = _anti(keyed, known, key)
+    return fresh if keyless is None else fresh.unionByName(keyless)
 
 
-def _may_repeat(profile: KeyProfile | None) -> bool:
-    return profile is None or profile.has_duplicates
+def _by_key_presence(batch: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    return batch.filter(F.col(key).isNotNull()), batch.filter(F.col(key).isNull())
 
 
-def _hot_limit(profile: KeyProfile, hot_rows: int) -> int:
-    return max(hot_rows, profile.rows // HOT_FRACTION)
+def _without_copies(
+    rows: DataFrame, key: str, profile: KeyProfile, order_by: Sequence[str], broadcast_bytes: int
+) -> DataFrame:
+    """One row per key. While the repeated keys are few enough to broadcast,
+    only their rows are shuffled and sorted; the others, and rows without a
+    key, stay in place. Beyond that, `rows` must all have a key."""
+    if not profile.repeated:
+        return rows
+    if profile.fits(profile.repeated, broadcast_bytes):
+        repeated = _keys_above(rows, 1, key)
+        single = _anti(rows, F.broadcast(repeated), key)
+        return single.unionByName(first_per_key(_semi(rows, repeated, key), key, order_by))
+    return first_per_key(rows, key, order_by)
+
+
+def _keys_above(rows: DataFrame, count: int, key: str) -> DataFrame:
+    return key_counts(rows.filter(F.col(key).isNotNull()), key).filter(F.col("n") > count).select(key)
 
 
 def _anti_by_broadcast(rows: DataFrame, known: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -85,6 +85,7 @@ def insert_if_absent(
     fmt: str = "parquet",
     merge_schema: bool = False,
     schema_checked: bool = False,
+    cache: bool = False,
 ) -> int:
     """Append the rows whose key the table does not hold (K3, J1, J2; Q1-Q4).
 
@@ -96,6 +97,10 @@ def insert_if_absent(
     source-file column, those of a file that is stored already are skipped, so
     that a micro-batch delivered twice is stored once.
 
+    The batch is read a few times, first its keys, then its rows. Reading
+    files again is cheaper than storing a wide batch; set `cache` for batches
+    that are costly to compute or would not come out the same again.
+
     One writer per table: the lookup and the append are two steps.
     """
     spark = batch.sparkSession
@@ -103,7 +108,8 @@ def insert_if_absent(
     if not schema_checked:
         check_schema(stored_schema(spark, path, partition_by, fmt), batch.schema, merge_schema)
 
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    if cache:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         profile = key_profile(batch, key)
         if not profile.rows:
@@ -123,7 +129,8 @@ def insert_if_absent(
             lambda w: w.format(fmt).partitionBy(partition_by).mode("append").save(path),
         )
     finally:
-        batch.unpersist()
+        if cache:
+            batch.unpersist()
 
 
 def register(

@@ -149,7 +149,7 @@ ORACLE: dict[str, str] = {
         FROM electrical_h x LEFT JOIN dim d ON x.node_id = d.node_id""",
     ),
     "gold_wide": GOLD,
-    "gold_wide_by_join": GOLD,
+    "gold_wide_by_union": GOLD,
     "gold_from_views": _with(
         _GOLD,
         f"""SELECT x.node_id, x.date, x.hour, d.category, round(coalesce(x.vp1, 0) + coalesce(y.iaepd1, 0), 4) AS total,

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow import operators as op
-from tierflow.operators.hourly import hours_by_join
+from tierflow.operators.hourly import hours_by_union
 from tierflow.plans import flows
 from tierflow.plans.gold import TABLES, gold_wide, publish_views
 from tierflow.session import configure, shared_dir
@@ -214,11 +214,11 @@ def gold_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(gold_wide(t.silver_tables(spark, sf_dir), *t.MONTH))
 
 
-def gold_wide_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table through joins of the four aggregates."""
+def gold_wide_by_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table from a single aggregation."""
     s = t.silver_tables(spark, sf_dir).within(*t.MONTH)
     dim = op.node_dim(s.nodes, s.meters)
-    return _wide(op.wide_hourly(s.electrical, s.energy, s.state, s.temperature, dim, hours_by_join))
+    return _wide(op.wide_hourly(s.electrical, s.energy, s.state, s.temperature, dim, hours_by_union))
 
 
 def gold_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,7 +345,7 @@ QUERIES: dict[str, Query] = {
     "left_hourly": left_hourly,
     "hours_with_nodes": hours_with_nodes,
     "gold_wide": gold_wide_table,
-    "gold_wide_by_join": gold_wide_by_join,
+    "gold_wide_by_union": gold_wide_by_union,
     "gold_from_views": gold_from_views,
     "gold_partition_overwrite": gold_partition_overwrite,
     "registered_table": registered_table,
