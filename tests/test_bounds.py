@@ -1,0 +1,79 @@
+"""Windows and marks."""
+
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow.operators import ingest_window, latest_marks, literal, month_bounds, month_window, next_mark
+from tierflow.sinks import read_mark, record_mark
+
+UTC = timezone.utc
+
+
+def test_backfill_runs_from_midnight_to_midnight():
+    w = ingest_window(("2023-01-01", "2023-01-02"), mark="2020-01-01")
+    assert (literal(w.lo), literal(w.hi)) == ("2023-01-01 00:00:00+00:00", "2023-01-02 00:00:00+00:00")
+    assert not w.scheduled
+
+
+@pytest.mark.parametrize("day", ["20240907", "2024-09-07", date(2024, 9, 7), datetime(2024, 9, 7)])
+def test_spellings_of_a_day(day):
+    assert ingest_window(mark=day, now="2024-09-10").lo == datetime(2024, 9, 7, tzinfo=UTC)
+
+
+def test_scheduled_window():
+    now = datetime(2024, 5, 10, 12, 30, tzinfo=UTC)
+    assert ingest_window(now=now).lo == now - timedelta(days=3)
+    assert ingest_window(mark="20240501", now=now).lo == datetime(2024, 5, 1, tzinfo=UTC)
+    assert ingest_window(mark="20240501", end="20240505", now=now).hi == datetime(2024, 5, 5, tzinfo=UTC)
+    assert ingest_window(now=now).scheduled
+
+
+def test_other_zones_are_converted():
+    local = datetime(2024, 5, 10, 20, tzinfo=timezone(timedelta(hours=-5)))
+    assert ingest_window(now=local).hi == datetime(2024, 5, 11, 1, tzinfo=UTC)
+
+
+def test_next_load_overlaps_the_day_it_ended_on():
+    w = ingest_window(now=datetime(2024, 5, 10, 12, 30, tzinfo=UTC))
+    assert next_mark(w) == datetime(2024, 5, 10, tzinfo=UTC)
+
+
+@pytest.mark.parametrize(
+    ("day", "expected"),
+    [
+        ("2024-02-10", ("2024-02-01", "2024-02-29")),
+        ("2023-02-28", ("2023-02-01", "2023-02-28")),
+        ("2024-12-31", ("2024-12-01", "2024-12-31")),
+        (date(2024, 4, 1), ("2024-04-01", "2024-04-30")),
+    ],
+)
+def test_months(spark, day, expected):
+    assert month_window(day) == expected
+    first, last = month_bounds(F.lit(str(day)).cast("date"))
+    assert tuple(spark.range(1).select(first, last).first()) == expected
+
+
+def test_this_month():
+    first, last = month_window()
+    assert first <= datetime.now(UTC).date().isoformat() <= last
+
+
+def test_latest_marks(spark):
+    rows = [("a", 1, 5, 10), ("a", 2, 4, 11), ("b", 0, 9, 3)]
+    got = latest_marks(spark.createDataFrame(rows, "ingest string, lo int, hi int, run_ts int"))
+    assert sorted(map(tuple, got.collect())) == [("a", 2, 4, 11), ("b", 0, 9, 3)]
+
+
+def test_marks_are_kept_per_ingest(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    assert read_mark(spark, path, "a") is None
+    record_mark(spark, path, "a", ingest_window(now="2024-05-01T10:00:00"))
+    record_mark(spark, path, "b", ingest_window(now="2024-06-01T10:00:00"))
+    record_mark(spark, path, "a", ingest_window(now="2024-05-02T10:00:00"))
+    assert read_mark(spark, path, "a") == datetime(2024, 5, 2, tzinfo=UTC)
+    assert read_mark(spark, path, "b") == datetime(2024, 6, 1, tzinfo=UTC)
+    assert read_mark(spark, path, "c") is None

@@ -43,7 +43,7 @@ def replace_distinct(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "date", fmt: str = "parquet") -> int:
     """Replace only the partitions that occur in the frame (K5)."""
     return _counted(
-        df.hint("rebalance", partition_by),
+        _by_partition(df, partition_by),
         lambda w: w.format(fmt)
         .partitionBy(partition_by)
         .mode("overwrite")
@@ -114,18 +114,17 @@ def insert_if_absent(
         profile = key_profile(batch, key)
         if not profile.rows:
             return 0
-        wanted = dict.fromkeys([key, partition_by, *([lineage] if lineage else [])])
-        existing = snapshot(spark, path, StructType([batch.schema[c] for c in wanted]), fmt)
-        known = existing
-        if scope == "partition":
-            known = _on_batch_dates(existing, batch, partition_by)
+        rows = batch
         if lineage and profile.null_rows:
-            batch_now = _without_stored_files(batch, existing, key, lineage, partition_by)
+            stored = _on_batch_dates(spark, path, batch, [lineage, key], partition_by, fmt)
+            rows = _without_stored_files(batch, stored, key, lineage)
+        if scope == "partition":
+            known = _on_batch_dates(spark, path, batch, [key], partition_by, fmt)
         else:
-            batch_now = batch
-        fresh = absent_rows(batch_now, known, key, profile, dedupe_batch, order_by=("time", "_filename"))
+            known = snapshot(spark, path, _fields(batch, [key, partition_by]), fmt)
+        fresh = absent_rows(rows, known, key, profile, dedupe_batch, order_by=("time", "_filename"))
         return _counted(
-            fresh.hint("rebalance", partition_by),
+            _by_partition(fresh, partition_by),
             lambda w: w.format(fmt).partitionBy(partition_by).mode("append").save(path),
         )
     finally:
@@ -194,33 +193,50 @@ def _same_columns(a: StructType, b: StructType) -> bool:
     return {f.name: f.dataType for f in a} == {f.name: f.dataType for f in b}
 
 
-def _on_batch_dates(existing: DataFrame, batch: DataFrame, partition_by: str) -> DataFrame:
-    """Stored rows on the batch's dates: a static partition filter while the
-    list of dates is short, a semi join beyond that. NULL dates match NULL."""
+def _by_partition(df: DataFrame, partition_by: str) -> DataFrame:
+    """Rows gathered by partition value, in files of about the advisory size.
+
+    The adaptive rebalance splits a value that holds much of the data. Without
+    adaptive execution it could not, so rows then stay where they are.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", partition_by)
+
+
+def _fields(df: DataFrame, names: list[str]) -> StructType:
+    return StructType([df.schema[n] for n in dict.fromkeys(names)])
+
+
+def _on_batch_dates(
+    spark: SparkSession, path: str, batch: DataFrame, columns: list[str], partition_by: str, fmt: str
+) -> DataFrame:
+    """Columns of the stored rows on the batch's dates (F3, C2): a list of
+    dates while there are not too many, a semi join beyond that. Rows without
+    a date count as one more date."""
+    schema = _fields(batch, [*columns, partition_by])
     dates = date_list(batch.select(F.col(partition_by).alias("date")))
-    at = F.col(partition_by)
     if dates is not None:
-        return existing.filter(at.isin(dates) | at.isNull())
+        return snapshot(spark, path, schema, fmt, partition_by, [*dates, None])
+    existing = snapshot(spark, path, schema, fmt)
     keys = batch.select(partition_by).distinct()
     dated = existing.join(keys, partition_by, "left_semi").select(existing.columns)
-    return dated.unionByName(existing.filter(at.isNull()))
+    return dated.unionByName(existing.filter(F.col(partition_by).isNull()))
 
 
-def _without_stored_files(
-    batch: DataFrame, existing: DataFrame, key: str, lineage: str, partition_by: str
-) -> DataFrame:
+def _without_stored_files(batch: DataFrame, stored: DataFrame, key: str, lineage: str) -> DataFrame:
     """The batch less its keyless rows from files whose keyless rows are stored.
 
-    A file belongs to one micro-batch and its rows to fixed dates, so looking
-    at the batch's own dates is exact.
+    A file belongs to one micro-batch and its rows to fixed dates, so `stored`
+    need only hold the batch's own dates.
     """
     keyless = F.col(key).isNull()
     files = batch.filter(keyless).select(lineage).distinct()
-    stored = _on_batch_dates(existing.filter(keyless), batch, partition_by).select(lineage)
+    seen = stored.filter(keyless).select(lineage)
     if files.limit(MAX_FILE_LIST + 1).count() <= MAX_FILE_LIST:
-        seen = F.broadcast(stored.join(F.broadcast(files), lineage, "left_semi").distinct())
+        seen = F.broadcast(seen.join(F.broadcast(files), lineage, "left_semi").distinct())
     else:
-        seen = stored.distinct()
+        seen = seen.distinct()
     return batch.filter(~keyless).unionByName(
         batch.filter(keyless).join(seen, lineage, "left_anti").select(batch.columns)
     )

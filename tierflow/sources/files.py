@@ -3,15 +3,27 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tierflow.operators.events import localize_events
 
 # Bound of one micro-batch of a first drain over a large raw folder.
 MAX_BATCH_BYTES = str(256 * 1024**3)
+# Partitions opened by folder; each costs the driver one look-up.
+MAX_FOLDER_LIST = 500
+# Partition values whose folder name is the value itself.
+PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
+# Fixed value: folder name of the partition without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Clock difference allowed between this machine and the file store.
+CLOCK_MARGIN = timedelta(hours=1)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
@@ -40,13 +52,31 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def snapshot(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
-    """A stored table as of now.
+def snapshot(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    fmt: str = "parquet",
+    partition_by: str | None = None,
+    values: Sequence[str | None] | None = None,
+) -> DataFrame:
+    """A stored table as of now, or its partitions with the given values.
 
     The schema is passed in: it keeps the partition column text, and an empty
-    table reads as no rows.
+    table reads as no rows. A short list of values opens only their folders,
+    so that the cost does not grow with the table; longer lists and other
+    formats list the table and prune it by a filter.
     """
-    return spark.read.schema(schema).format(fmt).load(path)
+    reader = spark.read.schema(schema).format(fmt)
+    if values is None:
+        return reader.load(path)
+    if fmt == "delta" or len(values) > MAX_FOLDER_LIST or not all(v is None or PLAIN.fullmatch(v) for v in values):
+        at = F.col(partition_by)
+        wanted = at.isin([v for v in values if v is not None])
+        return reader.load(path).filter(wanted | at.isNull() if None in values else wanted)
+    folders = [f"{path}/{partition_by}={NO_VALUE if v is None else v}" for v in values]
+    present = [f for f in folders if has_files(spark, f)]
+    return reader.option("basePath", path).load(present) if present else empty(spark, schema)
 
 
 def stored_schema(
@@ -102,31 +132,47 @@ def remembered_schema(
 ) -> StructType:
     """Schema of a raw folder, inferred once and then kept (T5).
 
-    File footers are merged by Spark tasks. Columns that appear later raise
-    rather than vanish; `evolve` accepts and remembers them.
+    Spark tasks merge the footers: of all files the first time, later of the
+    files that came since. New columns raise rather than vanish; `evolve`
+    accepts and remembers them.
     """
-    try:
-        found = spark.read.option("mergeSchema", "true").format(fmt).load(path).schema
-    except Exception as e:
+    kept, checked = _recall(spark, memory)
+    now = datetime.now(timezone.utc)
+    found = _merged_schema(spark, path, fmt, checked)
+    if kept is None and found is None:
         raise RuntimeError(
-            f"Error loading and transforming event data from the Bronze layer, error: {e}"
-        ) from e
-    kept = _load_schema(spark, memory)
+            f"Error loading and transforming event data from the Bronze layer, error: no files in {path}"
+        )
     if kept is not None:
-        added = [f for f in found.fields if f.name not in kept.names]
-        if not added:
-            return kept
-        if not evolve:
+        added = [f for f in found.fields if f.name not in kept.names] if found else []
+        if added and not evolve:
             raise ValueError(
                 f"columns {[f.name for f in added]} in {path} are not in the schema kept at {memory}"
             )
         found = StructType([*kept.fields, *added])
-    spark.createDataFrame([(found.json(),)], "value string").coalesce(1).write.mode("overwrite").text(memory)
+    note = json.dumps({"schema": found.jsonValue(), "checked": now.isoformat()})
+    spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(memory)
     return found
 
 
-def _load_schema(spark: SparkSession, memory: str) -> StructType | None:
+def _merged_schema(spark: SparkSession, path: str, fmt: str, since: datetime | None) -> StructType | None:
+    """Union of the schemas of the files in a folder, or None without files."""
+    reader = spark.read.option("mergeSchema", "true").format(fmt)
+    if since is not None:
+        reader = reader.option("modifiedAfter", (since - CLOCK_MARGIN).strftime("%Y-%m-%dT%H:%M:%S"))
+        reader = reader.option("timeZone", "UTC")
+    try:
+        return reader.load(path).schema
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise RuntimeError(
+            f"Error loading and transforming event data from the Bronze layer, error: {e}"
+        ) from e
+
+
+def _recall(spark: SparkSession, memory: str) -> tuple[StructType | None, datetime | None]:
     if not has_files(spark, memory):
-        return None
-    row = spark.read.text(memory, wholetext=True).first()
-    return StructType.fromJson(json.loads(row["value"]))
+        return None, None
+    note = json.loads(spark.read.text(memory, wholetext=True).first()["value"])
+    return StructType.fromJson(note["schema"]), datetime.fromisoformat(note["checked"])
