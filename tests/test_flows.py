@@ -91,6 +91,24 @@ def test_events(spark, spec):
     ]
 
 
+def test_new_source_column(spark, spec):
+    """Refused until accepted, then part of the table for good."""
+    fill_source(spark, spec, (1, "2024-01-02 13:00:00", 1))
+    source_to_bronze(spark, spec, now="2024-01-02T14:00:00")
+    events_to_silver(spark, spec)
+    wider = dataclasses.replace(spec, columns={**spec.columns, "other": "string"})
+    fill_source(spark, wider, (2, "2024-01-02 13:00:00", 2), mode="append")
+    source_to_bronze(spark, wider, now="2024-01-02T15:00:00")
+    with pytest.raises(ValueError, match="other"):
+        events_to_silver(spark, wider)
+    events_to_silver(spark, wider, evolve=True)
+    fill_source(spark, wider, (3, "2024-01-03 13:00:00", 2), mode="append")
+    source_to_bronze(spark, wider, now="2024-01-03T15:00:00")
+    events_to_silver(spark, wider)
+    got = in_catalog(spark, spec.db, "readings").orderBy("id").select("id", "other").collect()
+    assert [tuple(r) for r in got] == [(1, None), (2, "x"), (3, "x")]
+
+
 def test_dimension(spark, spec):
     spec = dataclasses.replace(spec, delta=None)
     fill_source(spark, spec, (1, None, 1), (2, None, 2))

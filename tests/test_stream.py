@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +125,16 @@ def test_drift_is_refused_before_the_stream_starts(spark, tmp_path):
     events = event_stream(spark, f"{t.root}/bronze", spark.read.parquet(f"{t.root}/bronze").schema)
     with pytest.raises(RuntimeError, match="unknown column more"):
         ingest_events(events.withColumn("more", F.lit(1)), f"{t.root}/silver", f"{t.root}/c2")
+
+
+def test_files_with_an_old_timestamp_are_not_skipped(spark, tmp_path):
+    t = Tiers(spark, tmp_path)
+    t.land((1, DAY, 1))
+    t.drain()
+    before = set(Path(t.root, "bronze").glob("*.parquet"))
+    t.land((2, DAY, 2))
+    for f in set(Path(t.root, "bronze").glob("*.parquet")) - before:
+        month_ago = f.stat().st_mtime - 30 * 86400
+        os.utime(f, (month_ago, month_ago))
+    t.drain()
+    assert [r[0] for r in t.rows()] == [1, 2]

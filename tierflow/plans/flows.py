@@ -13,7 +13,7 @@ from tierflow.plans.gold import SilverTables, gold_wide
 from tierflow.session import configure
 from tierflow.sinks.tables import append, overwrite_partitions, read_mark, record_mark, register, replace_distinct
 from tierflow.sources.control import Spec
-from tierflow.sources.files import event_stream, read_dimension, remembered_schema, stored_schema
+from tierflow.sources.files import event_stream, read_dimension, remembered_schema
 from tierflow.sources.relational import read_table
 from tierflow.streaming.ingest import drain, ingest_events
 
@@ -104,7 +104,6 @@ def silver_to_gold(
     wide = gold_wide(SilverTables.registered(spark, spec.db), first, last)
     path = spec.gold_path(name)
     rows = overwrite_partitions(wide, path, fmt=spec.gold_format)
-    schema = stored_schema(spark, path, fmt=spec.gold_format) or wide.schema
-    register(spark, spec.db, name, path, schema, "date", spec.gold_format)
+    register(spark, spec.db, name, path, wide.schema, "date", spec.gold_format)
     log.info("%d rows for %s to %s in %s.%s", rows, first, last, spec.db, name)
     return rows

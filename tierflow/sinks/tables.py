@@ -74,6 +74,22 @@ def check_schema(stored: StructType | None, incoming: StructType, merge_schema:
         raise ValueError("batch does not fit the stored table: " + "; ".join(problems))
 
 
+def check_stored(
+    spark: SparkSession,
+    path: str,
+    incoming: StructType,
+    partition_by: str = "date",
+    fmt: str = "parquet",
+    merge_schema: bool = False,
+) -> None:
+    """:func:`check_schema` against a stored table. One file speaks for the
+    table; only when the batch does not fit that one are all looked at."""
+    try:
+        check_schema(stored_schema(spark, path, partition_by, fmt), incoming, merge_schema)
+    except ValueError:
+        check_schema(stored_schema(spark, path, partition_by, fmt, merge=True), incoming, merge_schema)
+
+
 def insert_if_absent(
     batch: DataFrame,
     path: str,
@@ -106,7 +122,7 @@ def insert_if_absent(
     spark = batch.sparkSession
     create_if_missing(spark, path, batch.schema, partition_by, fmt)
     if not schema_checked:
-        check_schema(stored_schema(spark, path, partition_by, fmt), batch.schema, merge_schema)
+        check_stored(spark, path, batch.schema, partition_by, fmt, merge_schema)
 
     if cache:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)

@@ -16,6 +16,9 @@ from tierflow.operators.events import localize_events
 
 # Bound of one micro-batch of a first drain over a large raw folder.
 MAX_BATCH_BYTES = str(256 * 1024**3)
+# Files are known by name, not by age: one that arrives with an old timestamp
+# counts as new all the same. Spark's default forgets them after a week.
+MAX_FILE_AGE = "3650d"
 # Partitions opened by folder; each costs the driver one look-up.
 MAX_FOLDER_LIST = 500
 # Partition values whose folder name is the value itself.
@@ -80,12 +83,17 @@ def snapshot(
 
 
 def stored_schema(
-    spark: SparkSession, path: str, partition_by: str | None = "date", fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    partition_by: str | None = "date",
+    fmt: str = "parquet",
+    merge: bool = False,
 ) -> StructType | None:
-    """Schema of a stored table, or None while it has no files."""
+    """Schema of a stored table, or None while it has no files: that of one
+    file, or with `merge` the union over all."""
     if not has_files(spark, path):
         return None
-    found = spark.read.format(fmt).load(path).schema
+    found = spark.read.option("mergeSchema", str(merge).lower()).format(fmt).load(path).schema
     return StructType(
         [StructField(f.name, StringType()) if f.name == partition_by else f for f in found.fields]
     )
@@ -114,6 +122,7 @@ def event_stream(
     options = dict(options or {})
     if not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & options.keys():
         options["maxBytesPerTrigger"] = MAX_BATCH_BYTES
+    options.setdefault("maxFileAge", MAX_FILE_AGE)
     try:
         raw = spark.readStream.schema(schema).format(fmt).options(**options).load(path)
         return localize_events(raw, filename=raw["_metadata.file_path"])

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tierflow.sinks.tables import check_schema, insert_if_absent
-from tierflow.sources.files import stored_schema
+from tierflow.sinks.tables import check_stored, insert_if_absent
 
 
 def ingest_events(
@@ -37,7 +36,7 @@ def ingest_events(
         )
 
     try:
-        check_schema(stored_schema(events.sparkSession, path, fmt=fmt), events.schema, merge_schema)
+        check_stored(events.sparkSession, path, events.schema, fmt=fmt, merge_schema=merge_schema)
         return (
             events.writeStream.foreachBatch(insert)
             .option("checkpointLocation", checkpoint)
