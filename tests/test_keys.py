@@ -49,7 +49,7 @@ def expected(batch, stored_ids, dedupe):
 FORMS = {
     "few keys": {},
     "many keys": {"broadcast_bytes": 0},
-    "few repeated keys": {"broadcast_bytes": 100 * 67},
+    "few repeated keys": {"broadcast_bytes": 100 * 80},
     "hot keys": {"broadcast_bytes": 0, "hot_rows": 20},
 }
 
@@ -74,7 +74,7 @@ def test_forms_agree_with_brute_force(spark, form, dedupe):
 
 def test_profile(spark):
     p = key_profile(frame(spark, [(1, 1, 0), (1, 2, 0), (5, 1, 0), (None, 1, 0)]))
-    assert (p.rows, p.null_rows, p.keys, p.repeated, p.lo, p.hi, p.hottest, p.width) == (4, 1, 2, 1, 1, 5, 2, 1)
+    assert (p.rows, p.null_rows, p.keys, p.repeated, p.lo, p.hi, p.hottest, p.width) == (4, 1, 2, 1, 1, 5, 2, 16)
 
 
 def test_profile_of_nothing(spark):
@@ -85,6 +85,7 @@ def test_profile_of_nothing(spark):
 def test_text_keys(spark):
     df = spark.createDataFrame([("a", 1), ("bb", 2), (None, 3)], "id string, v int")
     known = spark.createDataFrame([("bb",)], "id string")
+    assert key_profile(df).width == 2
     out = absent_rows(df, known, profile=key_profile(df), order_by=["v"])
     assert sorted(r["v"] for r in out.collect()) == [1, 3]
 

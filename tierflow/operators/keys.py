@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Memory per key of a broadcast hash table on top of the key itself.
 ENTRY_BYTES = 64
+# Bytes of a key that is neither text nor binary, at most.
+FIXED_WIDTH = 16
 # A key is hot when it has more rows than both of these allow. At most
 # HOT_FRACTION keys can be hot, which bounds what is broadcast for them.
 HOT_FRACTION = 1_000
@@ -51,6 +53,8 @@ def key_counts(batch: DataFrame, key: str = "id") -> DataFrame:
 def key_profile(batch: DataFrame, key: str = "id") -> KeyProfile:
     """Profile of the batch's keys: one action, one row to the driver."""
     k, n = F.col(key), F.col("n")
+    sized = batch.schema[key].dataType.typeName() in ("string", "binary")
+    width = F.max(F.octet_length(k)) if sized else F.lit(FIXED_WIDTH)
     row = (
         key_counts(batch, key)
         .agg(
@@ -61,7 +65,7 @@ def key_profile(batch: DataFrame, key: str = "id") -> KeyProfile:
             F.min(k).alias("lo"),
             F.max(k).alias("hi"),
             F.coalesce(F.max(F.when(k.isNotNull(), n)), F.lit(0)).alias("hottest"),
-            F.coalesce(F.max(F.octet_length(k.cast("string"))), F.lit(0)).alias("width"),
+            F.coalesce(width, F.lit(0)).alias("width"),
         )
         .first()
     )

@@ -116,7 +116,7 @@ ORACLE: dict[str, str] = {
     ),
     "insert_if_absent_null_ids": _with(
         ["ev", "early", "late"],
-        f"""SELECT CASE WHEN event_type IN ('view', 'click') THEN id END AS id, time, node_id, event_type, value, date
+        f"""SELECT CASE WHEN event_type IN ('view', 'click') THEN CAST(id AS VARCHAR) END AS id, time, node_id, event_type, value, date
         FROM (SELECT {_EVENT_OUT_ROUNDED} FROM (SELECT id, t, node_id, event_type, value, date FROM early UNION ALL
         SELECT * FROM late WHERE event_type NOT IN ('view', 'click') OR id NOT IN (SELECT id FROM early)))""",
     ),
@@ -139,7 +139,7 @@ ORACLE: dict[str, str] = {
     ),
     "left_hourly": _with(
         [n for n in _GOLD if n not in ("energy", "energy_h", "dim")],
-        f"""SELECT x.node_id, x.date, x.hour, round(vp1, 4) AS vp1, {_each(FLAGS, 's.{0}')}, round(temperature, 6) AS temperature
+        f"""SELECT x.node_id, x.date, x.hour, round(vp1, 4) AS vp1, {_each(FLAGS, 'CAST(s.{0} AS VARCHAR) AS {0}')}, round(temperature, 6) AS temperature
         FROM electrical_h x LEFT JOIN state_h s ON x.node_id = s.node_id AND x.date = s.date AND x.hour = s.hour
         LEFT JOIN temperature_h w ON x.node_id = w.node_id AND x.date = w.date AND x.hour = w.hour""",
     ),

@@ -1,7 +1,8 @@
 """One query per operator, sink and flow, over whole benchmark tables.
 
-Doubles are rounded because the order of additions is open, times are given as
-text, and everything computed has a name, so that any engine can be compared.
+Doubles are rounded because the order of additions is open, times and whole
+numbers or flags that may be NULL are given as text, and everything computed has
+a name, so that any engine can be compared.
 """
 
 from __future__ import annotations
@@ -120,7 +121,7 @@ def insert_if_absent_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def insert_if_absent_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where a third or so of the rows have no key: all of those stay (Q2)."""
     keyless = F.when(F.col("event_type").isin("view", "click"), F.col("id"))
-    return _inserted(spark, [b.withColumn("id", keyless) for b in _batches(spark, sf_dir)])
+    return _as_text(_inserted(spark, [b.withColumn("id", keyless) for b in _batches(spark, sf_dir)]), "id")
 
 
 def insert_if_absent_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +182,7 @@ def state_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def node_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes with a meter."""
-    return _text_flag(op.node_dim(t.nodes(spark, sf_dir), t.meters(spark, sf_dir)))
+    return _as_text(op.node_dim(t.nodes(spark, sf_dir), t.meters(spark, sf_dir)), "archived")
 
 
 def inner_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,14 +200,14 @@ def left_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     hours = op.hourly_sum(t.electrical(events), ["vp1"])
     hours = op.left_hourly(hours, op.state_flags(t.state(events)))
     hours = op.left_hourly(hours, op.hourly_avg(t.temperature(events)))
-    return _rounded(_rounded(hours, ["vp1"]), ["temperature"], 6)
+    return _as_text(_rounded(_rounded(hours, ["vp1"]), ["temperature"], 6), *op.FLAGS)
 
 
 def hours_with_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours with node attributes where the node is known."""
     hours = op.hourly_sum(t.electrical(t.silver_events(spark, sf_dir)), ["vp1"])
     dim = op.node_dim(t.nodes(spark, sf_dir), t.meters(spark, sf_dir))
-    return _text_flag(_rounded(op.with_nodes(hours, dim), ["vp1"]))
+    return _as_text(_rounded(op.with_nodes(hours, dim), ["vp1"]), "archived")
 
 
 def gold_wide_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,8 +421,8 @@ def _text_times(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") for c in columns})
 
 
-def _text_flag(df: DataFrame) -> DataFrame:
-    return df.withColumn("archived", F.col("archived").cast("string"))
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 def _rounded(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFrame:
@@ -430,4 +431,4 @@ def _rounded(df: DataFrame, columns: Sequence[str], digits: int = 4) -> DataFram
 
 def _wide(df: DataFrame) -> DataFrame:
     measures = (*op.ELECTRICAL, *op.ENERGY)
-    return _text_flag(_rounded(_rounded(df, measures), ["Temperature"], 6))
+    return _as_text(_rounded(_rounded(df, measures), ["Temperature"], 6), "archived")
