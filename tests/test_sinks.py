@@ -126,3 +126,13 @@ def test_registration_follows_the_schema(spark, tmp_path, database):
     register(spark, database, "d", path, wider.schema, use=False)
     assert in_catalog(spark, database, "d").columns == ["id", "time", "extra"]
     assert in_catalog(spark, database, "d").count() == 3
+
+
+def test_without_adaptive_execution(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert overwrite_partitions(dated(spark, (1, 1, "2024-01-01"), (2, 1, "2024-01-02")), path) == 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert snapshot(spark, path, dated(spark).schema).count() == 2

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierflow import errors
 from tierflow.operators.bounds import Window, latest_marks, next_mark
 from tierflow.operators.dates import date_list
 from tierflow.operators.keys import absent_rows, key_profile
@@ -26,7 +27,7 @@ def append(df: DataFrame, path: str) -> int:
     try:
         return _counted(df, lambda w: w.mode("append").parquet(path))
     except Exception as e:
-        raise RuntimeError(f"Error writing data to the Bronze layer, error: {e}") from e
+        raise RuntimeError(errors.WRITE_BRONZE.format(cause=e)) from e
 
 
 def replace_distinct(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -37,7 +38,7 @@ def replace_distinct(df: DataFrame, path: str, fmt: str = "parquet") -> int:
             lambda w: w.mode("overwrite").format(fmt).option("overwriteSchema", "true").save(path),
         )
     except Exception as e:
-        raise RuntimeError(f"Error writing dimension data to the Silver layer, error: {e}") from e
+        raise RuntimeError(errors.WRITE_DIMENSION.format(cause=e)) from e
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "date", fmt: str = "parquet") -> int:

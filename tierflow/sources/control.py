@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Row, SparkSession
 
+from tierflow import errors
+
 # Field names of the three documents. Maps stay maps instead of
 # being inferred as structs, so any column or option name is accepted.
 ENVIRONMENT = (
@@ -76,12 +78,10 @@ def tier_root(env: Row, tier: str) -> str:
 def load_spec(spark: SparkSession, ingest: str, environment: str, ingests: str, connectors: str) -> Spec:
     """Spec of one ingest from the environment file, the folder of ingest
     documents and the folder of connector documents."""
-    env = _document(spark, environment, ENVIRONMENT, "environment medallion configuration")
-    doc = _document(spark, f"{ingests.rstrip('/')}/{ingest}.json", INGEST, "ingestion configuration")
+    env = _document(spark, environment, ENVIRONMENT, errors.ENVIRONMENT)
+    doc = _document(spark, f"{ingests.rstrip('/')}/{ingest}.json", INGEST, errors.INGEST)
     source = doc["source"]
-    connector = _document(
-        spark, f"{connectors.rstrip('/')}/{source['connector']}", CONNECTOR, "connector configuration"
-    )
+    connector = _document(spark, f"{connectors.rstrip('/')}/{source['connector']}", CONNECTOR, errors.CONNECTOR)
     calendar = source["calendar"] or Row(start_date=None, end_date=None)
     sink = (doc["sink"] and doc["sink"]["source"]) or Row(format=None, options=None)
     return Spec(
@@ -104,8 +104,8 @@ def load_spec(spark: SparkSession, ingest: str, environment: str, ingests: str,
     )
 
 
-def _document(spark: SparkSession, path: str, schema: str, what: str) -> Row:
+def _document(spark: SparkSession, path: str, schema: str, message: str) -> Row:
     try:
         return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").collect()[0]
     except Exception as e:
-        raise RuntimeError(f"Error loading {what} file: {e}") from e
+        raise RuntimeError(message.format(cause=e)) from e

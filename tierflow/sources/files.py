@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tierflow import errors
 from tierflow.operators.events import localize_events
 
 # Bound of one micro-batch of a first drain over a large raw folder.
@@ -104,7 +105,7 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except Exception as e:
-        raise RuntimeError(f"Error loading dimension data from the Bronze layer, error: {e}") from e
+        raise RuntimeError(errors.LOAD_DIMENSION.format(cause=e)) from e
 
 
 def event_stream(
@@ -127,9 +128,7 @@ def event_stream(
         raw = spark.readStream.schema(schema).format(fmt).options(**options).load(path)
         return localize_events(raw, filename=raw["_metadata.file_path"])
     except Exception as e:
-        raise RuntimeError(
-            f"Error loading and transforming event data from the Bronze layer, error: {e}"
-        ) from e
+        raise RuntimeError(errors.LOAD_EVENTS.format(cause=e)) from e
 
 
 def remembered_schema(
@@ -149,9 +148,7 @@ def remembered_schema(
     now = datetime.now(timezone.utc)
     found = _merged_schema(spark, path, fmt, checked)
     if kept is None and found is None:
-        raise RuntimeError(
-            f"Error loading and transforming event data from the Bronze layer, error: no files in {path}"
-        )
+        raise RuntimeError(errors.LOAD_EVENTS.format(cause=f"no files in {path}"))
     if kept is not None:
         added = [f for f in found.fields if f.name not in kept.names] if found else []
         if added and not evolve:
@@ -175,9 +172,7 @@ def _merged_schema(spark: SparkSession, path: str, fmt: str, since: datetime | N
     except AnalysisException as e:
         if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
-        raise RuntimeError(
-            f"Error loading and transforming event data from the Bronze layer, error: {e}"
-        ) from e
+        raise RuntimeError(errors.LOAD_EVENTS.format(cause=e)) from e
 
 
 def _recall(spark: SparkSession, memory: str) -> tuple[StructType | None, datetime | None]:

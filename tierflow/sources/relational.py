@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierflow import errors
 from tierflow.operators.bounds import Window, literal
 
 # Rows per round trip; some drivers otherwise load a whole result into memory.
@@ -71,7 +72,7 @@ def query(
     try:
         return spark.read.format("jdbc").options(**jdbc_options(fmt, options, sql, split_by, window)).load()
     except Exception as e:
-        raise RuntimeError(f"Error loading data with the SQL statement: {sql}, error: {e}") from e
+        raise RuntimeError(errors.LOAD_SOURCE.format(sql=sql, cause=e)) from e
 
 
 def read_table(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tierflow import errors
 from tierflow.sinks.tables import check_stored, insert_if_absent
 
 
@@ -44,7 +45,7 @@ def ingest_events(
             .start()
         )
     except Exception as e:
-        raise RuntimeError(f"Error writing event data to the Silver layer, error: {e}") from e
+        raise RuntimeError(errors.WRITE_EVENTS.format(cause=e)) from e
 
 
 def drain(query: StreamingQuery) -> None:
@@ -52,4 +53,4 @@ def drain(query: StreamingQuery) -> None:
     try:
         query.awaitTermination()
     except Exception as e:
-        raise RuntimeError(f"Error writing event data to the Silver layer, error: {e}") from e
+        raise RuntimeError(errors.WRITE_EVENTS.format(cause=e)) from e
