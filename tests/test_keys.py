@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.operators.keys import absent_rows, first_per_key, key_profile
+from tierflow.operators.keys import absent_rows, broadcast_size, first_per_key, in_key_range, key_profile
 from tierflow.sinks import insert_if_absent
 from tierflow.sinks.tables import _on_batch_dates
 from tierflow.sources import snapshot
@@ -51,6 +51,8 @@ FORMS = {
     "many keys": {"broadcast_bytes": 0},
     "few repeated keys": {"broadcast_bytes": 100 * 80},
     "hot keys": {"broadcast_bytes": 0, "hot_rows": 20},
+    "few stored keys": {"broadcast_bytes": 0, "known_size": 0},
+    "few stored and few repeated keys": {"broadcast_bytes": 100 * 80, "known_size": 8000},
 }
 
 
@@ -77,6 +79,26 @@ def test_profile(spark):
     assert (p.rows, p.null_rows, p.keys, p.repeated, p.lo, p.hi, p.hottest, p.width) == (4, 1, 2, 1, 1, 5, 2, 16)
 
 
+def test_size_of_stored_keys(spark):
+    p = key_profile(frame(spark, [(2, 1, 0), (5, 1, 0)]))
+    known = spark.createDataFrame([(i,) for i in (1, 2, 3, 5, 6, None)], KEYS_SCHEMA)
+    assert broadcast_size(in_key_range(known, "id", p), "id") == 3 * 80
+    assert broadcast_size(spark.createDataFrame([("ab",), ("abcd",)], "id string"), "id") == 2 * 68
+    assert broadcast_size(known.limit(0), "id") == 0
+
+
+def test_few_stored_keys_leave_a_large_batch_in_place(spark, tmp_path):
+    """As in a back-fill: the batch is large, the stored keys lie elsewhere."""
+    path = str(tmp_path / "b")
+    frame(spark, [(i, 2, 1) for i in range(100)]).write.parquet(path)
+    batch = spark.read.parquet(path)
+    known = spark.createDataFrame([(5,), (1000,)], KEYS_SCHEMA)
+    out = absent_rows(batch, known, profile=key_profile(batch), broadcast_bytes=160, known_size=80)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert out.count() == 99
+
+
 def test_profile_of_nothing(spark):
     p = key_profile(frame(spark, []))
     assert (p.rows, p.null_rows, p.keys, p.hottest) == (0, 0, 0, 0)

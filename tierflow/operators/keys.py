@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Keys are broadcast only while their size, measured on the batch, stays under
@@ -53,8 +53,6 @@ def key_counts(batch: DataFrame, key: str = "id") -> DataFrame:
 def key_profile(batch: DataFrame, key: str = "id") -> KeyProfile:
     """Profile of the batch's keys: one action, one row to the driver."""
     k, n = F.col(key), F.col("n")
-    sized = batch.schema[key].dataType.typeName() in ("string", "binary")
-    width = F.max(F.octet_length(k)) if sized else F.lit(FIXED_WIDTH)
     row = (
         key_counts(batch, key)
         .agg(
@@ -65,13 +63,31 @@ def key_profile(batch: DataFrame, key: str = "id") -> KeyProfile:
             F.min(k).alias("lo"),
             F.max(k).alias("hi"),
             F.coalesce(F.max(F.when(k.isNotNull(), n)), F.lit(0)).alias("hottest"),
-            F.coalesce(width, F.lit(0)).alias("width"),
+            _width(batch, key).alias("width"),
         )
         .first()
     )
     return KeyProfile(**row.asDict())
 
 
+def in_key_range(existing: DataFrame, key: str, profile: KeyProfile) -> DataFrame:
+    """Stored keys between the least and the greatest of the batch."""
+    return existing.select(key).filter(F.col(key).between(profile.lo, profile.hi))
+
+
+def broadcast_size(keys: DataFrame, key: str) -> int:
+    """Bytes a broadcast of these keys takes; one key-only scan."""
+    row = keys.agg(F.count(F.lit(1)).alias("n"), _width(keys, key).alias("width")).first()
+    return row["n"] * (row["width"] + ENTRY_BYTES)
+
+
+def _width(df: DataFrame, key: str) -> Column:
+    """Aggregate: bytes of the widest key."""
+    if df.schema[key].dataType.typeName() in ("string", "binary"):
+        return F.coalesce(F.max(F.octet_length(key)), F.lit(0))
+    return F.lit(FIXED_WIDTH)
+
+
 def first_per_key(
     rows: DataFrame, key: str = "id", order_by: Sequence[str] = ("time", "_filename")
 ) -> DataFrame:
@@ -94,6 +110,7 @@ def absent_rows(
     profile: KeyProfile | None = None,
     dedupe: bool = True,
     order_by: Sequence[str] = ("time", "_filename"),
+    known_size: int | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
@@ -105,17 +122,19 @@ def absent_rows(
 
     * few keys: they are broadcast to `existing`, which is neither shuffled nor
       sorted; what matches is no larger and is broadcast back to the batch;
-    * many keys: one shuffle of each side on the key. Hot keys cannot appear
+    * many keys, but few stored ones in their range (`known_size`, as measured by
+      :func:`broadcast_size`): those are broadcast to the batch. This is the way
+      of a long back-fill, whose batches hardly overlap;
+    * many keys on both sides: one shuffle of each on the key. Hot keys cannot appear
       once duplicates are removed; when they are kept, the hot ones take the
       broadcast form and the others the shuffle.
     """
-    known = existing.select(key)
     if profile is None:
         keyed, keyless = _by_key_presence(batch, key)
         candidates = first_per_key(keyed, key, order_by) if dedupe else keyed
-        return _anti(candidates, known, key).unionByName(keyless)
+        return _anti(candidates, existing.select(key), key).unionByName(keyless)
 
-    known = known.filter(F.col(key).between(profile.lo, profile.hi))
+    known = in_key_range(existing, key, profile)
     if profile.fits(profile.keys, broadcast_bytes):
         # Rows without a key match nothing and are not moved: no need to split.
         rows = _without_copies(batch, key, profile, order_by, broadcast_bytes) if dedupe else batch
@@ -125,8 +144,10 @@ def absent_rows(
     keyed, keyless = _by_key_presence(batch, key) if profile.null_rows else (batch, None)
     limit = max(hot_rows, profile.rows // HOT_FRACTION)
     if dedupe:
-        fresh = _anti(_without_copies(keyed, key, profile, order_by, broadcast_bytes), known, key)
-    elif profile.hottest > limit:
+        keyed = _without_copies(keyed, key, profile, order_by, broadcast_bytes)
+    if known_size is not None and known_size <= broadcast_bytes:
+        fresh = _anti(keyed, F.broadcast(known), key)
+    elif not dedupe and profile.hottest > limit:
         hot = _keys_above(keyed, limit, key)
         fresh = _anti_by_broadcast(_semi(keyed, hot, key), known, hot, key).unionByName(
             _anti(_anti(keyed, F.broadcast(hot), key), known, key)

@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from tierflow import errors
 from tierflow.operators.bounds import Window, latest_marks, next_mark
 from tierflow.operators.dates import date_list
-from tierflow.operators.keys import absent_rows, key_profile
+from tierflow.operators.keys import BROADCAST_BYTES, absent_rows, broadcast_size, in_key_range, key_profile
 from tierflow.sources.files import empty, has_files, snapshot, stored_schema
 
 MARKS = "lo timestamp, hi timestamp, run_ts timestamp, ingest string"
@@ -139,7 +139,10 @@ def insert_if_absent(
             known = _on_batch_dates(spark, path, batch, [key], partition_by, fmt)
         else:
             known = snapshot(spark, path, _fields(batch, [key, partition_by]), fmt)
-        fresh = absent_rows(rows, known, key, profile, dedupe_batch, order_by=("time", "_filename"))
+        size = None
+        if not profile.fits(profile.keys, BROADCAST_BYTES):
+            size = broadcast_size(in_key_range(known, key, profile), key)
+        fresh = absent_rows(rows, known, key, profile, dedupe_batch, known_size=size)
         return _counted(
             _by_partition(fresh, partition_by),
             lambda w: w.format(fmt).partitionBy(partition_by).mode("append").save(path),
