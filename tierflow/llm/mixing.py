@@ -31,10 +31,12 @@ from tierflow.llm.common import fresh, small_side, stored
 
 # Powers of the shares, by dimension.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-MAX_ROUNDS = 40
+MAX_ROUNDS = 24
 # Rounds between two looks at how far the sums are from their targets.
-ROUNDS = 4
+ROUNDS = 6
 TOLERANCE = 1e-6
+# Cells up to this number are raked in one task; more are dealt out for every step.
+ONE_TASK_CELLS = 50_000
 # Share of all tokens that the sample is expected to have.
 BUDGET = 0.5
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -99,9 +101,12 @@ def rake(cells: DataFrame, temper: Mapping[str, float] = TEMPER, targets: DataFr
     dims = list(temper)
     for dim in dims:
         cells = cells.join(_targets(cells, dim, temper[dim], targets), dim)
-    cells = cells.withColumn("w", F.col("tokens").cast("double"))
-    for done in range(0, MAX_ROUNDS, ROUNDS):
-        for i in range(ROUNDS):
+    cells = stored(cells.withColumn("w", F.col("tokens").cast("double")), "raked")
+    few = cells.count() <= ONE_TASK_CELLS
+    for _ in range(0, MAX_ROUNDS, ROUNDS):
+        # One partition meets every window's needs without a shuffle.
+        cells = cells.coalesce(1) if few else cells
+        for _ in range(ROUNDS):
             for dim in dims:
                 total = F.expr(f"sum(w) OVER (PARTITION BY {dim})")
                 cells = cells.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"t_{dim}") / total).otherwise(0.0))
