@@ -13,10 +13,11 @@ between different texts is lost. Steps:
 3. Among the others shingles are ordered by frequency, rarest first. Shingles of one class
    alone link nothing, and a class whose prefix has no others is done. The rest are joined
    on their rare prefix shingles, under length, positional and suffix filters.
-4. Bucket by bucket, members are first compared with a leader, which is another one in other
-   buckets; then members outside a bucket's largest component with all of other components.
-   A pair within one component needs no check; every other pair of a bucket gets one. So a
-   group of n near copies costs about n comparisons, not n * n.
+4. Bucket by bucket, members are compared with a leader, which is another one in other
+   buckets; in a few more rounds, members outside a bucket's largest component with one
+   leader in it; last, those still outside with all members of other components. A pair
+   within one component needs no check; every other pair of a bucket gets one. So a group of
+   n near copies costs about n comparisons, not n * n.
 5. Pairs are made distinct and verified once, on whole shingle sets.
 
 Very frequent shingles (proven to occur in several texts by a sample of documents; at most
@@ -56,8 +57,10 @@ HOT_TEXTS = 8
 HOT_SHINGLES = 1 << 15
 # Leaders a group of near copies has in the first comparison.
 LEADERS = 8
-# Parts of a set that the suffix filter counts.
-PARTS = 16
+# Rounds in which members outside a bucket's largest component meet one of its members.
+STAR_ROUNDS = 2
+# Parts of a set whose parities the suffix filter compares, 64 to a number.
+PARTS = 512
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,16 +76,20 @@ def near_duplicates(
     members = stored(_members(rows, words, num, den, hot), "members")
     classes = stored(_classes(members), "classes")
     alive = stored(_alive(members, classes, num, den), "alive")
-    sets = _sets(rows, alive, words)
-    buckets = stored(_buckets(sets, hot, num, den), "buckets")
-
-    tested = stored(_distinct_pairs(_stars(buckets, num, den)), "pairs")
-    links = stored(_verified(tested, sets, num, den), "links")
-    labels = components(links)
-    rest = _distinct_pairs(_outsiders(buckets, labels, num, den)).join(tested, ["a", "b"], "left_anti")
-    more = stored(_verified(stored(rest, "pairs"), sets, num, den), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    sets = _sets(rows, alive, words, hot)
+    buckets = stored(_buckets(sets, num, den), "buckets")
+
+    labels = links = tested = None
+    for step in range(STAR_ROUNDS + 1):
+        placed = _placed(buckets, labels)
+        met = _stars(placed, step, num, den) if step < STAR_ROUNDS else _rest(placed, num, den)
+        pairs = met.distinct() if tested is None else met.distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        found = stored(_verified(pairs, sets, num, den), "links")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links)
     return _result(members, classes, labels)
 
 
@@ -223,8 +230,11 @@ def _alive(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
     return classes.join(shared, "fp", "left").filter(hits >= needed).select("fp", "n", F.col("head.id").alias("id"))
 
 
-def _sets(rows: DataFrame, alive: DataFrame, words: int) -> DataFrame:
-    """The whole sets of the classes that are left: `fp, n, tokens, parts`."""
+def _sets(rows: DataFrame, alive: DataFrame, words: int, hot: dict[int, int]) -> DataFrame:
+    """The whole sets of the classes that are left: `fp, n, tokens, hot, parts`, of which
+    `hot` has the very frequent shingles, rarest first."""
+    known = np.sort(np.fromiter(hot, np.int64, len(hot)))
+    texts_with = np.array([hot[h] for h in known.tolist()], np.int64)
     n_alive = alive.count()
     ids = small_side(alive.select(F.col("id").alias("head_id")).distinct(), 40, n_alive)
     texts = rows.join(ids, F.col("id").eqNullSafe(F.col("head_id")), "left_semi").select("text")
@@ -234,39 +244,43 @@ def _sets(rows: DataFrame, alive: DataFrame, words: int) -> DataFrame:
             found = [shingle_set(t, words) for t in texts_of(batch, "text")]
             offsets = np.cumsum([0, *[len(s) for _, s in found]]).astype(np.int32)
             flat = np.concatenate([np.zeros(0, np.int64), *[s for _, s in found]])
-            parts = [np.bincount(s & (PARTS - 1), minlength=PARTS) for _, s in found]
+            frequent = [s[np.isin(s, known)] for _, s in found]
+            # Sorted already by value, so equal counts stay in that order.
+            ranked = [f[np.argsort(texts_with[np.searchsorted(known, f)], kind="stable")] if len(f) else f for f in frequent]
+            odd = [np.bincount(s & (PARTS - 1), minlength=PARTS) & 1 for _, s in found]
+            parts = [np.packbits(o.astype(np.uint8)).view(np.int64) for o in odd]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([fp for fp, _ in found], pa.int64()),
                     pa.array([len(s) for _, s in found], pa.int64()),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.array(parts, pa.list_(pa.int32())),
+                    pa.array(ranked, pa.list_(pa.int64())),
+                    pa.array(parts, pa.list_(pa.int64())),
                 ],
-                names=["fp", "n", "tokens", "parts"],
+                names=["fp", "n", "tokens", "hot", "parts"],
             )
 
-    made = texts.mapInArrow(emit, "fp long, n long, tokens array<long>, parts array<int>")
+    made = texts.mapInArrow(emit, "fp long, n long, tokens array<long>, hot array<long>, parts array<long>")
     sets = stored(made.join(small_side(alive.select("fp"), 40, n_alive), "fp", "left_semi"), "sets")
     # Ids that repeat bring a class's text more than once.
     return sets if sets.count() == n_alive else stored(sets.dropDuplicates(["fp"]), "sets")
 
 
-def _buckets(sets: DataFrame, hot: dict[int, int], num: int, den: int) -> DataFrame:
+def _buckets(sets: DataFrame, num: int, den: int) -> DataFrame:
     """`h, fp, n, pos, parts`: the prefix shingles of each set, rarest first, as far as other
-    sets have them too."""
-    spark = sets.sparkSession
-    frequent = F.broadcast(spark.createDataFrame([*hot.items()], "h long, texts long"))
-    tokens = sets.select("fp", F.explode("tokens").alias("h")).join(frequent, "h", "left")
-    cold = tokens.filter("texts IS NULL").select("fp", "h", F.expr("count(*) OVER (PARTITION BY h)").alias("c"))
-    # Very frequent shingles rank after all others.
-    ranked = cold.filter("c > 1").unionByName(tokens.filter("texts IS NOT NULL").select("fp", "h", (F.col("texts") + (1 << 40)).alias("c")))
-    lists = ranked.groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("c", "h"))).alias("shared"))
+    sets have them too. Very frequent ones come last, and are not counted anew."""
+    cold = sets.select("fp", F.explode(F.array_except("tokens", "hot")).alias("h"))
+    cold = cold.withColumn("c", F.expr("count(*) OVER (PARTITION BY h)")).filter("c > 1")
+    cold = cold.groupBy("fp").agg(F.sort_array(F.collect_list(F.struct("c", "h")))["h"].alias("cold"))
+    shared = F.concat(F.coalesce("cold", F.array().cast("array<long>")), "hot")
+    rows = sets.join(cold, "fp", "left").select("fp", "n", "parts", shared.alias("shared"))
     prefix = F.col("n") - _least_overlap(F.col("n"), num, den) + 1
     alone = F.col("n") - F.size("shared")
-    rows = lists.join(sets.select("fp", "n", "parts"), "fp").filter(alone < prefix)
-    rows = rows.select("fp", "n", "parts", alone.alias("alone"), F.slice("shared", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int")).alias("shared"))
-    rows = rows.select("fp", "n", "parts", "alone", F.posexplode("shared").alias("i", "token"))
-    return rows.select(F.col("token.h").alias("h"), "fp", "n", (F.col("alone") + F.col("i")).alias("pos"), "parts")
+    rows = rows.filter(alone < prefix).select(
+        "fp", "n", "parts", alone.alias("alone"), F.slice("shared", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int")).alias("shared")
+    )
+    rows = rows.select("fp", "n", "parts", "alone", F.posexplode("shared").alias("i", "h"))
+    return rows.select("h", "fp", "n", (F.col("alone") + F.col("i")).alias("pos"), "parts")
 
 
 # --- pairs ---------------------------------------------------------------
@@ -279,39 +293,51 @@ def _may_link(x: str, y: str, num: int, den: int) -> Column:
     needed = num * (n + m)
     length = (n * den >= m * num) & (m * den >= n * num)
     left = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
-    suffix = F.aggregate(F.zip_with(f"{x}.parts", f"{y}.parts", lambda p, q: F.least(p, q)), F.lit(0), lambda s, v: s + v)
-    return length & (left * (num + den) >= needed) & (suffix * (num + den) >= needed)
+    # Each shingle that only one of them has flips one parity, so they differ by at least
+    # as many shingles as parities.
+    flips = [F.bit_count(F.col(f"{x}.parts")[i].bitwiseXOR(F.col(f"{y}.parts")[i])) for i in range(PARTS // 64)]
+    suffix = sum(flips[1:], flips[0]) * (den + num) <= (n + m) * (den - num)
+    return length & (left * (num + den) >= needed) & suffix
 
 
 def _pair() -> list[Column]:
     return [F.least("x.fp", "y.fp").alias("a"), F.greatest("x.fp", "y.fp").alias("b")]
 
 
-def _distinct_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.distinct()
-
-
-def _stars(buckets: DataFrame, num: int, den: int) -> DataFrame:
-    """Each bucket's members with its leader."""
-    turn = F.xxhash64("fp", F.pmod("h", F.lit(LEADERS))).alias("turn")
-    leaders = buckets.groupBy("h").agg(F.min(F.struct(turn, "fp", "n", "pos", "parts")).alias("x"), F.count("*").alias("size"))
-    leaders = leaders.filter("size > 1").select("h", "x.*")
-    met = F.col("x.h") == F.col("y.h")
-    return (
-        buckets.alias("y").join(leaders.alias("x"), met & (F.col("x.fp") != F.col("y.fp")) & _may_link("x", "y", num, den)).select(*_pair())
-    )
-
-
-def _outsiders(buckets: DataFrame, labels: DataFrame, num: int, den: int) -> DataFrame:
-    """Members outside a bucket's largest component with those of other components."""
-    placed = buckets.join(labels, F.col("fp") == F.col("v"), "left")
-    placed = stored(placed.select("h", "fp", "n", "pos", "parts", F.coalesce("c", "fp").alias("c")), "buckets")
-    sizes = placed.groupBy("h", "c").agg(F.count("*").alias("size"))
-    mains = sizes.groupBy("h").agg(F.max(F.struct("size", "c")).alias("main"), F.count("*").alias("parts_of"))
-    mains = mains.filter("parts_of > 1").select("h", F.col("main.c").alias("main"))
-    out = placed.join(mains, "h").filter("c <> main").drop("main")
-    met = (F.col("x.h") == F.col("y.h")) & (F.col("x.c") != F.col("y.c"))
-    return out.alias("x").join(placed.alias("y"), met & _may_link("x", "y", num, den)).select(*_pair())
+def _placed(buckets: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The buckets that hold several components, with each member's component `c` (at first,
+    each member is one of its own); and those members outside their bucket's largest one."""
+    if labels is None:
+        several = buckets.groupBy("h").agg(F.min("fp").alias("main"), F.count("*").alias("size")).filter("size > 1")
+        placed = buckets.withColumn("c", F.col("fp"))
+    else:
+        placed = buckets.join(labels, F.col("fp") == F.col("v"), "left").withColumn("c", F.coalesce("c", "fp")).drop("v")
+        placed = stored(placed, "placed")
+        sizes = placed.groupBy("h", "c").agg(F.count("*").alias("size"))
+        several = sizes.groupBy("h").agg(F.max(F.struct("size", "c"))["c"].alias("main"), F.count("*").alias("size")).filter("size > 1")
+    outside = (F.col("p.h") == F.col("s.h")) & (F.col("p.c") != F.col("s.main"))
+    out = placed.alias("p").join(several.alias("s"), outside).select("p.*", "s.main")
+    return placed, out
+
+
+def _stars(placed: tuple[DataFrame, DataFrame], step: int, num: int, den: int) -> DataFrame:
+    """Members outside their bucket's main component with one member of it (at first, with
+    any one of the bucket)."""
+    members, out = placed
+    turn = F.xxhash64("fp", F.pmod("h", F.lit(LEADERS)), F.lit(step)).alias("turn")
+    mains = out.select("h", F.col("main").alias("c")).distinct()
+    leaders = members if step == 0 else members.join(mains, ["h", "c"])
+    leaders = leaders.groupBy("h").agg(F.min(F.struct(turn, "fp", "n", "pos", "parts", "c")).alias("x")).select("h", "x.*")
+    others = (F.col("x.h") == F.col("y.h")) & (F.col("x.c") != F.col("y.c")) & _may_link("x", "y", num, den)
+    met = out if step else members
+    return met.alias("y").join(leaders.alias("x"), others).select(*_pair())
+
+
+def _rest(placed: tuple[DataFrame, DataFrame], num: int, den: int) -> DataFrame:
+    """Members outside their bucket's main component with all of other components."""
+    members, out = placed
+    others = (F.col("x.h") == F.col("y.h")) & (F.col("x.c") != F.col("y.c")) & _may_link("x", "y", num, den)
+    return out.alias("x").join(members.alias("y"), others).select(*_pair())
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
