@@ -16,8 +16,20 @@ from tierflow.session import shared_dir
 BROADCAST_BYTES = 64 << 20
 
 
+# Bytes of text that a Python worker gets at once.
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+
+
+def bounded(spark: SparkSession) -> SparkSession:
+    """Bound the batches that go to Python; a session's own choice stands."""
+    if ARROW_BYTES not in spark.conf.getAll:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+    return spark
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def fold(key: str, folds: int) -> Column:
@@ -42,6 +54,7 @@ def with_columns(
     df: DataFrame, fields: Sequence[T.StructField], compute: Callable[[pa.RecordBatch], Sequence[pa.Array]]
 ) -> DataFrame:
     """All columns of `df` and the new ones that `compute` makes of each Arrow batch."""
+    bounded(df.sparkSession)
     schema = T.StructType([*df.schema.fields, *fields])
     added = to_arrow_schema(T.StructType(list(fields)))
 
@@ -62,7 +75,7 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """`df` written to the shared folder and read again: lineage is cut, and lost
     executors cost a read only."""
-    spark = df.sparkSession
+    spark = bounded(df.sparkSession)
     path = shared_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -36,7 +36,7 @@ UNKNOWN = "und"
 BITS = 16
 BUCKETS = 1 << BITS
 # Characters handled at once; bounds memory for texts of any length.
-BLOCK = 1 << 19
+BLOCK = 1 << 17
 # Training and calibration texts per language.
 PER_LANGUAGE = 1500
 CALIBRATION = 500
