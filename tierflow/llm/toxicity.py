@@ -264,13 +264,15 @@ def _machine(insults: list[str], weight: np.ndarray, clean: dict[str, float], la
     `clean` has a weight for each word."""
     landmarks = list(dict.fromkeys(landmarks))
     sparse = _rows(landmarks)
-    columns = np.zeros((1 << BITS, len(landmarks)), np.float32)
+    # Only subsequences that some landmark has play a part.
+    place = {k: i for i, k in enumerate(sorted(set().union(*sparse)))}
+    columns = np.zeros((len(place), len(landmarks)), np.float32)
     for j, row in enumerate(sparse):
-        columns[list(row), j] = list(row.values())
-    values, vectors = np.linalg.eigh(_kernel(landmarks, columns))
+        columns[[place[k] for k in row], j] = list(row.values())
+    values, vectors = np.linalg.eigh(_kernel(landmarks, columns, place))
     keep = values > 1e-6 * values.max()
     half = vectors[:, keep] / np.sqrt(values[keep])
-    x = _kernel([*insults, *clean], columns) @ half
+    x = _kernel([*insults, *clean], columns, place) @ half
     x = np.hstack([x, np.ones((len(x), 1))])
     y = np.array([1.0] * len(insults) + [-1.0] * len(clean))
     # Insults, hard and other clean words weigh alike; within them, words by documents.
@@ -285,14 +287,19 @@ def _machine(insults: list[str], weight: np.ndarray, clean: dict[str, float], la
         if np.abs(new - w).max() < 1e-8:
             break
         w = new
-    return Model(columns @ (half @ w[:-1]).astype(np.float32), float(w[-1]))
-
-
-def _kernel(words: Sequence[str], columns: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(words), columns.shape[1]))
-    for i, row in enumerate(_rows(words)):
-        if row:
-            out[i] = np.fromiter(row.values(), np.float32, len(row)) @ columns[list(row)]
+    table = np.zeros(1 << BITS, np.float32)
+    table[list(place)] = columns @ (half @ w[:-1]).astype(np.float32)
+    return Model(table, float(w[-1]))
+
+
+def _kernel(words: Sequence[str], columns: np.ndarray, place: dict[int, int]) -> np.ndarray:
+    out = np.zeros((len(words), columns.shape[1]), np.float32)
+    for a in range(0, len(words), 500):
+        for i, row in enumerate(_rows(words[a : a + 500]), a):
+            known = [(place[k], v) for k, v in row.items() if k in place]
+            if known:
+                at, weights = zip(*known, strict=True)
+                out[i] = np.array(weights, np.float32) @ columns[list(at)]
     return out
 
 
