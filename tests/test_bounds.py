@@ -77,3 +77,9 @@ def test_marks_are_kept_per_ingest(spark, tmp_path):
     assert read_mark(spark, path, "a") == datetime(2024, 5, 2, tzinfo=UTC)
     assert read_mark(spark, path, "b") == datetime(2024, 6, 1, tzinfo=UTC)
     assert read_mark(spark, path, "c") is None
+
+
+def test_month_is_that_of_the_stored_dates():
+    """Two hours past midnight UTC it is still the evening before where the sensors are."""
+    assert month_window(now="2024-03-01T02:00:00") == ("2024-02-01", "2024-02-29")
+    assert month_window(now="2024-03-01T05:00:00") == ("2024-03-01", "2024-03-31")

@@ -138,7 +138,7 @@ def test_launcher(spark, spec, tmp_path):
     (conf / "ingestion" / "readings.json").write_text(json.dumps({"source": source}))
     fill_source(spark, spec, (1, "2024-01-02 03:00:00", 1), (2, "2024-03-02 13:00:00", 2))
     main(["bronze", "--ingest", "readings", "--conf", str(conf), "--start", "2024-01-01", "--end", "2024-02-01"])
-    main(["silver", "--ingest", "readings", "--conf", str(conf)])
+    main(["silver", "--ingest", "readings", "--conf", str(conf), "--scope", "partition", "--keep-copies", "--evolve"])
     assert [r["id"] for r in in_catalog(spark, spec.db, "readings").collect()] == [1]
     with pytest.raises(SystemExit):
         main(["bronze", "--ingest", "readings", "--conf", str(conf), "--start", "2024-01-01"])

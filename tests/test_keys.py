@@ -39,7 +39,7 @@ def expected(batch, stored_ids, dedupe):
         elif key not in stored_ids:
             if not dedupe:
                 out.append(row)
-            elif key not in best or (row[1] or 0, row[2]) < (best[key][1] or 0, best[key][2]):
+            elif key not in best or (row[1] or 99, row[2]) < (best[key][1] or 99, best[key][2]):
                 best[key] = row
     rows = out + list(best.values())
     return sorted(((i, d and f"2024-01-{d:02d}", v) for i, d, v in rows), key=repr)
@@ -65,7 +65,7 @@ def test_forms_agree_with_brute_force(spark, form, dedupe):
         (rng.choice([None, 7, rng.randrange(400)]), rng.choice([None, *range(1, 6)]), rng.randrange(9))
         for _ in range(600)
     ]
-    for stored in ([], [7, *range(0, 200, 3)], [1000, -5]):
+    for stored in ([], [7] * 50 + [*range(0, 200, 3)], [1000, -5]):
         df = frame(spark, batch)
         known = spark.createDataFrame([(i,) for i in stored] + [(None,)], KEYS_SCHEMA)
         profile = None if form == "no profile" else key_profile(df)
@@ -120,6 +120,29 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     assert "Partial" in physical and "Final" in physical
 
 
+def test_repeated_stored_keys_are_reduced_before_the_shuffle(spark, tmp_path):
+    path = str(tmp_path / "s")
+    spark.range(1000).selectExpr("id % 3 AS id").write.parquet(path)
+    known, batch = spark.read.parquet(path), frame(spark, [(i, 1, 0) for i in range(50)])
+    out = absent_rows(batch, known, profile=key_profile(batch), broadcast_bytes=0, dedupe=False)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [id" in plan[plan.index("LeftAnti") :]
+    assert sorted(r["id"] for r in out.collect()) == list(range(3, 50))
+
+
+def test_only_the_range_of_repeated_keys_is_read_again(spark, tmp_path):
+    path = str(tmp_path / "b")
+    frame(spark, [(i, 1, 0) for i in range(50)] + [(7, 1, 1), (9, 1, 1)]).write.parquet(path)
+    batch = spark.read.parquet(path)
+    out = absent_rows(batch, spark.range(0), profile=key_profile(batch))
+    assert "GreaterThanOrEqual(id,7), LessThanOrEqual(id,9)" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 50
+
+
+def test_a_known_time_beats_an_unknown_one(spark):
+    assert bag(first_per_key(frame(spark, [(1, None, 1), (1, 3, 2)]))) == [(1, "2024-01-03", 2)]
+
+
 def test_few_keys_move_neither_side(spark, tmp_path):
     stored = str(tmp_path / "s")
     frame(spark, [(i, 1, 0) for i in range(50)]).write.parquet(stored)
@@ -224,6 +247,28 @@ def test_lineage_makes_a_repeated_batch_harmless(spark, tmp_path):
     assert insert_if_absent(other, path, lineage="_filename") == 2
 
 
+@pytest.mark.parametrize("max_files", [100_000, 1])
+def test_replay_completes_what_is_stored_in_part(spark, tmp_path, monkeypatch, max_files):
+    """One of three keyless rows was visible; equal rows count."""
+    monkeypatch.setattr("tierflow.sinks.tables.MAX_FILE_LIST", max_files)
+    path = str(tmp_path / "t")
+    rows = [(None, 1, 2), (None, 1, 2), (None, None, 3), (4, 1, 4)]
+    batch = frame(spark, rows).withColumn("_filename", F.lit("f1")).withColumn("_ingested_at", F.current_timestamp())
+    batch = batch.unionByName(batch.filter("v = 3").withColumn("_filename", F.lit("f2")))
+    insert_if_absent(batch.filter("v = 2").limit(1), path, lineage="_filename")
+    assert insert_if_absent(batch, path, lineage="_filename") == 4
+    assert insert_if_absent(batch, path, lineage="_filename") == 0
+    assert snapshot(spark, path, batch.schema).filter("_ingested_at IS NULL").count() == 0
+
+
+def test_many_dates_are_looked_up_by_join(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tierflow.operators.dates.MAX_DATE_LIST", 1)
+    path = str(tmp_path / "t")
+    rows = [(1, 1, 1), (2, 2, 2), (3, None, 3)]
+    assert insert(spark, path, rows, scope="partition") == 3
+    assert insert(spark, path, [*rows, (4, 4, 4)], scope="partition") == 1
+
+
 def test_packing_into_batches_does_not_matter(spark, tmp_path):
     """With copies removed, the table holds one row per key however the rows
     are cut into batches in time order, and a replay changes nothing."""

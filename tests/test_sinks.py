@@ -56,6 +56,15 @@ def test_versions_of_a_row_are_kept(spark, tmp_path):
     assert replace_distinct(spark.createDataFrame(rows, "id int, v string"), path) == 3
 
 
+def test_latest_version_of_each_key(spark, tmp_path):
+    path = str(tmp_path / "silver")
+    rows = [(1, "a", 1), (1, "b", 3), (1, "c", None), (2, "x", 1), (2, "y", 1), (None, "n", 1), (None, "m", 1)]
+    df = spark.createDataFrame(rows, "id int, v string, t int")
+    assert replace_distinct(df, path, key="id", latest_by="t") == 4
+    got = sorted(map(tuple, spark.read.parquet(path).select("id", "v").collect()), key=repr)
+    assert got == [(1, "b"), (2, "y"), (None, "m"), (None, "n")]
+
+
 def dated(spark, *rows):
     return spark.createDataFrame(rows, "id int, v int, date string")
 

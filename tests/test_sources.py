@@ -105,6 +105,16 @@ def test_dimension(spark, tmp_path):
         read_dimension(spark, f"{tmp_path}/none")
 
 
+def test_dimension_has_the_columns_of_all_snapshots(spark, tmp_path):
+    path = str(tmp_path / "d")
+    spark.range(2).coalesce(1).write.parquet(path)
+    spark.range(2, 3).selectExpr("id", "1 AS more").write.mode("append").parquet(path)
+    assert read_dimension(spark, path).columns == ["id", "more"]
+    spark.range(2).selectExpr("CAST(id AS string) AS id").write.mode("append").parquet(path)
+    with pytest.raises(RuntimeError, match="Error loading dimension data from the Bronze layer, error:"):
+        read_dimension(spark, path)
+
+
 def test_stream_errors_are_named(spark, tmp_path):
     with pytest.raises(RuntimeError, match="Error loading and transforming event data from the Bronze layer, error:"):
         event_stream(spark, str(tmp_path / "b"), StructType.fromDDL("id bigint"))
@@ -206,6 +216,12 @@ def test_spec(spark, documents):
     assert "password" not in repr(s)
 
 
+@pytest.mark.parametrize("kind, expected", [("timestamp", True), ("DATE", True), ("integer", False), ("string", False)])
+def test_only_dates_and_times_split_a_read(spark, documents, kind, expected):
+    source = {**INGEST["source"], "columns": {"id": "integer", "time": kind}}
+    assert load_spec(spark, "readings", *documents(ingest={"source": source})).delta_is_time is expected
+
+
 def test_spec_with_own_root_and_few_fields(spark, documents):
     ingest = {"source": {"db": "d", "table": "node", "columns": {"id": "integer"}, "connector": "postgres.json"}}
     s = load_spec(spark, "readings", *documents({"root": "/data/"}, ingest, {"format": "parquet"}))

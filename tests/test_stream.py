@@ -27,7 +27,7 @@ class Tiers:
     def drain(self, checkpoint="checkpoint", **options):
         schema = remembered_schema(self.spark, f"{self.root}/bronze", f"{self.root}/schema")
         events = event_stream(self.spark, f"{self.root}/bronze", schema, options=options)
-        self.schema = events.schema
+        self.schema = events.drop("_arrived").schema
         q = ingest_events(events, f"{self.root}/silver", f"{self.root}/{checkpoint}", **self.ingest)
         drain(q)
         return len([p for p in q.recentProgress if p["numInputRows"]])
@@ -87,6 +87,16 @@ def test_packing(spark, tmp_path, per_trigger):
     assert [r[1] for r in rows] == [0, 0, 0, 1, 2, 3]
 
 
+@pytest.mark.parametrize("per_trigger", ["1", "2", "100"])
+def test_first_to_arrive_wins_however_batches_are_cut(spark, tmp_path, per_trigger):
+    """Also when the copy with the later time landed first."""
+    t = Tiers(spark, tmp_path)
+    for v, day in enumerate((5, 2, 9)):
+        t.land((1, f"2024-01-{day:02d} 12:00:00", v), (10 + v, DAY, v))
+    t.drain(maxFilesPerTrigger=per_trigger)
+    assert t.rows()[0] == (1, 0, "2024-01-05") and len(t.rows()) == 4
+
+
 def test_copies_can_be_kept(spark, tmp_path):
     t = Tiers(spark, tmp_path, dedupe_batch=False)
     t.land((1, DAY, 1), (1, DAY, 1))
@@ -127,14 +137,28 @@ def test_drift_is_refused_before_the_stream_starts(spark, tmp_path):
         ingest_events(events.withColumn("more", F.lit(1)), f"{t.root}/silver", f"{t.root}/c2")
 
 
-def test_files_with_an_old_timestamp_are_not_skipped(spark, tmp_path):
+@pytest.mark.parametrize("days", [30, 4000, 18000])
+def test_files_with_an_old_timestamp_are_not_skipped(spark, tmp_path, days):
     t = Tiers(spark, tmp_path)
     t.land((1, DAY, 1))
     t.drain()
     before = set(Path(t.root, "bronze").glob("*.parquet"))
     t.land((2, DAY, 2))
     for f in set(Path(t.root, "bronze").glob("*.parquet")) - before:
-        month_ago = f.stat().st_mtime - 30 * 86400
-        os.utime(f, (month_ago, month_ago))
+        long_ago = f.stat().st_mtime - days * 86400
+        os.utime(f, (long_ago, long_ago))
     t.drain()
     assert [r[0] for r in t.rows()] == [1, 2]
+
+
+def test_new_column_in_a_file_with_an_old_timestamp(spark, tmp_path):
+    t = Tiers(spark, tmp_path)
+    t.land((1, DAY, 1))
+    t.drain()
+    before = set(Path(t.root, "bronze").glob("*.parquet"))
+    wider = spark.createDataFrame([(2, DAY, 2, False, 7)], SCHEMA + ", more int")
+    append(wider.coalesce(1), f"{t.root}/bronze")
+    for f in set(Path(t.root, "bronze").glob("*.parquet")) - before:
+        os.utime(f, (1.6e9, 1.6e9))
+    with pytest.raises(ValueError, match=r"columns \['more'\]"):
+        t.drain()

@@ -2,6 +2,8 @@
 
     python -m tierflow bronze --ingest readings --conf /conf [--start 2024-01-01 --end 2024-02-01]
     python -m tierflow silver --ingest readings --conf /conf --table-type event
+           [--scope partition] [--keep-copies] [--evolve]
+    python -m tierflow silver --ingest nodes --conf /conf --table-type dimension [--key id --latest-by changed]
     python -m tierflow gold   --ingest readings --conf /conf [--month 2024-01-15]
 
 `--conf` holds environment.json, ingestion/<ingest>.json and connectors/<name>.
@@ -21,13 +23,17 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     if bool(args.start) != bool(args.end):
         raise SystemExit("a back-fill needs both --start and --end")
+    if bool(args.key) != bool(args.latest_by):
+        raise SystemExit("latest rows need both --key and --latest-by")
     spark = SparkSession.builder.appName(f"tierflow-{args.job}-{args.ingest}").getOrCreate()
     conf = args.conf.rstrip("/")
     spec = load_spec(spark, args.ingest, f"{conf}/environment.json", f"{conf}/ingestion", f"{conf}/connectors")
     if args.job == "bronze":
         source_to_bronze(spark, spec, (args.start, args.end) if args.start else None)
     elif args.job == "silver":
-        bronze_to_silver(spark, spec, args.table_type)
+        events = {"scope": args.scope, "dedupe_batch": not args.keep_copies, "evolve": args.evolve}
+        latest = {"key": args.key, "latest_by": args.latest_by}
+        bronze_to_silver(spark, spec, args.table_type, **(events if args.table_type == "event" else latest))
     else:
         silver_to_gold(spark, spec, args.name, args.month)
 
@@ -39,7 +45,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--conf", required=True)
     p.add_argument("--start")
     p.add_argument("--end")
-    p.add_argument("--table-type", default="event")
+    p.add_argument("--table-type", default="event", choices=["event", "dimension"])
+    p.add_argument("--scope", default="table", choices=["table", "partition"])
+    p.add_argument("--keep-copies", action="store_true")
+    p.add_argument("--evolve", action="store_true")
+    p.add_argument("--key")
+    p.add_argument("--latest-by")
     p.add_argument("--name", default="wide_hourly")
     p.add_argument("--month")
     return p

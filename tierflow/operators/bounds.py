@@ -5,10 +5,13 @@ from __future__ import annotations
 import calendar
 from dataclasses import dataclass
 from datetime import date, datetime, time, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tierflow.functions.columns import LOCAL_ZONE
+
 # Fixed value: how far a first incremental load looks back.
 LOOK_BACK = timedelta(days=3)
 
@@ -74,9 +77,11 @@ def literal(value: datetime) -> str:
     return str(value)
 
 
-def month_window(day: Moment | None = None) -> tuple[str, str]:
-    """First and last date of the month of `day`, or of today (D3)."""
-    start = utc(day or datetime.now(timezone.utc)).date()
+def month_window(day: Moment | None = None, now: Moment | None = None) -> tuple[str, str]:
+    """First and last date of the month of `day`, or of today in the zone of the
+    stored dates (D3)."""
+    today = utc(now or datetime.now(timezone.utc)).astimezone(ZoneInfo(LOCAL_ZONE))
+    start = (utc(day) if day else today).date()
     last = calendar.monthrange(start.year, start.month)[1]
     return start.replace(day=1).isoformat(), start.replace(day=last).isoformat()
 

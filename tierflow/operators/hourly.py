@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.functions import STATES, hour_of, operating_state, or_unknown, or_zero, state_flag
+from tierflow.functions import hour_of, operating_state, or_unknown, or_zero, state_flag
 
 KEYS = ("node_id", "date", "hour")
 
@@ -20,7 +20,8 @@ KEYS = ("node_id", "date", "hour")
 PHASES = (1, 2, 3)
 ELECTRICAL = tuple(f"{family}{phase}" for family in ("vp", "cp", "app", "rpp", "pfp") for phase in PHASES)
 ENERGY = tuple(f"{family}{phase}" for family in ("iaepd", "eaepd", "irepd", "erepd") for phase in PHASES)
-FLAGS = tuple("Ind_" + "_".join(part.capitalize() for part in name.split("-")) for name in STATES)
+FLAG_OF_STATE = {"Grid-connected": "Ind_Grid_Connected", "Standby": "Ind_Standby", "Shutdown": "Ind_Shutdown"}
+FLAGS = tuple(FLAG_OF_STATE.values())
 NODE_COLUMNS = ("category", "archived", "installation_type")
 WIDE_COLUMNS = ("node_id", *NODE_COLUMNS, "date", "hour", *ELECTRICAL, *ENERGY, *FLAGS, "Temperature")
 
@@ -156,4 +157,4 @@ def wide_hourly(
 
 def _flagged(df: DataFrame, state: str) -> DataFrame:
     normal = df.select("node_id", "date", "time", operating_state(state).alias("state"))
-    return with_hour(normal, [state_flag("state", name).alias(flag) for name, flag in zip(STATES, FLAGS)])
+    return with_hour(normal, [state_flag("state", name).alias(flag) for name, flag in FLAG_OF_STATE.items()])

@@ -39,6 +39,9 @@ class KeyProfile:
     hi: Any
     hottest: int
     width: int
+    # Range of the keys with more than one row.
+    repeated_lo: Any = None
+    repeated_hi: Any = None
 
     def fits(self, keys: int, limit: int) -> bool:
         """Whether that many keys make a broadcast of at most `limit` bytes."""
@@ -64,6 +67,8 @@ def key_profile(batch: DataFrame, key: str = "id") -> KeyProfile:
             F.max(k).alias("hi"),
             F.coalesce(F.max(F.when(k.isNotNull(), n)), F.lit(0)).alias("hottest"),
             _width(batch, key).alias("width"),
+            F.min(F.when(n > 1, k)).alias("repeated_lo"),
+            F.max(F.when(n > 1, k)).alias("repeated_hi"),
         )
         .first()
     )
@@ -95,11 +100,14 @@ def first_per_key(
 
     Spark limits each key to its first row before the shuffle as well as after
     it (a partial window group limit), so the copies of a hot key never meet in
-    one task. The survivor does not depend on partitioning or batch packing.
+    one task. The survivor does not depend on partitioning. It does not depend on
+    how a stream is cut into batches either when `order_by` is the order of
+    arrival, as in :func:`~tierflow.streaming.ingest_events`. Unknown values come
+    last.
     """
     ahead = [c for c in order_by if c in rows.columns and c != key]
     rest = [c for c, kind in rows.dtypes if c not in (key, *ahead) and "map<" not in kind and kind != "variant"]
-    place = F.row_number().over(Window.partitionBy(key).orderBy(*ahead, *rest))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*(F.col(c).asc_nulls_last() for c in ahead), *rest))
     return rows.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
 
 
@@ -125,14 +133,16 @@ def absent_rows(
     * many keys, but few stored ones in their range (`known_size`, as measured by
       :func:`broadcast_size`): those are broadcast to the batch. This is the way
       of a long back-fill, whose batches hardly overlap;
-    * many keys on both sides: one shuffle of each on the key. Hot keys cannot appear
+    * many keys on both sides: one shuffle of each on the key. Stored keys are made
+      distinct first, which leaves one row per key and task of those that the table
+      holds many times. Hot keys of the batch cannot appear
       once duplicates are removed; when they are kept, the hot ones take the
       broadcast form and the others the shuffle.
     """
     if profile is None:
         keyed, keyless = _by_key_presence(batch, key)
         candidates = first_per_key(keyed, key, order_by) if dedupe else keyed
-        return _anti(candidates, existing.select(key), key).unionByName(keyless)
+        return _anti(candidates, existing.select(key).distinct(), key).unionByName(keyless)
 
     known = in_key_range(existing, key, profile)
     if profile.fits(profile.keys, broadcast_bytes):
@@ -150,10 +160,10 @@ def absent_rows(
     elif not dedupe and profile.hottest > limit:
         hot = _keys_above(keyed, limit, key)
         fresh = _anti_by_broadcast(_semi(keyed, hot, key), known, hot, key).unionByName(
-            _anti(_anti(keyed, F.broadcast(hot), key), known, key)
+            _anti(_anti(keyed, F.broadcast(hot), key), known.distinct(), key)
         )
     else:
-        fresh = _anti(keyed, known, key)
+        fresh = _anti(keyed, known.distinct(), key)
     return fresh if keyless is None else fresh.unionByName(keyless)
 
 
@@ -170,9 +180,11 @@ def _without_copies(
     if not profile.repeated:
         return rows
     if profile.fits(profile.repeated, broadcast_bytes):
-        repeated = _keys_above(rows, 1, key)
+        # The range skips row groups without copies in the second read of the rows.
+        near = rows.filter(F.col(key).between(profile.repeated_lo, profile.repeated_hi))
+        repeated = _keys_above(near, 1, key)
         single = _anti(rows, F.broadcast(repeated), key)
-        return single.unionByName(first_per_key(_semi(rows, repeated, key), key, order_by))
+        return single.unionByName(first_per_key(_semi(near, repeated, key), key, order_by))
     return first_per_key(rows, key, order_by)
 
 

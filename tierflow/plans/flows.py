@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import SparkSession
 
@@ -15,7 +16,7 @@ from tierflow.sinks.tables import append, overwrite_partitions, read_mark, recor
 from tierflow.sources.control import Spec
 from tierflow.sources.files import event_stream, read_dimension, remembered_schema
 from tierflow.sources.relational import read_table
-from tierflow.streaming.ingest import drain, ingest_events
+from tierflow.streaming.ingest import ARRIVED, drain, ingest_events
 
 log = logging.getLogger("tierflow")
 
@@ -46,7 +47,14 @@ def source_to_bronze(
         mark = None if backfill else read_mark(spark, spec.marks_path, spec.ingest) or spec.start_date
         window = ingest_window(backfill, mark, spec.end_date, now)
     df = read_table(
-        spark, spec.source_format, spec.source_options, spec.table, list(spec.columns), spec.delta, window
+        spark,
+        spec.source_format,
+        spec.source_options,
+        spec.table,
+        list(spec.columns),
+        spec.delta,
+        window,
+        split=spec.delta_is_time,
     )
     rows = append(stringify_timestamps(df, spec.columns), spec.bronze_path)
     log.info("%s: %d rows appended to %s", spec.ingest, rows, spec.bronze_path)
@@ -71,26 +79,30 @@ def events_to_silver(
             events, spec.silver_path, spec.checkpoint_path, scope, dedupe_batch, spec.silver_format, evolve
         )
     )
-    register(spark, spec.db, spec.table, spec.silver_path, events.schema, "date", spec.silver_format)
+    register(spark, spec.db, spec.table, spec.silver_path, events.drop(ARRIVED).schema, "date", spec.silver_format)
     log.info("%s: silver table %s.%s is up to date", spec.ingest, spec.db, spec.table)
 
 
-def dimension_to_silver(spark: SparkSession, spec: Spec) -> int:
-    """Replace a silver dimension by the distinct raw rows and register it."""
+def dimension_to_silver(
+    spark: SparkSession, spec: Spec, key: str | None = None, latest_by: str | None = None
+) -> int:
+    """Replace a silver dimension by the distinct raw rows, or by the latest one of
+    each key, and register it (E3)."""
     configure(spark)
     df = read_dimension(spark, spec.bronze_path)
-    rows = replace_distinct(df, spec.silver_path, spec.silver_format)
+    rows = replace_distinct(df, spec.silver_path, spec.silver_format, key, latest_by)
     register(spark, spec.db, spec.table, spec.silver_path, df.schema, fmt=spec.silver_format)
     log.info("%s: %d rows in %s.%s", spec.ingest, rows, spec.db, spec.table)
     return rows
 
 
-def bronze_to_silver(spark: SparkSession, spec: Spec, table_type: str = "event") -> None:
-    """Move one table from bronze to silver by its kind."""
+def bronze_to_silver(spark: SparkSession, spec: Spec, table_type: str = "event", **options: Any) -> None:
+    """Move one table from bronze to silver by its kind, with the options of
+    :func:`events_to_silver` or :func:`dimension_to_silver` (E2, E3)."""
     if table_type == "event":
-        events_to_silver(spark, spec)
+        events_to_silver(spark, spec, **options)
     elif table_type == "dimension":
-        dimension_to_silver(spark, spec)
+        dimension_to_silver(spark, spec, **options)
     else:
         raise ValueError(f"table_type must be 'event' or 'dimension', not {table_type!r}")
 

@@ -3,7 +3,7 @@ the number of rows it wrote, observed during the write."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
@@ -20,6 +20,8 @@ from tierflow.sources.files import empty, has_files, snapshot, stored_schema
 MARKS = "lo timestamp, hi timestamp, run_ts timestamp, ingest string"
 # File paths are broadcast only up to this many.
 MAX_FILE_LIST = 100_000
+# Fixed value: the column that tells when a row was inserted.
+INGESTED_AT = "_ingested_at"
 
 
 def append(df: DataFrame, path: str) -> int:
@@ -30,17 +32,32 @@ def append(df: DataFrame, path: str) -> int:
         raise RuntimeError(errors.WRITE_BRONZE.format(cause=e)) from e
 
 
-def replace_distinct(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Replace a dimension table, schema included, by the distinct rows (K4, A5)."""
+def replace_distinct(
+    df: DataFrame, path: str, fmt: str = "parquet", key: str | None = None, latest_by: str | None = None
+) -> int:
+    """Replace a dimension table, schema included, by the distinct rows (K4, A5).
+
+    With `key` and `latest_by` only the row with the greatest `latest_by` stays
+    of each key (Q9), ties to the greatest remaining columns; rows without a key
+    all stay.
+    """
     try:
         return _counted(
-            df.distinct(),
+            latest_per_key(df, key, latest_by) if key else df.distinct(),
             lambda w: w.mode("overwrite").format(fmt).option("overwriteSchema", "true").save(path),
         )
     except Exception as e:
         raise RuntimeError(errors.WRITE_DIMENSION.format(cause=e)) from e
 
 
+def latest_per_key(df: DataFrame, key: str, latest_by: str) -> DataFrame:
+    """The latest distinct row of every key, and all distinct rows without one."""
+    rest = [c for c in df.columns if c not in (key, latest_by)]
+    keyed = df.filter(F.col(key).isNotNull())
+    best = keyed.groupBy(key).agg(F.max(F.struct(latest_by, *rest)).alias("_best")).select(key, "_best.*")
+    return best.select(df.columns).unionByName(df.filter(F.col(key).isNull()).distinct())
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "date", fmt: str = "parquet") -> int:
     """Replace only the partitions that occur in the frame (K5)."""
     return _counted(
@@ -103,6 +120,8 @@ def insert_if_absent(
     merge_schema: bool = False,
     schema_checked: bool = False,
     cache: bool = False,
+    order_by: Sequence[str] = ("time", "_filename"),
+    transient: Sequence[str] = (),
 ) -> int:
     """Append the rows whose key the table does not hold (K3, J1, J2; Q1-Q4).
 
@@ -111,8 +130,13 @@ def insert_if_absent(
     prunes the lookup to those partitions. Only the key column is read.
 
     Rows without a key are always inserted. With `lineage`, the name of a
-    source-file column, those of a file that is stored already are skipped, so
-    that a micro-batch delivered twice is stored once.
+    source-file column, those of a file that is stored already are compared with
+    the stored ones as a bag, so that a micro-batch delivered twice is stored once
+    and one of which a part is stored is completed. Such tables cannot have map
+    columns.
+
+    Of copies inside the batch the first by `order_by` is taken. `transient`
+    columns serve that order and are not stored.
 
     The batch is read a few times, first its keys, then its rows. Reading
     files again is cheaper than storing a wide batch; set `cache` for batches
@@ -121,9 +145,10 @@ def insert_if_absent(
     One writer per table: the lookup and the append are two steps.
     """
     spark = batch.sparkSession
-    create_if_missing(spark, path, batch.schema, partition_by, fmt)
+    schema = batch.drop(*transient).schema
+    create_if_missing(spark, path, schema, partition_by, fmt)
     if not schema_checked:
-        check_stored(spark, path, batch.schema, partition_by, fmt, merge_schema)
+        check_stored(spark, path, schema, partition_by, fmt, merge_schema)
 
     if cache:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -133,8 +158,8 @@ def insert_if_absent(
             return 0
         rows = batch
         if lineage and profile.null_rows:
-            stored = _on_batch_dates(spark, path, batch, [lineage, key], partition_by, fmt)
-            rows = _without_stored_files(batch, stored, key, lineage)
+            stored = _on_batch_dates(spark, path, batch, schema.names, partition_by, fmt)
+            rows = _without_stored_keyless(batch, stored, key, lineage)
         if scope == "partition":
             known = _on_batch_dates(spark, path, batch, [key], partition_by, fmt)
         else:
@@ -142,7 +167,7 @@ def insert_if_absent(
         size = None
         if not profile.fits(profile.keys, BROADCAST_BYTES):
             size = broadcast_size(in_key_range(known, key, profile), key)
-        fresh = absent_rows(rows, known, key, profile, dedupe_batch, known_size=size)
+        fresh = absent_rows(rows, known, key, profile, dedupe_batch, order_by, size).drop(*transient)
         return _counted(
             _by_partition(fresh, partition_by),
             lambda w: w.format(fmt).partitionBy(partition_by).mode("append").save(path),
@@ -244,19 +269,28 @@ def _on_batch_dates(
     return dated.unionByName(existing.filter(F.col(partition_by).isNull()))
 
 
-def _without_stored_files(batch: DataFrame, stored: DataFrame, key: str, lineage: str) -> DataFrame:
-    """The batch less its keyless rows from files whose keyless rows are stored.
+def _without_stored_keyless(batch: DataFrame, stored: DataFrame, key: str, lineage: str) -> DataFrame:
+    """The batch less the keyless rows that are stored already from the same file.
 
-    A file belongs to one micro-batch and its rows to fixed dates, so `stored`
-    need only hold the batch's own dates.
+    A file's rows have fixed dates, so `stored` need only hold the batch's own
+    dates. Mostly no file is known, which a scan of two columns tells. Rows of
+    known files are compared as bags: n copies, of which m are stored, leave
+    n - m. What is left counts as ingested now.
     """
     keyless = F.col(key).isNull()
     files = batch.filter(keyless).select(lineage).distinct()
-    seen = stored.filter(keyless).select(lineage)
-    if files.limit(MAX_FILE_LIST + 1).count() <= MAX_FILE_LIST:
-        seen = F.broadcast(seen.join(F.broadcast(files), lineage, "left_semi").distinct())
-    else:
-        seen = seen.distinct()
-    return batch.filter(~keyless).unionByName(
-        batch.filter(keyless).join(seen, lineage, "left_anti").select(batch.columns)
-    )
+    few = files.limit(MAX_FILE_LIST + 1).count() <= MAX_FILE_LIST
+    held = stored.filter(keyless).join(F.broadcast(files) if few else files, lineage, "left_semi")
+    seen = held.select(lineage).distinct()
+    if seen.isEmpty():
+        return batch
+    seen = F.broadcast(seen) if few else seen
+    rows = batch.filter(keyless)
+    columns = [c for c in stored.columns if c != INGESTED_AT]
+    left = rows.join(seen, lineage, "left_semi").select(columns).exceptAll(held.select(columns))
+    for f in batch.schema.fields:
+        if f.name not in columns:
+            value = F.current_timestamp() if f.name == INGESTED_AT else F.lit(None)
+            left = left.withColumn(f.name, value.cast(f.dataType))
+    new = rows.join(seen, lineage, "left_anti").select(batch.columns)
+    return batch.filter(~keyless).unionByName(new).unionByName(left)

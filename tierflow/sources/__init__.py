@@ -1,5 +1,6 @@
 from tierflow.sources.control import Spec, load_spec
 from tierflow.sources.files import (
+    ARRIVED,
     empty,
     event_stream,
     has_files,

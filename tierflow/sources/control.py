@@ -43,6 +43,12 @@ class Spec:
     source_format: str = "jdbc"
     source_options: dict[str, str] = field(default_factory=dict, repr=False)
 
+    @property
+    def delta_is_time(self) -> bool:
+        """Whether the delta column is declared as dates or times, or not declared."""
+        kind = self.columns.get(self.delta, "timestamp")
+        return kind.lower().startswith(("date", "timestamp"))
+
     @property
     def bronze_path(self) -> str:
         return f"{self.bronze_root}/{self.table}"

@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +17,18 @@ from tierflow.operators.events import localize_events
 # Bound of one micro-batch of a first drain over a large raw folder.
 MAX_BATCH_BYTES = str(256 * 1024**3)
 # Files are known by name, not by age: one that arrives with an old timestamp
-# counts as new all the same. Spark's default forgets them after a week.
-MAX_FILE_AGE = "3650d"
+# counts as new all the same. Spark's default forgets them after a week; this is
+# longer than any timestamp lies back.
+MAX_FILE_AGE = "1000000d"
+# When a raw file came, which orders copies of a key; not stored.
+ARRIVED = "_arrived"
+FILES = "path string, modified long"
 # Partitions opened by folder; each costs the driver one look-up.
 MAX_FOLDER_LIST = 500
 # Partition values whose folder name is the value itself.
 PLAIN = re.compile(r"[A-Za-z0-9_.-]+")
 # Fixed value: folder name of the partition without a value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
-# Clock difference allowed between this machine and the file store.
-CLOCK_MARGIN = timedelta(hours=1)
 
 
 def has_files(spark: SparkSession, path: str) -> bool:
@@ -101,9 +102,10 @@ def stored_schema(
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    """All raw snapshots of a dimension table."""
+    """All raw snapshots of a dimension table, with the columns of all of them.
+    Snapshots whose types conflict are an error."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("mergeSchema", "true").parquet(path)
     except Exception as e:
         raise RuntimeError(errors.LOAD_DIMENSION.format(cause=e)) from e
 
@@ -118,7 +120,8 @@ def event_stream(
     """New raw files as an unbounded table of silver events.
 
     Each file is delivered once per checkpoint. Micro-batches are bounded by
-    `maxFilesPerTrigger` or `maxBytesPerTrigger`.
+    `maxFilesPerTrigger` or `maxBytesPerTrigger`, and take files in the order of
+    the column `_arrived`, which is not for storing.
     """
     options = dict(options or {})
     if not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & options.keys():
@@ -126,6 +129,7 @@ def event_stream(
     options.setdefault("maxFileAge", MAX_FILE_AGE)
     try:
         raw = spark.readStream.schema(schema).format(fmt).options(**options).load(path)
+        raw = raw.withColumn(ARRIVED, raw["_metadata.file_modification_time"])
         return localize_events(raw, filename=raw["_metadata.file_path"])
     except Exception as e:
         raise RuntimeError(errors.LOAD_EVENTS.format(cause=e)) from e
@@ -140,13 +144,22 @@ def remembered_schema(
 ) -> StructType:
     """Schema of a raw folder, inferred once and then kept (T5).
 
-    Spark tasks merge the footers: of all files the first time, later of the
-    files that came since. New columns raise rather than vanish; `evolve`
-    accepts and remembers them.
+    Spark tasks merge the footers: of all files the first time, later of those
+    not looked at before, whatever their timestamp. New columns raise rather
+    than vanish; `evolve` accepts and remembers them. `memory` holds the schema
+    and, as a table, the files looked at.
     """
     kept, checked = _recall(spark, memory)
-    now = datetime.now(timezone.utc)
-    found = _merged_schema(spark, path, fmt, checked)
+    files = None
+    if has_files(spark, path):
+        # Only listed: the content is not selected.
+        listed = spark.read.format("binaryFile").load(path)
+        files = listed.select("path", F.unix_micros("modificationTime").alias("modified"))
+    if files is not None and checked is not None:
+        files = files.join(checked, ["path", "modified"], "left_anti")
+    # The stream itself lists a drain's new files on the driver.
+    new = [] if files is None else files.collect()
+    found = _merged_schema(spark, [r["path"] for r in new], fmt) if new else None
     if kept is None and found is None:
         raise RuntimeError(errors.LOAD_EVENTS.format(cause=f"no files in {path}"))
     if kept is not None:
@@ -156,27 +169,25 @@ def remembered_schema(
                 f"columns {[f.name for f in added]} in {path} are not in the schema kept at {memory}"
             )
         found = StructType([*kept.fields, *added])
-    note = json.dumps({"schema": found.jsonValue(), "checked": now.isoformat()})
-    spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(memory)
+    if found != kept:
+        note = spark.createDataFrame([(found.json(),)], "value string")
+        note.coalesce(1).write.mode("overwrite").text(f"{memory}/schema")
+    if new:
+        spark.createDataFrame(new, FILES).coalesce(1).write.mode("append").parquet(f"{memory}/files")
     return found
 
 
-def _merged_schema(spark: SparkSession, path: str, fmt: str, since: datetime | None) -> StructType | None:
-    """Union of the schemas of the files in a folder, or None without files."""
-    reader = spark.read.option("mergeSchema", "true").format(fmt)
-    if since is not None:
-        reader = reader.option("modifiedAfter", (since - CLOCK_MARGIN).strftime("%Y-%m-%dT%H:%M:%S"))
-        reader = reader.option("timeZone", "UTC")
+def _merged_schema(spark: SparkSession, paths: list[str], fmt: str) -> StructType:
+    """Union of the schemas of some files."""
     try:
-        return reader.load(path).schema
+        return spark.read.option("mergeSchema", "true").format(fmt).load(paths).schema
     except AnalysisException as e:
-        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
         raise RuntimeError(errors.LOAD_EVENTS.format(cause=e)) from e
 
 
-def _recall(spark: SparkSession, memory: str) -> tuple[StructType | None, datetime | None]:
-    if not has_files(spark, memory):
-        return None, None
-    note = json.loads(spark.read.text(memory, wholetext=True).first()["value"])
-    return StructType.fromJson(note["schema"]), datetime.fromisoformat(note["checked"])
+def _recall(spark: SparkSession, memory: str) -> tuple[StructType | None, DataFrame | None]:
+    schema, files = f"{memory}/schema", f"{memory}/files"
+    kept = None
+    if has_files(spark, schema):
+        kept = StructType.fromJson(json.loads(spark.read.text(schema, wholetext=True).first()["value"]))
+    return kept, spark.read.schema(FILES).parquet(files) if has_files(spark, files) else None

@@ -83,16 +83,18 @@ def read_table(
     columns: Sequence[str],
     delta: str | None = None,
     window: Window | None = None,
+    split: bool = True,
 ) -> DataFrame:
     """A source table, projected and bounded at the source.
 
-    Relational formats get a pushed-down statement. File formats get a filter
+    Relational formats get a pushed-down statement; `split` says whether the read
+    may be split over the window, which needs a `delta` of dates or times. File formats get a filter
     and a projection, which reach the scan as pushed filters and read schema.
     """
     if fmt in ("jdbc", "postgresql"):
         read = list(columns) if not delta or delta in columns else [*columns, delta]
         sql = statement(table, read, delta, window)
-        return query(spark, fmt, options, sql, delta, window).select(*columns)
+        return query(spark, fmt, options, sql, delta if split else None, window).select(*columns)
     options = dict(options)
     path = f"{options.pop('path').rstrip('/')}/{table}"
     try:

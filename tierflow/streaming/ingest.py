@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tierflow import errors
 from tierflow.sinks.tables import check_stored, insert_if_absent
+from tierflow.sources.files import ARRIVED
 
 
 def ingest_events(
@@ -23,7 +24,12 @@ def ingest_events(
     The table itself is the state of the deduplication, so rows may arrive any
     time late and the stream keeps no state of its own. The caller awaits the
     returned query.
+
+    The first copy of a key to arrive wins, inside a batch as across batches: by
+    the time of its file, then the file's name, then the event's time. So the
+    size of the batches does not matter.
     """
+    stored = events.drop(ARRIVED)
 
     def insert(batch: DataFrame, batch_id: int) -> None:
         insert_if_absent(
@@ -32,12 +38,14 @@ def ingest_events(
             scope=scope,
             dedupe_batch=dedupe_batch,
             lineage="_filename",
+            order_by=(ARRIVED, "_filename", "time"),
+            transient=(ARRIVED,),
             fmt=fmt,
             schema_checked=True,
         )
 
     try:
-        check_stored(events.sparkSession, path, events.schema, fmt=fmt, merge_schema=merge_schema)
+        check_stored(events.sparkSession, path, stored.schema, fmt=fmt, merge_schema=merge_schema)
         return (
             events.writeStream.foreachBatch(insert)
             .option("checkpointLocation", checkpoint)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierflow import operators as op
@@ -27,6 +27,7 @@ from tierflow.sinks import (
     replace_distinct,
 )
 from tierflow.sources import (
+    ARRIVED,
     Spec,
     event_stream,
     in_catalog,
@@ -141,7 +142,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema = remembered_schema(spark, bronze, f"{root}/schema")
         events = event_stream(spark, bronze, schema)
         drain(ingest_events(events, silver, f"{root}/checkpoint"))
-    return _events(snapshot(spark, silver, events.schema), *EVENT)
+    return _events(snapshot(spark, silver, events.drop(ARRIVED).schema), *EVENT)
 
 
 # --- hourly aggregates and joins -----------------------------------------
@@ -265,14 +266,12 @@ def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a load, counted while it is written."""
+    """Rows of a load, as the sink counts them while it writes."""
     configure(spark)
     path = shared_dir(spark, "count")
-    seen = Observation()
-    items = t.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    items.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    counted = append(t.load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), path)
     return spark.read.parquet(path).agg(
-        F.lit(seen.get["n"]).cast("bigint").alias("counted"), F.count(F.lit(1)).alias("stored")
+        F.lit(counted).cast("bigint").alias("counted"), F.count(F.lit(1)).alias("stored")
     )
 
 
