@@ -81,7 +81,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fits_broadcast(rows: int, row_bytes: int) -> bool:
+    return rows * row_bytes <= BROADCAST_BYTES
+
+
 def small_side(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     """`df` marked for broadcast if its counted rows are few enough to be one."""
     rows = df.count() if rows is None else rows
-    return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
+    return F.broadcast(df) if fits_broadcast(rows, row_bytes) else df

@@ -15,7 +15,8 @@ are contained entirely. This is a prefix-filtered set join:
 
 Documents are scanned twice (frequencies, join) and never shuffled; what is shuffled is one
 row per document and one per verified occurrence. The benchmark side is broadcast only up
-to a checked size, and joined by shuffle beyond.
+to a checked size. Beyond it the prefixes' keys alone are broadcast, again up to a checked
+size, and what they admit is shuffled, a place with the few words around it.
 
 Words are runs of ASCII letters and digits and of any non-ASCII characters; A-Z is folded.
 
@@ -31,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import small_side, stored
+from tierflow.llm.common import fits_broadcast, small_side, stored
 
 WINDOW = 10
 # Words of a shingle; windows of fewer words are one shingle.
@@ -52,13 +53,16 @@ def contamination(
     sizes = windows.agg(F.count("*"), F.collect_set(F.least("w", F.lit(SHINGLE)))).first()
     lengths = [n for n in lengths if n in sizes[1]]
     prefixes = stored(_prefixes(windows, _frequencies(positions, windows, lengths, sizes[0])), "prefixes")
-    found = _keyed(positions, lengths).join(small_side(prefixes, _WINDOW_BYTES), "key", "left")
+    found = _candidates(_keyed(positions, lengths), prefixes, window)
     start = F.col("pos") - F.col("offset")
-    fits = (start >= 1) & (start + F.col("w") <= F.size("words"))
-    same = _folded(F.array_join(F.slice("words", start + 1, F.col("w")), " ")) == F.col("window")
+    at = start - F.col("skipped")
+    fits = (start >= 1) & (at + F.col("w") <= F.size("words"))
+    same = _folded(F.array_join(F.slice("words", at + 1, F.col("w")), " ")) == F.col("window")
     # The place before the first word stands for the document itself.
-    rows = found.filter((F.col("pos") == 0) | F.when(fits, same)).select(
-        "id", "fp", "n_words", F.when(F.col("pos") > 0, F.struct(start.alias("start"), (start + F.col("w")).alias("end"))).alias("hit"), "items"
+    own = F.col("pos") == 0
+    hit = F.struct(start.alias("start"), (start + F.col("w")).alias("end"))
+    rows = found.filter(own | F.when(fits, same)).select(
+        "id", "fp", "n_words", F.when(~own, hit).alias("hit"), F.when(~own, F.col("items")).alias("items")
     )
     per_text = rows.groupBy("id", "fp").agg(
         F.max("n_words").alias("n_words"),
@@ -106,6 +110,22 @@ def _keyed(positions: DataFrame, lengths: Sequence[int]) -> DataFrame:
     return positions.withColumn("key", F.explode(listed)).drop("word")
 
 
+def _candidates(keyed: DataFrame, prefixes: DataFrame, window: int) -> DataFrame:
+    """The documents' places, each with the windows whose prefix begins there. `skipped` is
+    how many of the text's words are missing before `words`."""
+    n = prefixes.count()
+    if fits_broadcast(n, _WINDOW_BYTES):
+        return keyed.join(F.broadcast(prefixes), "key", "left").withColumn("skipped", F.lit(0))
+    keys = small_side(prefixes.select("key", F.lit(True).alias("known")).distinct(), 64, n)
+    rows = keyed.join(keys, "key", "left").filter("pos = 0 OR known")
+    skipped = F.greatest(F.col("pos") - F.lit(window - 1), F.lit(0))
+    around = F.slice("words", skipped + 1, F.col("pos") - skipped + window)
+    # Rows of documents match nothing, and are spread instead of sharing one key.
+    key = F.when(F.col("pos") == 0, F.xxhash64("id", "fp")).otherwise(F.col("key"))
+    rows = rows.select("id", "fp", "n_words", "pos", key.alias("key"), skipped.alias("skipped"), around.alias("words"))
+    return rows.join(prefixes, (rows["key"] == prefixes["key"]) & (F.col("pos") > 0), "left").drop(prefixes["key"])
+
+
 def _windows(items: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
     """The distinct windows, their numbers of words, and the items that hold them."""
     words = F.filter(F.split(_folded(F.col(text)), _BETWEEN), lambda w: w != "")

@@ -62,6 +62,9 @@ STAR_ROUNDS = 2
 # Parts of a set whose parities the suffix filter compares, 64 to a number.
 PARTS = 512
 
+# Texts a task remembers, in two generations, so as to send a repeated one's shingles once.
+REMEMBERED = 1 << 17
+
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -174,12 +177,16 @@ def _hot(rows: DataFrame, words: int) -> dict[int, int]:
 
 def _members(rows: DataFrame, words: int, num: int, den: int, hot: dict[int, int]) -> DataFrame:
     """For each row its class, set size, and the first part of its set in hash order: how many
-    very frequent shingles that has, and the others."""
+    very frequent shingles that has, and the others. Of copies that a task meets, only the
+    first (`lead`) has the others, so that a text which a third of all rows repeat sends its
+    shingles about once per task."""
     known = np.sort(np.fromiter(hot, np.int64, len(hot)))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        young: set[int] = set()
+        old: set[int] = set()
         for batch in batches:
-            fps, sizes, hots, zones = [], [], [], []
+            fps, sizes, hots, leads, zones = [], [], [], [], []
             for text in texts_of(batch, "text"):
                 fp, found = shingle_set(text, words)
                 n = len(found)
@@ -188,7 +195,11 @@ def _members(rows: DataFrame, words: int, num: int, den: int, hot: dict[int, int
                 fps.append(fp)
                 sizes.append(n)
                 hots.append(int(frequent.sum()))
-                zones.append(zone[~frequent])
+                leads.append(fp not in young and fp not in old)
+                zones.append(zone[~frequent] if leads[-1] else zone[:0])
+                young.add(fp)
+                if len(young) > REMEMBERED:
+                    young, old = set(), young
             offsets = np.cumsum([0, *map(len, zones)]).astype(np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, np.int64), *zones]))
             yield pa.RecordBatch.from_arrays(
@@ -198,13 +209,14 @@ def _members(rows: DataFrame, words: int, num: int, den: int, hot: dict[int, int
                     pa.array(fps, pa.int64()),
                     pa.array(sizes, pa.int64()),
                     pa.array(hots, pa.int64()),
+                    pa.array(leads, pa.bool_()),
                     pa.ListArray.from_arrays(pa.array(offsets), flat),
                 ],
-                names=["id", "raw", "fp", "n", "n_hot", "zone"],
+                names=["id", "raw", "fp", "n", "n_hot", "lead", "zone"],
             )
 
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(emit, f"id {id_type}, raw long, fp long, n long, n_hot long, zone array<long>")
+    return rows.mapInArrow(emit, f"id {id_type}, raw long, fp long, n long, n_hot long, lead boolean, zone array<long>")
 
 
 def _classes(members: DataFrame) -> DataFrame:
@@ -213,7 +225,7 @@ def _classes(members: DataFrame) -> DataFrame:
     return (
         members.filter("n > 0")
         .groupBy("fp")
-        .agg(F.min(head).alias("head"), F.max("n").alias("n"), F.max("n_hot").alias("n_hot"), F.count("*").alias("copies"))
+        .agg(F.min(head).alias("head"), F.max("n").alias("n"), F.max("n_hot").alias("n_hot"), F.count_if("lead").alias("leads"))
     )
 
 
@@ -226,7 +238,7 @@ def _alive(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
     # Partners have this size at least, which bounds how many hits they owe.
     smallest = _least_overlap(F.col("n"), num, den)
     needed = F.greatest(F.lit(1), F.floor(smallest * EXTRA))
-    hits = F.col("n_hot") + F.coalesce("hits", F.lit(0)) / F.col("copies")
+    hits = F.col("n_hot") + F.coalesce("hits", F.lit(0)) / F.col("leads")
     return classes.join(shared, "fp", "left").filter(hits >= needed).select("fp", "n", F.col("head.id").alias("id"))
 
 

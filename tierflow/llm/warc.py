@@ -170,10 +170,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     # A record's own fields come with its first segment.
     names = ["record_type", "page_id", "url", "digest", "refers_to"]
     grouped = parts.groupBy(F.coalesce("origin", "record_id").alias("record_id")).agg(
-        F.array_sort(F.collect_list(F.struct("number", "total", "block"))).alias("parts"),
+        # Records written twice repeat their segments: a set holds each once.
+        F.array_sort(F.collect_set(F.struct("number", "total", "block"))).alias("parts"),
+        F.count("*").alias("n_parts"),
+        F.greatest(F.count_if(F.col("number") == 1), F.lit(1)).alias("copies"),
         *[F.first(F.when(F.col("number") == 1, F.col(n)), ignorenulls=True).alias(n) for n in names],
     )
-    joined = grouped.mapInArrow(_assemble, _READ)
+    joined = grouped.mapInArrow(_assemble, T.StructType([*_READ.fields, T.StructField("copies", T.LongType())]))
+    joined = joined.withColumn("copies", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies")
     return whole.mapInArrow(_decode, _READ).unionByName(joined)
 
 
@@ -269,17 +273,14 @@ def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Equal rows written twice share their ids, so each number may come several times."""
-    schema = to_arrow_schema(_READ)
+    """One row for equal records, with their number."""
+    schema = to_arrow_schema(_READ).append(pa.field("copies", pa.int64()))
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            copies = max(1, sum(p["number"] == 1 for p in r["parts"]))
-            parts = {p["number"]: p for p in r["parts"]}
-            numbers = sorted(parts)
-            block = b"".join(parts[n]["block"] for n in numbers)
-            totals = {p["total"] for p in r["parts"]} - {None}
-            sound = numbers == list(range(1, len(numbers) + 1)) and totals == {len(block)} and len(r["parts"]) == copies * len(numbers)
-            rows += [_row(r, block, sound)] * copies
+            parts = r["parts"]
+            block = b"".join(p["block"] for p in parts)
+            totals = {p["total"] for p in parts} - {None}
+            sound = [p["number"] for p in parts] == list(range(1, len(parts) + 1)) and totals == {len(block)}
+            rows.append(_row(r, block, sound and r["n_parts"] == r["copies"] * len(parts)) | {"copies": r["copies"]})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
-
