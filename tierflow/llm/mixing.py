@@ -5,6 +5,8 @@ The token weights of cells (source, language, topic) are raked: scaled so that t
 source, by language and by topic meet their targets, in turn, until all do. A cell's ratio
 of raked to own weight, over the greatest ratio, is the probability with which each of its
 documents is kept; so the expected mix meets the targets, and no probability exceeds one.
+Given a budget, cells that want more than they have are kept whole and the others' ratios
+rise until the expected tokens meet it; the expected mix is then off its targets.
 
 Documents are read twice and reduced to cells before any shuffle, so a source with a third
 of all rows is a few rows per task. Each raking step is one window over cells. Cells are
@@ -16,8 +18,8 @@ sum to one), which damps large sources and lifts small ones.
 Defined results: null source, language or topic read as "". A text without words weighs
 nothing and is kept with its cell's probability; cells without tokens have probability 0.
 The draw depends on the id alone, so repeated rows share their fate and runs repeat. If
-targets cannot all be met (cells that would be needed are empty), raking stops after
-`MAX_ROUNDS` with the last dimension met. An empty table gives an empty one.
+targets cannot all be met (cells that would be needed are empty), raking stops when rounds
+no longer help, with the last dimension met. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -32,12 +34,14 @@ from tierflow.llm.common import fresh, small_side, stored
 # Powers of the shares, by dimension.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 MAX_ROUNDS = 24
+# Rounds where the expected mix has to meet its targets.
+MOST_ROUNDS = 600
 # Rounds between two looks at how far the sums are from their targets.
 ROUNDS = 6
 TOLERANCE = 1e-6
 # Cells up to this number are raked in one task; more are dealt out for every step.
 ONE_TASK_CELLS = 50_000
-# Share of all tokens that the sample is expected to have.
+# Share of all tokens that a sample by budget is expected to have.
 BUDGET = 0.5
 _SPACE = r"[\x20\x09-\x0D]+"
 _CELL_BYTES = 200
@@ -70,17 +74,18 @@ def mix(
     lang: str = "lang",
     temper: Mapping[str, float] = TEMPER,
     targets: DataFrame | None = None,
-    budget: float = BUDGET,
+    budget: float | None = None,
 ) -> DataFrame:
     """`docs` with `topic`, `n_tokens`, `probability` and `sampled`. `targets` may give the
-    shares: columns dim (source, lang or topic), value, share."""
+    shares: columns dim (source, lang or topic), value, share. `budget` is the share of all
+    tokens to expect, at the expense of the targets; without one they are met."""
     topic_name, tokens, chance, drawn = (fresh(docs.columns, n) for n in ("topic", "n_tokens", "probability", "sampled"))
     rows = docs.withColumns({topic_name: topic, tokens: n_words(F.col(text)).cast("long")})
     keys = {"source": F.col(source), "lang": F.col(lang), "topic": F.col(topic_name)}
     keys = {k: F.coalesce(c.cast("string"), F.lit("")) for k, c in keys.items()}
     cells = rows.select(*[c.alias(k) for k, c in keys.items()], F.col(tokens).alias("tokens"))
     cells = stored(cells.groupBy(*keys).agg(F.sum("tokens").alias("tokens")).filter("tokens > 0"), "cells")
-    raked = rake(cells, temper, targets)
+    raked = rake(cells, temper, targets, MOST_ROUNDS if budget is None else MAX_ROUNDS)
     p = F.least(F.col("w") * F.lit(_scale(raked, budget)) / F.col("tokens"), F.lit(1.0))
     ratios = raked.select(*[F.col(k).alias(f"_cell_{k}") for k in keys], p.alias("_cell_p"))
     met = [c == F.col(f"_cell_{k}") for k, c in keys.items()]
@@ -96,14 +101,17 @@ def draw(doc_id: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def rake(cells: DataFrame, temper: Mapping[str, float] = TEMPER, targets: DataFrame | None = None) -> DataFrame:
+def rake(
+    cells: DataFrame, temper: Mapping[str, float] = TEMPER, targets: DataFrame | None = None, rounds: int = MAX_ROUNDS
+) -> DataFrame:
     """`cells` with the raked weight `w`; weights sum to one."""
     dims = list(temper)
     for dim in dims:
         cells = cells.join(_targets(cells, dim, temper[dim], targets), dim)
     cells = stored(cells.withColumn("w", F.col("tokens").cast("double")), "raked")
     few = cells.count() <= ONE_TASK_CELLS
-    for _ in range(0, MAX_ROUNDS, ROUNDS):
+    last = float("inf")
+    for done in range(ROUNDS, rounds + 1, ROUNDS):
         # One partition meets every window's needs without a shuffle.
         cells = cells.coalesce(1) if few else cells
         for _ in range(ROUNDS):
@@ -111,8 +119,11 @@ def rake(cells: DataFrame, temper: Mapping[str, float] = TEMPER, targets: DataFr
                 total = F.expr(f"sum(w) OVER (PARTITION BY {dim})")
                 cells = cells.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"t_{dim}") / total).otherwise(0.0))
         cells = stored(cells, "raked")
-        if _error(cells, dims) <= TOLERANCE:
+        error = _error(cells, dims)
+        # Past the usual rounds, targets that cannot be met show in an error that stands.
+        if error <= TOLERANCE or (done >= MAX_ROUNDS and error > 0.99 * last):
             break
+        last = error
     return cells.select(*dims, "tokens", "w")
 
 
@@ -134,9 +145,12 @@ def _targets(cells: DataFrame, dim: str, power: float, targets: DataFrame | None
     return sums.select(dim, (F.col("t") / F.lit(whole)).alias(f"t_{dim}"))
 
 
-def _scale(raked: DataFrame, budget: float) -> float:
-    """The factor that brings the expected tokens to the budget, cells with all their
-    documents taken out; rises until no more cells are."""
+def _scale(raked: DataFrame, budget: float | None) -> float:
+    """The factor that gives the greatest ratio probability one; with a budget, the factor
+    that brings the expected tokens to it, cells with all their documents taken out, which
+    rises until no more cells are."""
+    if budget is None:
+        return raked.filter("w > 0").agg(F.min(F.col("tokens") / F.col("w"))).first()[0] or 0.0
     whole = raked.agg(F.sum("tokens")).first()[0] or 0
     scale, last = budget * whole, None
     while scale != last:
