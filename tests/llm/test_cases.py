@@ -134,6 +134,22 @@ def test_html(source, text):
     assert html_text.render(source) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<html><head><title>T</title><p>Hello", "Hello"),
+        ("<head><meta charset=utf-8>\n<link rel=x><style>s</style>Hello <b>you", "Hello you"),
+        ("<html><head><template><p>no</p></template><noscript>no</noscript><script>no</script><div>a</div><p>b", "a\n\nb"),
+        ("<html><head><title>T</title>\n<body><p>a</p></body></html>", "a"),
+        ("<html><head><title>T</title></head><p>a<head><p>b", "a\n\nb"),
+        ("<head><title>T</title></br>x", "x"),
+        ("<head><html lang=en><title>T</title>x</html>", "x"),
+    ],
+)
+def test_html_head_ends_where_content_starts(source, text):
+    assert html_text.render(source) == text
+
+
 def test_html_of_any_depth():
     assert html_text.render("<div>" * 20000 + "x") == "x"
 

@@ -1,7 +1,8 @@
 """Layout-aware text of HTML pages (operator 6).
 
 A tree builder turns tag soup into properly nested start and end events: it implies omitted
-end tags (p, li, dt, dd, option, table parts) and rows, and ignores end tags without a start.
+end tags (head, p, li, dt, dd, option, table parts) and rows, and ignores end tags without a
+start.
 A renderer keeps a frame for each open block and emits all visible text: blocks on lines of
 their own, with a blank line around paragraphs, headings, lists and tables; list items with
 bullets or numbers, indented by depth; table cells padded to the width of their column;
@@ -49,6 +50,8 @@ CLOSES = {
     "tfoot": ({"td", "th", "tr", "thead", "tbody", "tfoot", "caption"}, {"table"}),
     "body": ({"head"}, set()),
 }
+# What may stand in a head; any other start tag or text ends it.
+IN_HEAD = set("title meta link style script base template noscript noframes".split())
 # An open p ends where one of these starts.
 ENDS_P = BLOCKS - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "option", "optgroup", "legend", "dialog"}
 BREAKS_P = {"table", "td", "th", "caption", "button", "object"}
@@ -64,7 +67,8 @@ _TAG = re.compile(
 _HIDING = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
 _HIDDEN_INPUT = re.compile(r"""type\s*=\s*["']?hidden""", re.I)
 _START = re.compile(r"""(?:^|\s)start\s*=\s*["']?\s*(-?\d{1,9})""", re.I)
-_SPACE = re.compile(r"[ \t\n\r\f]+")
+BLANK = " \t\n\r\f"
+_SPACE = re.compile(rf"[{BLANK}]+")
 
 
 def extract_text(pages: DataFrame, html_column: str = "html", text: str = "text") -> DataFrame:
@@ -112,12 +116,17 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
                 break
         return found
 
+    def in_head() -> bool:
+        return bool(open_) and open_[-1] == "head"
+
     at = 0
     while True:
         tag = _TAG.search(source, at)
         if tag is None:
             break
         if tag.start() > at:
+            if in_head() and source[at : tag.start()].strip(BLANK):
+                yield from close_to(len(open_) - 1)
             yield "text", source[at : tag.start()], ""
         at = tag.end()
         ends, name, attributes = tag.group(1, 2, 3) if tag[2] else tag.group(4, 5, 6)
@@ -126,6 +135,8 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
         name = name.lower()
         if ends:
             if name == "br":
+                if in_head():
+                    yield from close_to(len(open_) - 1)
                 yield "start", "br", ""
                 yield "end", "br", ""
             elif name not in VOID:
@@ -135,6 +146,10 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
                     i = len(open_) - 1 - open_[::-1].index(name)
                     yield from close_to(i)
             continue
+        if name == "head" and open_ and open_ != ["html"]:
+            continue
+        if in_head() and name not in IN_HEAD:
+            yield from close_to(len(open_) - 1)
         if name in CLOSES:
             i = find(*CLOSES[name])
             if i >= 0:
@@ -161,6 +176,8 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
         open_.append(name)
         counts[name] += 1
     if at < len(source):
+        if in_head() and source[at:].strip(BLANK):
+            yield from close_to(len(open_) - 1)
         yield "text", source[at:], ""
     yield from close_to(0)
 
