@@ -150,6 +150,29 @@ def test_html_head_ends_where_content_starts(source, text):
     assert html_text.render(source) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ('<p title="a hidden gem">a<p class="menu hidden md:block">b<p data-x="display: none">c<p aria-hidden=true>d', "a\n\nb\n\nc\n\nd"),
+        ("<p alt='x hidden'>a<p title=hidden>b<p data-hidden>c<p title=\"it's hidden>d", "a\n\nb\n\nc\n\nd"),
+        ("a<i HIDDEN>x</i><i hidden=''>x</i><i class=c hidden>x</i><i id=a/b hidden=until-found>x</i>b", "ab"),
+        ("a<i style='color:red;DISPLAY : None !important'>x</i><i style=visibility:hidden>x</i><i style='display&#58;none'>x</i>b", "ab"),
+        ("<i style='display:none;display:block'>a</i><i style='--x:\"display:none\"'>b</i><i style='/*display:none*/'>c</i>", "abc"),
+        ("<i style='background:url(data:a;display:none)'>a</i><i style='width:calc((1px + 2px)*2);display:none'>x</i>b", "ab"),
+        ("<ol title='x start=5'><li>a</ol><ol start=' 7'><li>b</ol>", "1. a\n\n7. b"),
+        ("a<svg><title>no</title><defs><text>no</text></defs><g>no<text x=1>one <tspan>two</tspan></text><text>three</text></g></svg>b", "a\none two\nthree\nb"),
+        ("<svg><defs/><path d=a/></path><svg><text>in</text></svg></svg><p>a<svg class=i /> b", "in\n\na b"),
+        ("<svg><foreignObject><p>one<p>two</foreignObject><desc>no</desc></svg>", "one\n\ntwo"),
+        ("<svg><g>no<p>out", "out"),
+        ("<div hidden><svg><text>no</text></svg></div>a", "a"),
+        ("<math><semantics><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></semantics></math>!", "x=2!"),
+        ("<xmp> <b>\n  &lt;</xmp>a", " <b>\n  &lt;\n\na"),
+    ],
+)
+def test_html_hides_by_attribute_alone(source, text):
+    assert html_text.render(source) == text
+
+
 def test_html_of_any_depth():
     assert html_text.render("<div>" * 20000 + "x") == "x"
 

@@ -7,7 +7,8 @@ A renderer keeps a frame for each open block and emits all visible text: blocks
 their own, with a blank line around paragraphs, headings, lists and tables; list items with
 bullets or numbers, indented by depth; table cells padded to the width of their column;
 preformatted text as it stands. Head, scripts, styles, comments and elements hidden by
-attribute or inline style are invisible. Nothing recurses, so nesting may be of any depth.
+attribute or inline style are invisible; of an svg, only its text elements and foreign
+objects show, each on lines of its own. Nothing recurses, so nesting may be of any depth.
 
 Defined results: null and empty pages give an empty text; text without tags is itself, with
 white space collapsed. Broken markup never fails: what is not a tag is text.
@@ -28,9 +29,20 @@ from tierflow.llm.common import texts_of, with_columns
 
 # Element names of the HTML standard by what they do here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("head title script style template noscript iframe object audio video canvas datalist svg math".split())
+HIDDEN = set("head title script style template noscript iframe object audio video canvas datalist".split())
+HIDDEN |= {"annotation", "annotation-xml"}
+# Within an svg: what shows text, and what is drawn by reference or not at all.
+SVG_SHOWN = {"text", "foreignobject"}
+SVG_HIDDEN = set("defs desc metadata symbol clippath mask marker pattern".split())
+# Elements of svg and math that hold HTML; HTML elements that end an svg or math elsewhere.
+HTML_WITHIN = set("foreignobject desc mi mo mn ms mtext annotation-xml".split())
+ENDS_FOREIGN = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
 RAW = set("script style textarea title iframe noscript xmp".split())
-SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure form fieldset hr".split())
+SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre xmp blockquote figure form fieldset hr".split())
+PRE = {"pre", "xmp"}
 BLOCKS = SPACED | set(
     "html body address article aside center details dialog dd div dt figcaption footer header hgroup legend li main nav "
     "optgroup option search section summary caption thead tbody tfoot tr td th menu".split()
@@ -54,7 +66,7 @@ CLOSES = {
 IN_HEAD = set("title meta link style script base template noscript noframes".split())
 # An open p ends where one of these starts.
 ENDS_P = BLOCKS - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "option", "optgroup", "legend", "dialog"}
-BREAKS_P = {"table", "td", "th", "caption", "button", "object"}
+BREAKS_P = {"table", "td", "th", "caption", "button", "object", "foreignobject", "mi", "mo", "mn", "ms", "mtext"}
 
 # A comment, a tag with sound quotes, a tag without, or another declaration.
 _TAG = re.compile(
@@ -64,11 +76,21 @@ _TAG = re.compile(
     r"""|[!?/][^>]*>)""",
     re.S,
 )
-_HIDING = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|visibility\s*:\s*hidden""", re.I)
-_HIDDEN_INPUT = re.compile(r"""type\s*=\s*["']?hidden""", re.I)
-_START = re.compile(r"""(?:^|\s)start\s*=\s*["']?\s*(-?\d{1,9})""", re.I)
 BLANK = " \t\n\r\f"
 _SPACE = re.compile(rf"[{BLANK}]+")
+# A name and, if there is one, its value.
+_ATTRIBUTE = re.compile(
+    rf"""([^{BLANK}/=][^{BLANK}/=]*)(?:[{BLANK}]*=[{BLANK}]*("[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^{BLANK}"'][^{BLANK}]*))?"""
+)
+_MAY_HIDE = re.compile("hidden|style", re.I)
+_CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+# A declaration: up to a semicolon outside of strings and brackets.
+_DECLARATION = re.compile(
+    r"""(?:[^;"'()\\]|\\.|"(?:[^"\\]|\\.)*(?:"|\Z)|'(?:[^'\\]|\\.)*(?:'|\Z)"""
+    r"""|\((?:[^()"'\\]|\\.|"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')*\))+""",
+    re.S,
+)
+_START = re.compile(r"\s*\+?(-?\d{1,9})")
 
 
 def extract_text(pages: DataFrame, html_column: str = "html", text: str = "text") -> DataFrame:
@@ -93,6 +115,47 @@ def render(source: str | None) -> str:
     return frame.finish()
 
 
+# --- attributes ----------------------------------------------------------
+
+
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated name, the first."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), html.unescape(value.strip(value[0]) if value[:1] in ('"', "'") else value))
+    return found
+
+
+def _hides(attributes: str) -> bool:
+    """Whether an element with these attributes is hidden by one of them."""
+    if not _MAY_HIDE.search(attributes):
+        return False
+    found = _attributes(attributes)
+    return "hidden" in found or _style_hides(found.get("style", ""))
+
+
+def _style_hides(style: str) -> bool:
+    """By the last declaration of display or visibility, important ones first."""
+    values: dict[str, tuple[bool, str]] = {}
+    for declaration in _DECLARATION.findall(_CSS_COMMENT.sub(" ", style)):
+        name, _, value = declaration.partition(":")
+        name = name.strip().lower()
+        if name in ("display", "visibility"):
+            value, _, rank = value.partition("!")
+            important = rank.strip().lower() == "important"
+            if important or not values.get(name, (False, ""))[0]:
+                values[name] = important, value.strip().lower()
+    return values.get("display", (False, ""))[1] == "none" or values.get("visibility", (False, ""))[1] == "hidden"
+
+
+def _closes_itself(attributes: str) -> bool:
+    """Whether the slash at the end of a tag is not part of an unquoted value."""
+    end = 0
+    for attribute in _ATTRIBUTE.finditer(attributes):
+        end = attribute.end()
+    return end < len(attributes)
+
+
 # --- tree builder --------------------------------------------------------
 
 
@@ -100,11 +163,15 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
     """Nested events: ("start", name, attributes), ("end", name, ""), ("text", text, "")."""
     open_: list[str] = []
     counts: Counter[str] = Counter()
+    bounds: list[int] = []  # where svg, math and what holds HTML in them are open
 
     def close_to(depth: int) -> Iterator[tuple[str, str, str]]:
         while len(open_) > depth:
             counts[open_[-1]] -= 1
-            yield "end", open_.pop(), ""
+            name = open_.pop()
+            if bounds and bounds[-1] == len(open_):
+                bounds.pop()
+            yield "end", name, ""
 
     def find(names: set[str], stop: set[str]) -> int:
         """Where the outermost of `names` above the nearest of `stop` is open; -1 if none."""
@@ -116,6 +183,10 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
                 break
         return found
 
+    def foreign() -> int:
+        """Where the svg or math is open that the place at hand belongs to; -1 if it is HTML."""
+        return bounds[-1] if bounds and open_[bounds[-1]] in ("svg", "math") else -1
+
     def in_head() -> bool:
         return bool(open_) and open_[-1] == "head"
 
@@ -150,6 +221,9 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
             continue
         if in_head() and name not in IN_HEAD:
             yield from close_to(len(open_) - 1)
+        if name in ENDS_FOREIGN:
+            while (i := foreign()) >= 0:
+                yield from close_to(i)
         if name in CLOSES:
             i = find(*CLOSES[name])
             if i >= 0:
@@ -163,16 +237,19 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
             open_.append("tr")
             counts["tr"] += 1
         yield "start", name, attributes
-        if name in VOID:
+        if name in VOID or (attributes[-1:] == "/" and (name in ("svg", "math") or foreign() >= 0) and _closes_itself(attributes)):
             yield "end", name, ""
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I).search(source, at)
-            if name == "textarea":
-                yield "text", source[at : end.start() if end else len(source)], ""
+            if name in ("textarea", "xmp"):
+                inside = source[at : end.start() if end else len(source)]
+                yield "text", html.escape(inside, quote=False) if name == "xmp" else inside, ""
             at = end.end() if end else len(source)
             yield "end", name, ""
             continue
+        if name in ("svg", "math") or name in HTML_WITHIN:
+            bounds.append(len(open_))
         open_.append(name)
         counts[name] += 1
     if at < len(source):
@@ -202,31 +279,42 @@ class _Renderer:
         self.frames = [_Frame("root")]
         self.hidden = 0
         self.pre = 0
-        self.depths: list[bool] = []  # for each open element, whether it hides
+        self.svgs = 0
+        self.veiled = 0  # 1 in an svg, outside of what shows text there
+        self.depths: list[tuple[int, int]] = []  # for each open element, what it adds to `hidden` and to `veiled`
 
     def start(self, name: str, attributes: str) -> None:
-        hides = name in HIDDEN or bool(attributes and (_HIDING.search(attributes) or (name == "input" and _HIDDEN_INPUT.search(attributes))))
-        self.depths.append(hides)
-        self.hidden += hides
+        hides = int(name in HIDDEN or bool(attributes and _hides(attributes)) or bool(self.svgs and name in SVG_HIDDEN))
+        self.svgs += name == "svg"
+        veils = 1 if name == "svg" and not self.veiled else -1 if name in SVG_SHOWN and self.veiled else 0
+        self.veiled += veils
+        self.hidden += hides + veils
+        self.depths.append((hides + veils, veils))
         if self.hidden:
             return
+        if veils:
+            self._break()
         if name == "br":
             self._break(force=True)
         elif name in BLOCKS:
             self._break()
-            self.pre += name == "pre"
-            first = _START.search(attributes) if name == "ol" and attributes else None
+            self.pre += name in PRE
+            first = _START.match(_attributes(attributes).get("start", "")) if name == "ol" and attributes else None
             self.frames.append(_Frame(name, int(first[1]) if first else 1 if name == "ol" else None))
 
     def end(self, name: str) -> None:
-        hides = self.depths.pop()
-        if self.hidden:
-            self.hidden -= hides
+        hidden, (hides, veils) = self.hidden, self.depths.pop()
+        if veils and not hidden:
+            self._break()
+        self.hidden -= hides
+        self.veiled -= veils
+        self.svgs -= name == "svg"
+        if hidden:
             return
         if name not in BLOCKS:
             return
         self._break()
-        self.pre -= name == "pre"
+        self.pre -= name in PRE
         frame = self.frames.pop()
         self._merge(frame, self.frames[-1])
 
