@@ -218,6 +218,17 @@ def test_classifiers_on_odd_rows(spark):
     assert {r["t"] for r in toxicity.score(odd, None, name="t").collect()} == {0.0}
 
 
+def test_language_is_unknown_just_where_no_letter_is():
+    model = langid.Model(("a", "b"), np.ones((langid.BUCKETS, 2), np.float32), np.zeros(2))
+    chars = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = ["！１２「」", "٠١٢ ०१२", "\u0301\u093f", "ℕ", "ｈ", "हिन्दी", *chars]
+    labels, _ = model.predict(texts)
+    assert [t for t, label in zip(texts, labels, strict=True) if (label == langid.UNKNOWN) == any(c.isalpha() for c in t)] == []
+    # A text's figures do not hang on what stands next to it.
+    alone, beside = (np.concatenate([b for _, _, b in langid._grams(t)]) for t in (["a b"], ["1 2", "a b", "3"]))
+    assert list(alone) == list(beside)
+
+
 def test_toxicity_held_out_accuracy(spark):
     docs, labels = load(spark, "/root/testdata/sf0.1", "documents"), load(spark, "/root/testdata/sf0.1", "labels")
     model = toxicity.train(docs, labels, where=fold("doc_id", 3) != 1)

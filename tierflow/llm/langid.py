@@ -5,8 +5,9 @@ trained with follow-the-regularised-leader steps under an elastic-net penalty, t
 calibrated with one temperature.
 
 * n-grams of one to three characters are hashed to `BUCKETS` features. Letters are
-  lower-cased; everything else reads as a blank. TF is a gram's share of the text's grams,
-  so a text of any length is scored as a running mean over blocks of it.
+  lower-cased and keep their combining marks; everything else reads as a blank. TF is a
+  gram's share of the text's grams, so a text of any length is scored as a running mean over
+  blocks of it.
 * document frequencies cover every training document: each task sums one vector.
 * weights are fitted on a bounded, hashed sample of `PER_LANGUAGE` texts per language.
   The sample is dealt to `SHARDS` tasks; their models are averaged feature by feature.
@@ -20,8 +21,11 @@ rows are all kept. Other columns pass through, whatever their names.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -48,6 +52,8 @@ TEMPERATURES = np.exp(np.linspace(np.log(0.05), np.log(20.0), 81))
 # TF values are small shares; this brings a text's features to the order of one.
 SCALE = 30.0
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.002, 0.001
+# Kinds of characters besides blanks.
+MARK, LETTER = 1, 2
 
 
 @dataclass(frozen=True)
@@ -153,9 +159,12 @@ def _block_grams(parts: list[str], owners: list[int]) -> Iterator[tuple[np.ndarr
     begins = np.cumsum(lengths) - lengths
     codes = np.frombuffer(("\0\0".join(parts) + "\0\0").encode("utf-32-le", "surrogatepass"), np.uint32)
     owners_of = np.asarray(owners)
+    # What starts in the blanks after a text has letters of the next one only.
+    inside = np.ones(len(codes), bool)
+    inside[np.concatenate([begins + lengths - 2, begins + lengths - 1])] = False
     for a in range(0, len(codes), BLOCK):
         piece = codes[a : a + BLOCK + 2]
-        letters = np.where(_is_letter(piece), piece, 0)
+        letters = np.where(_kinds()[piece] > 0, piece, 0)
         n = min(BLOCK, len(codes) - a)
         padded = np.concatenate([letters, np.zeros(n + 2 - len(letters), np.uint32)]) if len(letters) < n + 2 else letters
         one, two, three = padded[:n], padded[1 : n + 1], padded[2 : n + 2]
@@ -164,7 +173,9 @@ def _block_grams(parts: list[str], owners: list[int]) -> Iterator[tuple[np.ndarr
         hashes = np.stack([one * np.uint32(0xC2B2AE3D) + np.uint32(1), h2 * np.uint32(0x27D4EB2F) + np.uint32(2), h3 * np.uint32(0x165667B1) + np.uint32(3)], axis=1)
         hashes ^= hashes >> np.uint32(15)
         hashes *= np.uint32(0x2C1B3C6D)
-        with_letter = np.stack([one > 0, (one > 0) | (two > 0), (one > 0) | (two > 0) | (three > 0)], axis=1)
+        is_letter = _kinds()[padded[: n + 2]] == LETTER
+        a1, a2, a3 = is_letter[:n], is_letter[1 : n + 1], is_letter[2:]
+        with_letter = np.stack([a1, a1 | a2, a1 | a2 | a3], axis=1) & inside[a : a + n, None]
         keep = with_letter.ravel()
         buckets = (hashes.ravel() >> np.uint32(32 - BITS))[keep]
         # Where each text begins among the grams kept.
@@ -178,15 +189,12 @@ def _block_grams(parts: list[str], owners: list[int]) -> Iterator[tuple[np.ndarr
             yield owner[filled], starts[filled], buckets.astype(np.int64)
 
 
-def _is_letter(codes: np.ndarray) -> np.ndarray:
-    """Letters up to U+24F by table; beyond, all but punctuation and symbol blocks."""
-    low = _LETTERS[np.minimum(codes, len(_LETTERS) - 1)]
-    high = (codes >= len(_LETTERS)) & ~((codes >= 0x2000) & (codes < 0x2C00)) & ~((codes >= 0x3000) & (codes < 0x3005))
-    high &= ~((codes >= 0xE000) & (codes < 0xF900)) & ~((codes >= 0xFE00) & (codes < 0xFE70)) & ~((codes >= 0x1F000) & (codes < 0x20000))
-    return np.where(codes < len(_LETTERS), low, high)
-
-
-_LETTERS = np.array([chr(c).isalpha() for c in range(0x250)])
+@cache
+def _kinds() -> np.ndarray:
+    """By code point: LETTER, MARK or 0. Built once per process."""
+    chars = map(chr, range(sys.maxunicode + 1))
+    kinds = (LETTER if c.isalpha() else MARK if unicodedata.category(c)[0] == "M" else 0 for c in chars)
+    return np.fromiter(kinds, np.uint8, sys.maxunicode + 1)
 
 
 def _idf(rows: DataFrame, n_docs: int) -> np.ndarray:
