@@ -1,0 +1,108 @@
+"""Divergence of sources against plain counts, and the joint walk against a full matrix."""
+
+import math
+import re
+from collections import Counter
+from itertools import product
+from unittest import mock
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tierflow.llm import divergence
+
+SCHEMA = "doc_id long, text string, lang string, source string"
+LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def expected(rows, least, top):
+    docs = [(lang or "", source or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))) for _, text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        df = Counter(t for x, _, words in docs if x == lang for t in set(words))
+        kept = [t for t, n in df.items() if n >= least]
+        counts = {s: Counter() for x, s, _ in docs if x == lang}
+        for x, s, words in docs:
+            if x == lang:
+                counts[s].update(w for w in words if df[w] >= least)
+        whole = sum(counts.values(), Counter())
+
+        def share(c):
+            return {t: 1 + 10**9 * (c[t] + 2) // (c.total() + 2 * len(kept)) for t in kept}
+
+        q = share(whole)
+        for s, c in counts.items():
+            p = share(c)
+            pairs = [(-sum((p[t] - o[t]) ** 2 // (p[t] + o[t]) for t in kept), x) for x, o in ((x, share(d)) for x, d in counts.items() if x != s)]
+            terms = [(-((p[t] - q[t]) ** 2 // (p[t] + q[t])), t) for t in kept if c[t] and p[t] > q[t]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item, -v, i) for i, (v, item) in enumerate(found, 1)]
+    return sorted(out)
+
+
+def told(df, **options):
+    return sorted((r["lang"], r["source"], r["part"], r["item"], r["value"], r["rank"]) for r in divergence.audit(df, **options).collect())
+
+
+def texts():
+    rnd = np.random.default_rng(4)
+    words = ["alpha", "Beta", "gamma", "été", "ÉTÉ", "日本", "delta", "epsilon", "zeta", "it's", "x1y", "naïve"]
+    for i in range(120):
+        weights = rnd.dirichlet(np.full(len(words), 0.3))
+        text = " ".join(rnd.choice(words, size=rnd.integers(0, 30), p=weights))
+        yield (i, text, ["en", "fr", None][i % 3], f"s{rnd.integers(0, 7)}")
+    yield from [(200, None, "en", "silent"), (201, "", "en", None), (202, "alpha " * 3000, "en", "s1"), (202, "alpha " * 3000, "en", "s1")]
+    yield from [(203, "alone", "de", "only"), (204, "12 34", "xx", "a"), (205, None, "xx", "b"), (None, "one", "xx", None)]
+
+
+@pytest.mark.parametrize("rows, columns, gathered", [(64, 2048, 1 << 18), (2, 3, 8)])
+def test_against_plain_counts(spark, monkeypatch, rows, columns, gathered):
+    for name, value in (("ROWS", rows), ("COLUMNS", columns), ("_GATHERED", gathered)):
+        monkeypatch.setattr(divergence, name, value)
+    data = list(texts())
+    df = spark.createDataFrame(data, SCHEMA)
+    assert told(df.repartition(4), least_documents=3, top=4) == expected(data, 3, 4)
+
+
+def test_odd_tables(spark):
+    assert divergence.audit(spark.createDataFrame([], SCHEMA)).isEmpty()
+    data = list(texts())
+    df = spark.createDataFrame(data, SCHEMA)
+    clashing = df.withColumns({c: F.lit(5) for c in "term n df p q p0 total terms band strip strips rank value item part lang_n groups".split()})
+    assert told(clashing) == expected(data, 10, 10)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(2, 20), st.integers(1, 30), st.floats(0, 1), st.integers(0, 5), st.integers(0, 1000))
+def test_joint_walk(rows, columns, density, first, seed):
+    # Fronts of a few nodes, so that the walk goes on in many parts.
+    with mock.patch.object(divergence, "_FRONT", 5 if seed % 2 else 1 << 18):
+        check_walk(rows, columns, density, first, seed)
+
+
+def check_walk(rows, columns, density, first, seed):
+    rnd = np.random.default_rng(seed)
+    filled = rnd.random((rows, columns)) < density
+    p0 = rnd.integers(1, 10**9, rows)
+    shares = np.where(filled, rnd.integers(1, 10**9 + 2, (rows, columns)), p0[:, None])
+    first = first if first < rows else 0
+    found = divergence.joint_sums(shares, filled, p0, first)
+    for i, j in product(range(rows), repeat=2):
+        if i < j and (not first or i < first <= j):
+            assert found[i, j] == sum((int(a) - int(b)) ** 2 // (int(a) + int(b)) for a, b in zip(shares[i], shares[j], strict=True))
+
+
+def test_long_texts_are_split_piece_by_piece(monkeypatch):
+    text = ("Alpha beta;" * 50 + "x" * 99 + " Été").encode()
+    whole = list(divergence._terms(text))
+    monkeypatch.setattr(divergence, "_PIECE", 7)
+    assert list(divergence._terms(text)) == whole and whole[-2:] == [b"x" * 99, "Ét".encode() + "é".encode()]
+
+
+def test_shares_of_large_counts(spark):
+    n, total, terms = 9 * 10**17, 9 * 10**18 - 10, 3
+    row = spark.range(1).select(divergence._share(F.lit(n), F.lit(total), F.lit(terms)).alias("p")).first()
+    assert row["p"] == 1 + math.floor(10**9 * (n + 2) // (total + 2 * terms))

@@ -1,0 +1,121 @@
+"""Repeated passages against a count of every window."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow.llm import repeats
+from tierflow.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string"
+
+
+def cut(texts, window):
+    """Spans and kept bytes of each text, by counting all windows of all texts."""
+    counts = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
+    for t in texts:
+        hit = bytearray(len(t))
+        for i in range(len(t) - window + 1):
+            if counts[t[i : i + window]] > 1:
+                hit[i : i + window] = b"\1" * window
+        edges = [i for i in range(len(t) + 1) if (i < len(t) and hit[i]) != (i > 0 and bool(hit[i - 1]))]
+        yield list(zip(edges[::2], edges[1::2], strict=True)), bytes(b for b, h in zip(t, hit, strict=True) if not h)
+
+
+def check(spark, rows, window):
+    texts = [(t or "").encode() for _, t in rows]
+    expected = [(i, len(t), *found) for (i, _), t, found in zip(rows, texts, cut(texts, window), strict=True)]
+    found = repeats.cut_repeats(spark.createDataFrame(rows, SCHEMA).repartition(3), window=window).collect()
+    told = [(r["id"], r["n_bytes"], [tuple(s) for s in r["spans"]], bytes(r["kept"])) for r in found]
+    assert sorted(told, key=repr) == sorted(expected, key=repr)
+
+
+def planted(seed, window, size):
+    rnd = random.Random(seed)
+    passages = ["".join(rnd.choice("abcdé ") for _ in range(rnd.randint(window - 5, 3 * window))) for _ in range(8)]
+    for _ in range(size):
+        text = "".join(rnd.choice("abcdefghé ") for _ in range(rnd.randint(0, 5 * window)))
+        for _ in range(rnd.randint(0, 3)):
+            passage, at = rnd.choice(passages), rnd.randint(0, len(text))
+            if rnd.random() < 0.4:
+                edit = rnd.randrange(len(passage))
+                passage = passage[:edit] + rnd.choice(["", "XY", "é"]) + passage[edit + 1 :]
+            text = text[:at] + passage + text[at:]
+        yield text
+
+
+@pytest.mark.parametrize("window", [16, 40, 200])
+def test_against_all_windows(spark, window):
+    texts = list(planted(window, window, 80))
+    odd = ["", None, "x", "a" * (window - 1), "a" * window, "a" * (window + 1), "a" * 5 * window, "ab" * 3 * window, "é" * 2 * window]
+    rows = list(enumerate(texts + texts[:3] + odd))
+    check(spark, rows + [(None, texts[4]), (None, None), rows[5], (7, "z" * window)], window)
+
+
+def test_texts_longer_than_a_block(spark):
+    rnd = random.Random(5)
+    base = "".join(rnd.choice("abcdefgh") for _ in range(repeats._BLOCK + 70_000))
+    edge = repeats._BLOCK
+    check(spark, [(1, base), (2, base[edge - 900 : edge + 1200] + "!" + base[100:400]), (3, base[690:720]), (4, "h" * 900)], 200)
+
+
+def test_blocks_do_not_move_anchors(monkeypatch):
+    rnd = random.Random(6)
+    texts = [bytes(rnd.choice(b"abcd") for _ in range(n)) for n in (0, 500, 39, 40, 700)] + [b"a" * 300]
+    data, ends = b"".join(texts), np.cumsum([len(t) for t in texts])
+
+    def anchors():
+        return {p: a for f, e, at in repeats._anchors(memoryview(data), ends, 40) for x, y, a in zip(f, e, at, strict=True) for p in range(x, y + 1)}
+
+    whole = anchors()
+    assert len(whole) == sum(max(len(t) - 39, 0) for t in texts)
+    assert all(0 <= a - p <= 40 - repeats._core(40) for p, a in whole.items())
+    monkeypatch.setattr(repeats, "_BLOCK", 64)
+    assert anchors() == whole
+
+
+def test_every_document_is_sifted_through(spark, monkeypatch):
+    # A sieve of 64 bits is full at once: results must not hang on it.
+    monkeypatch.setattr(repeats, "_SIEVE", 64)
+    check(spark, list(enumerate(planted(3, 30, 40))), 30)
+
+
+def test_copies_that_fill_a_table(spark):
+    base = "".join(random.Random(2).choice("abcdef ") for _ in range(700))
+    near = base.replace(base[300:310], "0123456789", 1)
+    docs = spark.range(900).select(F.col("id").alias("doc_id"), F.when(F.col("id") == 5, near).when(F.col("id") < 600, base).otherwise(F.concat(F.lit("n"), "id")).alias("text"))
+    found = {r["id"]: r for r in repeats.cut_repeats(docs).collect()}
+    assert all(found[i]["kept"] == b"" and found[i]["spans"] == [(0, 700)] for i in range(600) if i != 5)
+    assert bytes(found[5]["kept"]) == b"0123456789"
+    assert all(not found[i]["spans"] for i in range(600, 900))
+
+
+def test_odd_tables(spark):
+    assert repeats.cut_repeats(spark.createDataFrame([], SCHEMA)).isEmpty()
+    rows = spark.createDataFrame([("a", "x" * 300), (None, None)], "doc_id string, text string")
+    clashing = rows.withColumns({c: F.lit(1) for c in "id d1 d2 loc locs c u1 u2 kept spans sifted word bit n at".split()})
+    found = {r["id"]: r for r in repeats.cut_repeats(clashing).collect()}
+    assert found["a"]["kept"] == b"" and found[None]["n_bytes"] == 0
+    with pytest.raises(ValueError):
+        repeats.cut_repeats(rows, window=8)
+
+
+def test_query_on_the_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    window, texts = repeats.WINDOW, [(r["text"] or "").encode() for r in docs]
+    counts = Counter(hash(t[i : i + window]) for t in texts for i in range(len(t) - window + 1))
+    removed = {}
+    for r, t in zip(docs, texts, strict=True):
+        end = total = 0
+        for i in range(len(t) - window + 1):
+            if counts[hash(t[i : i + window])] > 1:
+                total += i + window - max(i, end)
+                end = i + window
+        removed[r["doc_id"]] = total
+    found = QUERIES["op11_repeats"](spark, sf_dir).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in found} == removed and any(removed.values())
+    assert all((r["n_spans"] > 0) == (r["n_removed"] > 0) for r in found)

@@ -133,10 +133,49 @@ FROM docs LEFT JOIN p USING (s, l, topic)
     )
 
 
+_TERMS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, {_TERMS}) AS w
+  FROM documents
+), t AS (
+  SELECT r, lang, source, unnest(w) AS term FROM d
+), c AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS df FROM t GROUP BY ALL
+), v AS MATERIALIZED (
+  SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL HAVING sum(df) >= 10
+), l AS (
+  SELECT lang, count(*) AS terms, sum(n) AS total FROM v GROUP BY lang
+), g AS MATERIALIZED (
+  SELECT lang, source, coalesce(total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (
+    SELECT lang, source, sum(c.n) AS total FROM c JOIN v USING (lang, term) GROUP BY ALL) USING (lang, source)
+), p AS MATERIALIZED (
+  SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (g.total + 2 * l.terms)::HUGEINT AS p,
+    1 + 1000000000::HUGEINT * (v.n + 2) // (l.total + 2 * l.terms)::HUGEINT AS q
+  FROM g JOIN l USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term)
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) AS value
+    FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.other = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value::BIGINT AS value,
+  row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+FROM found
+QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_exact_top_k": TOP_K,
     "op4_decontamination": DECONTAMINATION,
     "op5_ngram_jaccard": JACCARD,
     "op8_mixing": _mixing(),
     "op10_warc": WARC,
+    "op12_source_divergence": DIVERGENCE,
 }

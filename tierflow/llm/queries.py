@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierflow.llm import decontam, html_text, jaccard, langid, mixing, quality, tokens, topk, toxicity, warc
+from tierflow.llm import (
+    decontam,
+    divergence,
+    html_text,
+    jaccard,
+    langid,
+    mixing,
+    quality,
+    repeats,
+    tokens,
+    topk,
+    toxicity,
+    warc,
+    whitening,
+)
 from tierflow.llm.common import fold, load
 from tierflow.session import shared_dir
 
@@ -100,6 +114,28 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.cut_repeats(load(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["begin"])
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(load(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(load(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    deviation = F.expr("try_cast(deviation AS bigint)").alias("deviation")
+    return found.select(F.col("id").alias("vec_id"), "component", "n", deviation, "whitened", "explained", "identity_error")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -113,5 +149,8 @@ QUERIES: dict[str, Query] = {
         op8_mixing,
         op9_toxicity,
         op10_warc,
+        op11_repeats,
+        op12_source_divergence,
+        op13_whitening,
     )
 }
