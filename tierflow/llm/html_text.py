@@ -6,20 +6,30 @@ start.
 A renderer keeps a frame for each open block and emits all visible text: blocks on lines of
 their own, with a blank line around paragraphs, headings, lists and tables; list items with
 bullets or numbers, indented by depth; table cells padded to the width of their column;
-preformatted text as it stands. Head, scripts, styles, comments and elements hidden by
-attribute or inline style are invisible; of an svg, only its text elements and foreign
-objects show, each on lines of its own. Nothing recurses, so nesting may be of any depth.
+preformatted text as it stands. Cells that span columns or rows keep those after them in
+their columns; one of several columns is as wide as these. Head, scripts, styles, comments
+and elements hidden by attribute or inline style are invisible; what is visible again inside
+an element of hidden visibility shows. Of an svg, only its text elements and foreign objects
+show, each on lines of its own. A closed dialog is hidden; the body of closed details shows,
+as a reader can open it. Nothing recurses, so nesting may be of any depth, and the scanner
+never goes back but once a page, so that broken pages take no longer than sound ones.
 
 Defined results: null and empty pages give an empty text; text without tags is itself, with
-white space collapsed. Broken markup never fails: what is not a tag is text.
+white space collapsed. Broken markup never fails: what is not a tag is text, and a tag that
+the page ends in is dropped. Where the page ends in a quoted value, quotes mean nothing from
+that tag on. Bounds keep the text of any page in proportion to it: elements nest to DEPTH and
+indent to INDENTED levels, columns are padded to PADDED characters, and a cell of several rows
+keeps its place below in the first SPANNED columns; no text is lost by them.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +39,7 @@ from tierflow.llm.common import texts_of, with_columns
 
 # Element names of the HTML standard by what they do here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("head title script style template noscript iframe object audio video canvas datalist".split())
+HIDDEN = set("head title script style template noscript noframes noembed iframe object audio video canvas datalist rp".split())
 HIDDEN |= {"annotation", "annotation-xml"}
 # Within an svg: what shows text, and what is drawn by reference or not at all.
 SVG_SHOWN = {"text", "foreignobject"}
@@ -40,13 +50,15 @@ ENDS_FOREIGN = set(
     "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
     "pre ruby s small span strong strike sub sup table tt u ul var".split()
 )
-RAW = set("script style textarea title iframe noscript xmp".split())
+RAW = set("script style textarea title iframe noscript noframes noembed xmp".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre xmp blockquote figure form fieldset hr".split())
 PRE = {"pre", "xmp"}
 BLOCKS = SPACED | set(
     "html body address article aside center details dialog dd div dt figcaption footer header hgroup legend li main nav "
     "optgroup option search section summary caption thead tbody tfoot tr td th menu".split()
 )
+CELLS = {"td", "th"}
+INDENTS = {"li", "blockquote", "dd"}
 # Start tag -> open elements it closes, and the elements beyond which it does not look.
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -68,15 +80,20 @@ IN_HEAD = set("title meta link style script base template noscript noframes".spl
 ENDS_P = BLOCKS - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "td", "th", "option", "optgroup", "legend", "dialog"}
 BREAKS_P = {"table", "td", "th", "caption", "button", "object", "foreignobject", "mi", "mo", "mn", "ms", "mtext"}
 
-# A comment, a tag with sound quotes, a tag without, or another declaration.
-_TAG = re.compile(
-    r"""<(?:!--(?:.*?--!?>|.*\Z)"""
-    r"""|(/?)([a-zA-Z][^\s/>]*)([^<>"']*(?:(?:"[^"]*"|'[^']*')[^<>"']*)*)>"""
-    r"""|(/?)([a-zA-Z][^\s/>]*)([^<>]*)>"""
-    r"""|[!?/][^>]*>)""",
-    re.S,
-)
+# Elements inside each other, beyond which they become neighbours, as browsers have it; and
+# those of them that indent their text.
+DEPTH = 512
+INDENTED = 32
+# Columns that a cell can span, and the first columns, where one of several rows takes place.
+WIDEST = 1000
+SPANNED = 64
+# Columns are padded up to this many characters.
+PADDED = 120
 BLANK = " \t\n\r\f"
+# Quantifiers are possessive: what is read once is not tried otherwise.
+_NAME = re.compile(rf"[a-zA-Z][^{BLANK}/>]*+")
+_QUOTED = re.compile(rf"""(?:[^>=]++|=[{BLANK}]*+(?:"[^"]*+"|'[^']*+'|[^{BLANK}>"'][^{BLANK}>]*+|(?=>)))*+>""")
+_COMMENT_END = re.compile("--!?>")
 _SPACE = re.compile(rf"[{BLANK}]+")
 # A name and, if there is one, its value.
 _ATTRIBUTE = re.compile(
@@ -86,10 +103,11 @@ _MAY_HIDE = re.compile("hidden|style", re.I)
 _CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 # A declaration: up to a semicolon outside of strings and brackets.
 _DECLARATION = re.compile(
-    r"""(?:[^;"'()\\]|\\.|"(?:[^"\\]|\\.)*(?:"|\Z)|'(?:[^'\\]|\\.)*(?:'|\Z)"""
-    r"""|\((?:[^()"'\\]|\\.|"(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')*\))+""",
+    r"""(?:[^;"'()\\]|\\.|"(?:[^"\\]|\\.)*+(?:"|\Z)|'(?:[^'\\]|\\.)*+(?:'|\Z)"""
+    r"""|\((?:[^()"'\\]|\\.|"(?:[^"\\]|\\.)*+"|'(?:[^'\\]|\\.)*+')*+\))++""",
     re.S,
 )
+_COUNT = re.compile(r"\s*\+?(\d{1,9})")
 _START = re.compile(r"\s*\+?(-?\d{1,9})")
 
 
@@ -126,16 +144,17 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
-def _hides(attributes: str) -> bool:
-    """Whether an element with these attributes is hidden by one of them."""
+def _look(attributes: str) -> tuple[bool, str]:
+    """Whether an element with these attributes is not displayed, and its visibility if stated."""
     if not _MAY_HIDE.search(attributes):
-        return False
+        return False, ""
     found = _attributes(attributes)
-    return "hidden" in found or _style_hides(found.get("style", ""))
+    display, visibility = _styles(found.get("style", ""))
+    return "hidden" in found or display == "none", visibility
 
 
-def _style_hides(style: str) -> bool:
-    """By the last declaration of display or visibility, important ones first."""
+def _styles(style: str) -> tuple[str, str]:
+    """The last declarations of display and visibility, important ones first."""
     values: dict[str, tuple[bool, str]] = {}
     for declaration in _DECLARATION.findall(_CSS_COMMENT.sub(" ", style)):
         name, _, value = declaration.partition(":")
@@ -145,7 +164,16 @@ def _style_hides(style: str) -> bool:
             important = rank.strip().lower() == "important"
             if important or not values.get(name, (False, ""))[0]:
                 values[name] = important, value.strip().lower()
-    return values.get("display", (False, ""))[1] == "none" or values.get("visibility", (False, ""))[1] == "hidden"
+    return values.get("display", (False, ""))[1], values.get("visibility", (False, ""))[1]
+
+
+def _spans(attributes: str) -> tuple[int, int]:
+    """Columns and rows of a cell; as many rows as there are if it says 0."""
+    if "span" not in attributes.lower():
+        return 1, 1
+    found = _attributes(attributes)
+    columns, rows = (_COUNT.match(found.get(n, "")) for n in ("colspan", "rowspan"))
+    return min(max(int(columns[1]), 1), WIDEST) if columns else 1, (int(rows[1]) or 1 << 30) if rows else 1
 
 
 def _closes_itself(attributes: str) -> bool:
@@ -156,6 +184,52 @@ def _closes_itself(attributes: str) -> bool:
     return end < len(attributes)
 
 
+# --- scanner -------------------------------------------------------------
+
+
+class _Scanner:
+    """Finds the tags of a page; every character is read at most twice."""
+
+    def __init__(self, source: str) -> None:
+        self.source = source
+        self.quoted = True  # until the page turns out to end in a quoted value
+
+    def tag(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """What comes next from `at` on: where it begins and ends, whether it is an end tag, its
+        name and its attributes. Comments and the like have no name."""
+        source = self.source
+        while (begin := source.find("<", at)) >= 0:
+            ends = source.startswith("/", begin + 1)
+            name = _NAME.match(source, begin + 1 + ends)
+            if name:
+                end = self._end(name.end())
+                if end < 0:
+                    return begin, len(source), False, "", ""
+                return begin, end + 1, ends, name[0], source[name.end() : end]
+            if ends or source.startswith(("!", "?"), begin + 1):
+                return begin, self._comment_end(begin), False, "", ""
+            at = begin + 1
+        return None
+
+    def _end(self, at: int) -> int:
+        """Where the tag ends whose name ends at `at`; -1 if the page does first."""
+        if self.quoted:
+            if found := _QUOTED.match(self.source, at):
+                return found.end() - 1
+            self.quoted = False
+        return self.source.find(">", at)
+
+    def _comment_end(self, begin: int) -> int:
+        source = self.source
+        if not source.startswith("<!--", begin):
+            return source.find(">", begin) + 1 or len(source)
+        for whole in ("<!-->", "<!--->"):
+            if source.startswith(whole, begin):
+                return begin + len(whole)
+        found = _COMMENT_END.search(source, begin + 4)
+        return found.end() if found else len(source)
+
+
 # --- tree builder --------------------------------------------------------
 
 
@@ -190,17 +264,14 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
     def in_head() -> bool:
         return bool(open_) and open_[-1] == "head"
 
-    at = 0
-    while True:
-        tag = _TAG.search(source, at)
-        if tag is None:
-            break
-        if tag.start() > at:
-            if in_head() and source[at : tag.start()].strip(BLANK):
+    scanner, at = _Scanner(source), 0
+    while (tag := scanner.tag(at)) is not None:
+        begin, end, ends, name, attributes = tag
+        if begin > at:
+            if in_head() and source[at:begin].strip(BLANK):
                 yield from close_to(len(open_) - 1)
-            yield "text", source[at : tag.start()], ""
-        at = tag.end()
-        ends, name, attributes = tag.group(1, 2, 3) if tag[2] else tag.group(4, 5, 6)
+            yield "text", source[at:begin], ""
+        at = end
         if not name:
             continue
         name = name.lower()
@@ -236,6 +307,8 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
             yield "start", "tr", ""
             open_.append("tr")
             counts["tr"] += 1
+        if len(open_) >= DEPTH and name not in VOID:
+            yield from close_to(DEPTH - 1)
         yield "start", name, attributes
         if name in VOID or (attributes[-1:] == "/" and (name in ("svg", "math") or foreign() >= 0) and _closes_itself(attributes)):
             yield "end", name, ""
@@ -265,13 +338,15 @@ def _events(source: str) -> Iterator[tuple[str, str, str]]:
 class _Frame:
     """A block under construction: finished lines, the line at hand, and what it is."""
 
-    __slots__ = ("name", "lines", "line", "lead", "gap", "number", "rows")
+    __slots__ = ("name", "lines", "line", "lead", "gap", "number", "rows", "spans", "pad")
 
-    def __init__(self, name: str, number: int | None = None) -> None:
+    def __init__(self, name: str, number: int | None = None, spans: tuple[int, int] = (1, 1), pad: bool = True) -> None:
         self.name, self.lines, self.line = name, [], []
+        self.spans, self.pad = spans, pad  # of a cell; whether its lines may be indented
         self.lead = self.gap = False  # whether blank lines are due around it
         self.number = number  # of the next item, in ordered lists
-        self.rows: list[list[str]] = []
+        # Cells of a row (text, columns, rows), or rows of a table.
+        self.rows: list = []
 
 
 class _Renderer:
@@ -281,45 +356,57 @@ class _Renderer:
         self.pre = 0
         self.svgs = 0
         self.veiled = 0  # 1 in an svg, outside of what shows text there
-        self.depths: list[tuple[int, int]] = []  # for each open element, what it adds to `hidden` and to `veiled`
+        self.shown = True  # by visibility
+        self.indents = 0
+        # For each open element, what it adds to `hidden` and to `veiled`, and `shown` around it.
+        self.depths: list[tuple[int, int, bool]] = []
 
     def start(self, name: str, attributes: str) -> None:
-        hides = int(name in HIDDEN or bool(attributes and _hides(attributes)) or bool(self.svgs and name in SVG_HIDDEN))
+        off, visibility = _look(attributes) if attributes else (False, "")
+        closed = name == "dialog" and "open" not in _attributes(attributes)
+        hides = int(off or closed or name in HIDDEN or bool(self.svgs and name in SVG_HIDDEN))
         self.svgs += name == "svg"
         veils = 1 if name == "svg" and not self.veiled else -1 if name in SVG_SHOWN and self.veiled else 0
         self.veiled += veils
         self.hidden += hides + veils
-        self.depths.append((hides + veils, veils))
+        self.depths.append((hides + veils, veils, self.shown))
+        if visibility in ("visible", "hidden", "collapse"):
+            self.shown = visibility == "visible"
         if self.hidden:
             return
         if veils:
             self._break()
         if name == "br":
-            self._break(force=True)
+            self._break(force=self.shown)
         elif name in BLOCKS:
             self._break()
             self.pre += name in PRE
             first = _START.match(_attributes(attributes).get("start", "")) if name == "ol" and attributes else None
-            self.frames.append(_Frame(name, int(first[1]) if first else 1 if name == "ol" else None))
+            number = int(first[1]) if first else 1 if name == "ol" else None
+            self.frames.append(_Frame(name, number, _spans(attributes) if name in CELLS else (1, 1), self.indents < INDENTED))
+            self.indents += name in INDENTS
+            if name == "hr" and self.shown:
+                self.frames[-1].lines.append("---")
 
     def end(self, name: str) -> None:
-        hidden, (hides, veils) = self.hidden, self.depths.pop()
+        hidden, (hides, veils, shown) = self.hidden, self.depths.pop()
         if veils and not hidden:
             self._break()
         self.hidden -= hides
         self.veiled -= veils
         self.svgs -= name == "svg"
-        if hidden:
-            return
-        if name not in BLOCKS:
+        if hidden or name not in BLOCKS:
+            self.shown = shown
             return
         self._break()
+        self.shown = shown
+        self.indents -= name in INDENTS
         self.pre -= name in PRE
         frame = self.frames.pop()
         self._merge(frame, self.frames[-1])
 
     def text(self, raw: str) -> None:
-        if self.hidden:
+        if self.hidden or not self.shown:
             return
         text = html.unescape(raw) if "&" in raw else raw
         line = self.frames[-1].line
@@ -362,17 +449,16 @@ class _Renderer:
         name, lines = frame.name, frame.lines
         while lines and not lines[-1].strip():
             lines.pop()
-        if name in ("td", "th"):
+        if name in CELLS:
             if parent.name == "tr":
-                parent.rows.append([" ".join(x.strip() for x in lines if x.strip())])
+                parent.rows.append((" ".join(x.strip() for x in lines if x.strip()), *frame.spans))
                 return
         elif name == "tr":
-            if frame.rows or lines:
-                cells = [*[c[0] for c in frame.rows], *lines]
-                if parent.name in ("table", "thead", "tbody", "tfoot"):
-                    parent.rows.append(cells)
-                else:
-                    self._append(parent, [" ".join(cells)])
+            cells = [*frame.rows, *((line, 1, 1) for line in lines)]
+            if parent.name in ("table", "thead", "tbody", "tfoot"):
+                parent.rows.append(cells)
+            elif cells:
+                self._append(parent, [" ".join(text for text, _, _ in cells)])
             return
         elif name in ("thead", "tbody", "tfoot") and parent.name == "table":
             parent.rows += frame.rows
@@ -386,12 +472,10 @@ class _Renderer:
             if parent.number is not None:
                 mark = f"{parent.number}. "
                 parent.number += 1
-            pad = " " * len(mark)
+            pad = " " * len(mark) if frame.pad else ""
             lines = [(mark if i == 0 else pad if x else "") + x for i, x in enumerate(lines)] or []
         elif name in ("blockquote", "dd"):
-            lines = ["  " + x if x else x for x in lines]
-        elif name == "hr":
-            lines = ["---"]
+            lines = ["  " + x if x and frame.pad else x for x in lines]
         if lines:
             # A list in a list item or another list stands close.
             close = name == "li" or (name in ("ul", "ol") and parent.name in ("li", "ul", "ol"))
@@ -399,11 +483,49 @@ class _Renderer:
             self._append(parent, lines, not close and (spaced or frame.lead), not close and (spaced or frame.gap))
 
 
-def _aligned(rows: list[list[str]]) -> list[str]:
-    """A table's rows with cells padded to the widest of their column."""
-    widths: list[int] = []
-    for row in rows:
-        widths += [0] * (len(row) - len(widths))
-        for i, cell in enumerate(row):
-            widths[i] = max(widths[i], len(cell))
-    return [" | ".join(c.ljust(w) for c, w in zip(row, widths, strict=False)).rstrip() for row in rows]
+def _aligned(rows: list[list[tuple[str, int, int]]]) -> list[str]:
+    """A table's rows with cells padded to the widest of their column, or to their columns."""
+    placed = _placed(rows)
+    # Columns in which no cell begins have no width of their own.
+    begins = sorted({at for row in placed for at, _, _ in row})
+    number = {at: i for i, at in enumerate(begins)}
+    row_cells = [[(number[at], bisect_left(begins, at + wide), text) for at, wide, text in row] for row in placed]
+    widths = [0] * len(begins)
+    for row in row_cells:
+        for i, j, text in row:
+            if j == i + 1:
+                widths[i] = max(widths[i], min(len(text), PADDED))
+    edges = list(accumulate((w + 3 for w in widths), initial=0))
+    for row in row_cells:
+        for i, j, text in row:
+            if j > i + 1 and (lack := min(len(text), PADDED) - (edges[j] - edges[i] - 3)) > 0:
+                widths[j - 1] = max(widths[j - 1], edges[j] - edges[j - 1] - 3 + lack)
+    edges = list(accumulate((w + 3 for w in widths), initial=0))
+    out = []
+    for row in row_cells:
+        parts, column = [], 0
+        for i, j, text in row:
+            parts += [" " * w for w in widths[column:i]]
+            parts.append(text.ljust(min(edges[j] - edges[i] - 3, PADDED)))
+            column = j
+        if row:
+            out.append(" | ".join(parts).rstrip())
+    return out
+
+
+def _placed(rows: list[list[tuple[str, int, int]]]) -> list[list[tuple[int, int, str]]]:
+    """First column, number of columns and text of the cells of each row, past those that
+    cells of rows above hold."""
+    held: dict[int, int] = {}  # column -> first row in which it is free again
+    out = []
+    for r, row in enumerate(rows):
+        column, cells = 0, []
+        for text, wide, high in row:
+            while held.get(column, 0) > r:
+                column += 1
+            cells.append((column, wide, text))
+            if high > 1:
+                held |= dict.fromkeys(range(column, min(column + wide, SPANNED)), r + high)
+            column += wide
+        out.append(cells)
+    return out
