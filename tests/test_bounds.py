@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierflow.operators import ingest_window, latest_marks, literal, month_bounds, month_window, next_mark
-from tierflow.sinks import read_mark, record_mark
+from tierflow import store
+from tierflow.operators import Window
+from tierflow.sinks import ConcurrentLoad, Mark, all_marks, current_mark, planned_window, read_mark, record_mark
 
 UTC = timezone.utc
 
@@ -83,3 +85,49 @@ def test_month_is_that_of_the_stored_dates():
     """Two hours past midnight UTC it is still the evening before where the sensors are."""
     assert month_window(now="2024-03-01T02:00:00") == ("2024-02-01", "2024-02-29")
     assert month_window(now="2024-03-01T05:00:00") == ("2024-03-01", "2024-03-31")
+
+
+def test_one_of_two_loads_moves_the_mark(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    start = current_mark(spark, path, "a")
+    assert start == Mark(0, None)
+    first = record_mark(spark, path, "a", ingest_window(now="2024-05-01T10:00:00"), start)
+    assert first == Mark(1, datetime(2024, 5, 1, tzinfo=UTC))
+    with pytest.raises(ConcurrentLoad, match="a: mark 1"):
+        record_mark(spark, path, "a", ingest_window(now="2024-06-01T10:00:00"), start)
+    assert read_mark(spark, path, "a") == datetime(2024, 5, 1, tzinfo=UTC)
+    assert record_mark(spark, path, "a", ingest_window(now="2024-05-03"), first).number == 2
+
+
+def test_a_writer_lost_half_way_moves_nothing(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    record_mark(spark, path, "a", ingest_window(now="2024-05-01T10:00:00"))
+    store.create_new(spark, f"{path}/ingest=a/000000000002.json", "")
+    mark = current_mark(spark, path, "a")
+    assert mark == Mark(2, datetime(2024, 5, 1, tzinfo=UTC))
+    assert record_mark(spark, path, "a", ingest_window(now="2024-05-04T10:00:00"), mark).number == 3
+    assert read_mark(spark, path, "a") == datetime(2024, 5, 4, tzinfo=UTC)
+
+
+def test_a_repeated_load_has_the_window_it_planned(spark, tmp_path):
+    path, start = str(tmp_path / "marks"), Mark()
+    planned = Window(datetime(2024, 5, 1, tzinfo=UTC), datetime(2024, 5, 2, 10, 30, 0, 5, tzinfo=UTC))
+    later = Window(planned.lo, datetime(2024, 5, 3, tzinfo=UTC))
+    assert planned_window(spark, path, "a", start, planned) == planned
+    assert planned_window(spark, path, "a", start, later) == planned
+    assert planned_window(spark, path, "b", start, later) == later
+    assert planned_window(spark, path, "a", Mark(1), later) == later
+    store.create_new(spark, f"{path}/_plans/ingest=c/000000000001.json", "")
+    assert planned_window(spark, path, "c", start, later) == later
+    # Plans are not marks.
+    assert read_mark(spark, path, "a") is None
+
+
+def test_all_marks_as_a_table(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    for ingest, now in (("a", "2024-05-01T10:00:00"), ("b", "2024-06-01"), ("a", "2024-05-02T10:00:00")):
+        record_mark(spark, path, ingest, ingest_window(now=now))
+    planned_window(spark, path, "a", Mark(2), ingest_window(now="2024-07-01"))
+    rows = latest_marks(all_marks(spark, path)).orderBy("ingest").select("ingest", F.col("hi").cast("string").alias("hi")).collect()
+    assert all_marks(spark, path).count() == 3
+    assert [tuple(r) for r in rows] == [("a", "2024-05-02 00:00:00"), ("b", "2024-06-01 00:00:00")]

@@ -12,6 +12,7 @@ from tierflow.operators import (
     ENERGY,
     FLAGS,
     WIDE_COLUMNS,
+    hourly,
     hourly_avg,
     hourly_sum,
     hours_by_join,
@@ -55,7 +56,7 @@ METERS = [(10, "roof"), (11, "ground")]
 T = "2024-01-05 03:10:00"
 
 
-def wide(spark, combine, electrical=(), energy=(), state=(), temperature=()):
+def wide(spark, combine, electrical=(), energy=(), state=(), temperature=(), how=None):
     df = wide_hourly(
         measures(spark, ELECTRICAL, list(electrical)),
         measures(spark, ENERGY, list(energy)),
@@ -63,6 +64,7 @@ def wide(spark, combine, electrical=(), energy=(), state=(), temperature=()):
         temps(spark, list(temperature)),
         dim(spark, NODES, METERS),
         combine,
+        how,
     )
     assert tuple(df.columns) == WIDE_COLUMNS and len(df.columns) == 37
     return df.orderBy("node_id", "date", "hour", "category").collect()
@@ -212,3 +214,32 @@ def test_small_node_table_is_broadcast_only_when_measured_small(spark, tmp_path)
     shuffled = plan_without_adaptivity(spark, lambda: gold_wide(t, "2024-01-01", "2024-01-31"))
     assert "BroadcastExchange" not in shuffled
     assert df.count() == gold_wide(t, "2024-01-01", "2024-01-31").count() > 0
+
+
+def test_aggregate_of_each_measure(spark):
+    rows = [(1, T, 2.0), (1, T, None), (1, T, 5.0), (2, T, None)]
+    for how, expected in {"sum": [7.0, None], "avg": [3.5, None], "min": [2.0, None], "max": [5.0, None], "count": [2, 0]}.items():
+        got = hourly(measures(spark, ELECTRICAL, rows), ["vp1", "vp2"], {"vp1": how}).orderBy("node_id").collect()
+        assert [r["vp1"] for r in got] == expected and [r["vp2"] for r in got] == [3.0, 1.0]
+    with pytest.raises(ValueError, match="no aggregate is called median"):
+        hourly(measures(spark, ELECTRICAL, rows), ["vp1"], {"vp1": "median"})
+
+
+@BOTH
+def test_wide_table_with_other_aggregates(spark, combine):
+    how = {"vp1": "avg", "iaepd1": "count", "temperature": "min"}
+    rows = [(1, T, 2.0), (1, T, 4.0), (2, T, 1.0)]
+    got = wide(spark, combine, rows, [(1, T, None), (1, T, 3.0), (2, T, None)], temperature=[(1, T, 9.0), (1, T, 7.0)], how=how)
+    assert [(r["vp1"], r["vp2"], r["iaepd1"], r["Temperature"]) for r in got if r["category"] == "home"] == [(3.0, 2.0, 1, 7.0)]
+    counted = wide(spark, combine, rows, [(1, T, 1.0), (2, T, 1.0)], temperature=[(1, T, None)], how={"temperature": "count"})
+    # An hour whose temperatures are unknown has none; an hour without any is unknown.
+    assert [r["Temperature"] for r in counted] == [0, -1]
+    with pytest.raises(ValueError, match="no measure is called vq1"):
+        wide(spark, combine, how={"vq1": "avg"})
+
+
+def test_other_aggregates_cost_no_exchange(spark):
+    e = measures(spark, ELECTRICAL, [(1, T, 2.0)])
+    args = (e, measures(spark, ENERGY, [(1, T, 2.0)]), texts(spark, []), temps(spark, []))
+    plans = [hours_by_join(*args, how)._jdf.queryExecution().executedPlan().toString() for how in (None, {"vp1": "avg", "cp1": "max"})]
+    assert plans[0].count("hashpartitioning") == plans[1].count("hashpartitioning")

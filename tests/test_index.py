@@ -1,0 +1,117 @@
+"""The key index: the same inserts as without it, whatever happens to table and index."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow import store
+from tierflow.operators.bitmaps import bitmaps, bucket_of, found_keys
+from tierflow.operators.keys import key_profile
+from tierflow.sinks import KeyIndex, insert_if_absent, overwrite_partitions
+from tierflow.sources import snapshot
+
+SCHEMA = "id bigint, time timestamp, v int, date string"
+EDGES = [0, 1, -1, 32_767, 32_768, 32_769, 65_536, -32_767, -32_768, -32_769, 2**63 - 1, -(2**63), 2**40, None]
+
+
+def frame(spark, rows):
+    """Rows given as (id, day, v); a day None means no time and no date."""
+    text = [(i, d and f"2024-01-{d:02d} 00:00:00", v, d and f"2024-01-{d:02d}") for i, d, v in rows]
+    return spark.createDataFrame(text, "id bigint, t string, v int, date string").select("id", F.to_timestamp("t").alias("time"), "v", "date")
+
+
+def stored(spark, path):
+    return sorted(map(tuple, snapshot(spark, path, frame(spark, []).schema).collect()), key=repr)
+
+
+def batch(rng, size=60):
+    keys = [rng.choice(EDGES) if rng.random() < 0.2 else rng.randrange(-40_000, 120_000, 400) for _ in range(size)]
+    return [(k, rng.choice([None, 1, 2, 3]), rng.randrange(9)) for k in keys]
+
+
+def looked_up(spark, index, rows):
+    df = frame(spark, rows)
+    return {r["id"] for r in index.lookup(df, df.schema, key_profile(df)).collect()}
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_bits_of_every_key(spark, few):
+    rng = random.Random(1)
+    held = {k for k in EDGES if k is not None} | {rng.randrange(-100_000, 100_000) for _ in range(300)}
+    asked = held | {k + d for k in held for d in (-1, 1, 8) if abs(k + d) < 2**63} | {None}
+    frames = [spark.createDataFrame([(k,) for k in ks], "id bigint") for ks in (held, asked)]
+    found = found_keys(frames[1], bitmaps(frames[0], "id").unionAll(bitmaps(frames[0].limit(5), "id")), "id", few)
+    assert sorted(r["id"] for r in found.collect()) == sorted(held)
+    buckets = frames[0].select("id", F.bitmap_bucket_number("id").alias("b")).collect()
+    assert all(bucket_of(r["id"]) == r["b"] for r in buckets)
+
+
+@pytest.mark.parametrize("dedupe", [True, False])
+def test_inserts_equal_those_without_an_index(spark, tmp_path, monkeypatch, dedupe):
+    """Some batches are stored past the index, and its bitmaps are merged on the way."""
+    monkeypatch.setattr("tierflow.sinks.index.MERGE_AFTER", 2)
+    rng = random.Random(f"index{dedupe}")
+    with_index, plain, root = (str(tmp_path / n) for n in ("i", "p", "root"))
+    for n in range(6):
+        rows = batch(rng)
+        index = None if n in (0, 3) else root
+        told = [insert_if_absent(frame(spark, rows), p, dedupe_batch=dedupe, index=i) for p, i in ((with_index, index), (plain, None))]
+        assert told[0] == told[1] and told[0].partitions == {d and f"2024-01-{d:02d}" for _, d, _ in rows}
+        assert stored(spark, with_index) == stored(spark, plain)
+    assert len(store.versions(spark, root)) == 2
+
+
+def test_an_index_that_lags_is_completed(spark, tmp_path):
+    path, index = str(tmp_path / "t"), KeyIndex(str(tmp_path / "x"), str(tmp_path / "t"))
+    assert looked_up(spark, index, [(1, 1, 0)]) == set()
+    insert_if_absent(frame(spark, [(1, 1, 0), (2, 2, 0), (None, 1, 0)]), path)
+    assert looked_up(spark, index, [(k, 1, 0) for k in (1, 2, 3)]) == {1, 2}
+    insert_if_absent(frame(spark, [(3, 2, 0), (70_000, None, 0)]), path)
+    assert looked_up(spark, index, [(k, 1, 0) for k in (1, 3, 4, 70_000)]) == {1, 3, 70_000}
+    # A run lost after it wrote bitmaps and before the ledger: they are written again.
+    insert_if_absent(frame(spark, [(5, 3, 0)]), path)
+    index._write(bitmaps(frame(spark, [(5, 3, 0)]), "id"), index.version(spark))
+    assert looked_up(spark, index, [(k, 1, 0) for k in (5, 6)]) == {5}
+    assert looked_up(spark, index, []) == set() and looked_up(spark, index, [(None, 1, 0)]) == set()
+
+
+def test_a_rewritten_table_is_indexed_anew(spark, tmp_path):
+    path, index = str(tmp_path / "t"), KeyIndex(str(tmp_path / "x"), str(tmp_path / "t"))
+    insert_if_absent(frame(spark, [(1, 1, 0), (2, 2, 0)]), path)
+    assert looked_up(spark, index, [(1, 1, 0), (2, 1, 0)]) == {1, 2}
+    overwrite_partitions(frame(spark, [(9, 2, 0)]), path)
+    assert looked_up(spark, index, [(k, 1, 0) for k in (1, 2, 9)]) == {1, 9}
+
+
+def test_only_new_files_and_the_buckets_of_a_batch_are_read(spark, tmp_path, monkeypatch):
+    path, index = str(tmp_path / "t"), KeyIndex(str(tmp_path / "x"), str(tmp_path / "t"))
+    insert_if_absent(frame(spark, [(k, 1, 0) for k in range(0, 300_000_000, 20_000_000)]), path)
+    df = frame(spark, [(20_000_000, 2, 0), (20_000_001, 2, 0)])
+    plan = index.lookup(df, df.schema, key_profile(df))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(slice" in plan and "GreaterThanOrEqual(bucket,611), LessThanOrEqual(bucket,611)" in plan
+    insert_if_absent(df, path, index=index.root)
+    read = []
+    monkeypatch.setattr("tierflow.sinks.index.snapshot", lambda *args: read.append(args[-1]) or snapshot(*args))
+    assert looked_up(spark, index, [(20_000_001, 2, 0)]) == {20_000_001}
+    assert looked_up(spark, index, [(20_000_001, 2, 0)]) == {20_000_001}
+    assert read == [["2024-01-02", None]]
+
+
+def test_keys_far_apart(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tierflow.sinks.index.FEW_BITMAPS", 5)
+    path, root = str(tmp_path / "t"), str(tmp_path / "x")
+    insert_if_absent(frame(spark, [(k, 1, 0) for k in range(100)]), path, index=root)
+    far = [(k << 20, 1, 1) for k in range(10)]
+    # Looked up in the files instead; 0 is stored already.
+    assert insert_if_absent(frame(spark, far), path, index=root) == 9
+    with pytest.raises(ValueError, match="no index"):
+        insert_if_absent(frame(spark, far), path, index=f"{root}-of-its-own")
+
+
+def test_only_whole_numbers(spark, tmp_path):
+    df = frame(spark, [(1, 1, 0)]).withColumn("id", F.col("id").cast("string"))
+    with pytest.raises(ValueError, match="not a whole number"):
+        insert_if_absent(df, str(tmp_path / "t"), index=str(tmp_path / "x"))

@@ -3,21 +3,25 @@
 from __future__ import annotations
 
 import json
+import math
 
 import pytest
 from pyspark.sql.types import StructType
 
 from tierflow.operators import ingest_window
 from tierflow.sources import (
+    control_table,
     empty,
     event_stream,
     has_files,
     jdbc_options,
     load_spec,
+    load_specs,
     query,
     read_dimension,
     read_table,
     remembered_schema,
+    slices,
     snapshot,
     statement,
     stored_schema,
@@ -62,6 +66,54 @@ def test_postgresql_connector():
     assert o["user"] == "u" and "host" not in o and options["host"] == "db"
 
 
+def meets(condition, value, count):
+    """Whether a value meets a condition of `slices`, with remainders as in SQL."""
+    remainder = None if value is None else int(math.fmod(value, count))
+    if " IN " in condition:
+        return remainder is not None and remainder in eval(condition.split(" IN ")[1])
+    return value is None or remainder == 0
+
+
+@pytest.mark.parametrize("count", [1, 2, 7])
+def test_every_row_is_in_one_slice(count):
+    conditions = slices("k", count)
+    assert len(conditions) == count
+    for value in [None, *range(-20, 21)]:
+        assert sum(meets(c, value, count) for c in conditions) == 1
+    with pytest.raises(ValueError):
+        slices("k", 0)
+
+
+def test_slices_are_conditions_of_sql(spark):
+    df = spark.createDataFrame([(v,) for v in [None, *range(-9, 10), 2**63 - 1, -(2**63)]], "k bigint")
+    assert sum(df.filter(c).count() for c in slices("k", 4)) == df.count()
+    assert slices("k", 2) == ["MOD(k, 2) = 0 OR k IS NULL", "MOD(k, 2) IN (1, -1)"]
+
+
+def test_full_loads_are_dealt_out(spark, monkeypatch):
+    asked = {}
+    reader = type(spark.read)
+
+    def jdbc(self, url, table, **options):
+        asked.update(options, url=url, table=table)
+        return spark.range(0).selectExpr("id", "id AS k")
+
+    monkeypatch.setattr(reader, "jdbc", jdbc)
+    options = {"url": "jdbc:x", "sliceColumn": "k", "numPartitions": "3", "user": "u"}
+    assert read_table(spark, "jdbc", options, "t", ["id"]).columns == ["id"]
+    assert asked["table"] == "(SELECT id, k FROM PUBLIC.t) src" and asked["predicates"] == slices("k", 3)
+    assert asked["url"] == "jdbc:x" and asked["properties"] == {"fetchsize": "10000", "user": "u"}
+    # A delta that is no time bounds the statement and does not split it.
+    asked.clear()
+    read_table(spark, "jdbc", options, "t", ["id", "k"], "id", WINDOW, split=False)
+    assert asked["table"].startswith("(SELECT id, k FROM PUBLIC.t WHERE id BETWEEN")
+    # A window that splits the read comes first.
+    asked.clear()
+    with pytest.raises(RuntimeError):
+        read_table(spark, "jdbc", {**options, "url": "jdbc:none"}, "t", ["id", "time"], "time", WINDOW)
+    assert not asked
+
+
 def test_failure_names_the_statement(spark):
     with pytest.raises(RuntimeError, match="Error loading data with the SQL statement: SELECT 1, error:"):
         query(spark, "jdbc", {"url": "jdbc:none://x"}, "SELECT 1")
@@ -161,6 +213,37 @@ def test_schema_is_remembered(spark, tmp_path):
     assert wider.names == ["id", "x", "y"] == remembered_schema(spark, bronze, memory).names
 
 
+@pytest.mark.parametrize("footers", [10_000, 3])
+def test_many_small_files(spark, tmp_path, monkeypatch, footers):
+    """Their names reach the memory without being collected here."""
+    monkeypatch.setattr("tierflow.sources.files.FOOTERS", footers)
+    bronze, memory = str(tmp_path / "b"), str(tmp_path / "m")
+    spark.range(40).selectExpr("id", "struct(id AS a) AS s").repartition(40).write.parquet(bronze)
+    spark.range(3).selectExpr("id", "struct(id AS b) AS s", "1 AS more").write.parquet(f"{bronze}/_load=x")
+    taken = []
+    collect = type(spark.range(1)).collect
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.range(1)), "collect", lambda self: taken.append(self.columns) or collect(self))
+        found = remembered_schema(spark, bronze, memory)
+    assert not any("path" in c for c in taken)
+    assert found.names == ["id", "s", "more"] and sorted(found["s"].dataType.names) == ["a", "b"]
+    looked_at = spark.read.parquet(f"{memory}/files")
+    assert looked_at.count() == len(list((tmp_path / "b").rglob("*.parquet")))
+    remembered_schema(spark, bronze, memory)
+    assert spark.read.parquet(f"{memory}/files").count() == looked_at.count()
+    assert not [n for n in (tmp_path / "m").iterdir() if n.name.startswith("_new")]
+
+
+def test_slices_whose_types_conflict(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tierflow.sources.files.FOOTERS", 1)
+    bronze = str(tmp_path / "b")
+    spark.range(2).coalesce(1).write.parquet(bronze)
+    spark.range(2).selectExpr("CAST(id AS string) AS id").coalesce(1).write.mode("append").parquet(bronze)
+    with pytest.raises(RuntimeError, match="Error loading and transforming event data"):
+        remembered_schema(spark, bronze, str(tmp_path / "m"))
+    assert not (tmp_path / "m" / "files").exists()
+
+
 def test_catalog_lookup(spark):
     assert not table_exists(spark, "no_such_table")
 
@@ -237,3 +320,28 @@ def test_missing_documents(spark, documents):
         load_spec(spark, "other", env, ingests, connectors)
     with pytest.raises(RuntimeError, match="Error loading connector configuration file:"):
         load_spec(spark, "readings", env, ingests, connectors + "x")
+
+
+def test_all_ingests_as_a_table(spark, documents, tmp_path):
+    places = documents()
+    other = {"source": {"db": "d", "table": "node", "columns": {"b": "int", "a": "int"}, "connector": "postgres.json"}}
+    (tmp_path / "ingestion" / "nodes + 1%.json").write_text(json.dumps(other))
+    rows = {r["ingest"]: r for r in control_table(spark, *places).collect()}
+    assert rows.keys() == {"readings", "nodes + 1%"}
+    specs = load_specs(spark, *places)
+    for name in rows:
+        assert specs[name] == load_spec(spark, name, *places) and list(specs[name].columns) == list(load_spec(spark, name, *places).columns)
+        for place in ("bronze_path", "silver_path", "checkpoint_path", "schema_path", "index_path", "marks_path"):
+            assert rows[name][place] == getattr(specs[name], place)
+
+
+def test_ingests_with_faults(spark, documents, tmp_path):
+    places = documents()
+    lone = {"source": {"db": "d", "table": "t", "columns": {}, "connector": "none.json"}}
+    (tmp_path / "ingestion" / "lone.json").write_text(json.dumps(lone))
+    assert control_table(spark, *places).filter("source_format IS NULL").count() == 1
+    with pytest.raises(RuntimeError, match="Error loading connector configuration file: ingest lone"):
+        load_specs(spark, *places)
+    (tmp_path / "ingestion" / "lone.json").write_text("{ no document")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        control_table(spark, *places).collect()

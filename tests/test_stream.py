@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tierflow.sinks import append
+from tierflow.sinks import append, put_load
 from tierflow.sources import event_stream, remembered_schema, snapshot
 from tierflow.streaming import drain, ingest_events
 
@@ -162,3 +162,69 @@ def test_new_column_in_a_file_with_an_old_timestamp(spark, tmp_path):
         os.utime(f, (1.6e9, 1.6e9))
     with pytest.raises(ValueError, match=r"columns \['more'\]"):
         t.drain()
+
+
+def fails_at(wanted):
+    def failing(batch_id, rows):
+        if batch_id == wanted:
+            raise RuntimeError("lost after storing")
+
+    return failing
+
+
+@pytest.mark.parametrize("lost", [0, 1, 2])
+def test_a_batch_lost_after_storing_is_delivered_again(spark, tmp_path, lost):
+    """Keyed and keyless rows end up as in a drain without a fault."""
+    tables = []
+    for name, fault in (("whole", None), ("lost", fails_at(lost))):
+        t = Tiers(spark, tmp_path / name, on_batch=fault)
+        t.land((1, DAY, 1), (None, DAY, 2), (None, DAY, 2), (None, None, 3))
+        t.land((1, DAY, 5), (2, DAY, 1), (None, DAY, 2))
+        t.land((3, DAY, 1), (None, DAY, 9))
+        if fault:
+            with pytest.raises(RuntimeError, match="lost after storing"):
+                t.drain(maxFilesPerTrigger="1")
+        t.ingest = {}
+        t.drain(maxFilesPerTrigger="1")
+        tables.append(t.rows())
+    assert tables[0] == tables[1] and len(tables[0]) == 8
+
+
+def test_rows_of_each_batch_are_told(spark, tmp_path):
+    told = {}
+    t = Tiers(spark, tmp_path, on_batch=told.__setitem__, index=str(tmp_path / "index"))
+    t.land((1, DAY, 1), (2, "2024-02-01 12:00:00", 1))
+    t.land((1, DAY, 5), (3, None, 1))
+    t.drain(maxFilesPerTrigger="1")
+    assert told == {0: 2, 1: 1}
+    assert [told[k].partitions for k in (0, 1)] == [{D, "2024-02-01"}, {D, None}]
+
+
+@pytest.mark.parametrize("per_trigger", ["1", "2", "100"])
+def test_one_copy_survives_among_files_of_one_time(spark, tmp_path, per_trigger):
+    """Which one is open where a batch ends between them; in one batch it is the first name."""
+    t = Tiers(spark, tmp_path)
+    for v in range(5):
+        t.land((1, DAY, v), (10 + v, DAY, v))
+    files = sorted(Path(t.root, "bronze").glob("*.parquet"))
+    for f in files:
+        os.utime(f, (1.7e9, 1.7e9))
+    t.drain(maxFilesPerTrigger=per_trigger)
+    rows = t.rows()
+    assert [r[0] for r in rows] == [1, 10, 11, 12, 13, 14]
+    if per_trigger == "100":
+        first = spark.read.parquet(str(files[0])).filter("id = 1").first()["v"]
+        assert rows[0][1] == first
+
+
+def test_raw_files_in_the_folders_of_loads(spark, tmp_path):
+    t = Tiers(spark, tmp_path)
+    t.land((1, DAY, 1))
+    df = spark.createDataFrame([(2, DAY, 2, False), (None, DAY, 3, False)], SCHEMA)
+    put_load(df, f"{t.root}/bronze", "20240102")
+    t.drain()
+    assert t.rows() == sorted([(1, 1, D), (2, 2, D), (None, 3, D)], key=repr)
+    assert "_load" not in t.schema.names
+    put_load(df, f"{t.root}/bronze", "20240102")
+    t.drain()
+    assert [r for r in t.rows() if r[0] is not None] == [(1, 1, D), (2, 2, D)]

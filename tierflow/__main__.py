@@ -2,9 +2,9 @@
 
     python -m tierflow bronze --ingest readings --conf /conf [--start 2024-01-01 --end 2024-02-01]
     python -m tierflow silver --ingest readings --conf /conf --table-type event
-           [--scope partition] [--keep-copies] [--evolve]
+           [--scope partition] [--keep-copies] [--evolve] [--index]
     python -m tierflow silver --ingest nodes --conf /conf --table-type dimension [--key id --latest-by changed]
-    python -m tierflow gold   --ingest readings --conf /conf [--month 2024-01-15]
+    python -m tierflow gold   --ingest readings --conf /conf [--month 2024-01-15] [--aggregate vp1=avg ...]
 
 `--conf` holds environment.json, ingestion/<ingest>.json and connectors/<name>.
 """
@@ -31,11 +31,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.job == "bronze":
         source_to_bronze(spark, spec, (args.start, args.end) if args.start else None)
     elif args.job == "silver":
-        events = {"scope": args.scope, "dedupe_batch": not args.keep_copies, "evolve": args.evolve}
+        events = {"scope": args.scope, "dedupe_batch": not args.keep_copies, "evolve": args.evolve, "index": args.index}
         latest = {"key": args.key, "latest_by": args.latest_by}
         bronze_to_silver(spark, spec, args.table_type, **(events if args.table_type == "event" else latest))
     else:
-        silver_to_gold(spark, spec, args.name, args.month)
+        silver_to_gold(spark, spec, args.name, args.month, dict(pair.split("=", 1) for pair in args.aggregate))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -49,10 +49,12 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--scope", default="table", choices=["table", "partition"])
     p.add_argument("--keep-copies", action="store_true")
     p.add_argument("--evolve", action="store_true")
+    p.add_argument("--index", action="store_true")
     p.add_argument("--key")
     p.add_argument("--latest-by")
     p.add_argument("--name", default="wide_hourly")
     p.add_argument("--month")
+    p.add_argument("--aggregate", action="append", default=[], metavar="MEASURE=NAME")
     return p
 
 

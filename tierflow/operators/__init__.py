@@ -1,12 +1,15 @@
+from tierflow.operators.bitmaps import bitmaps, found_keys, merged
 from tierflow.operators.bounds import Window, ingest_window, latest_marks, literal, month_bounds, month_window, next_mark
 from tierflow.operators.dates import batch_dates, between_dates, date_list, in_dates
 from tierflow.operators.events import localize_events, stringify_timestamps
 from tierflow.operators.hourly import (
+    AGGREGATES,
     ELECTRICAL,
     ENERGY,
     FLAGS,
     KEYS,
     WIDE_COLUMNS,
+    hourly,
     hourly_avg,
     hourly_sum,
     hours_by_join,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,10 +52,10 @@ class SilverTables:
         return SilverTables(**cut, nodes=self.nodes, meters=self.meters)
 
 
-def gold_wide(tables: SilverTables, first: str, last: str) -> DataFrame:
-    """The wide hourly table for a range of dates."""
+def gold_wide(tables: SilverTables, first: str, last: str, how: Mapping[str, str] | None = None) -> DataFrame:
+    """The wide hourly table for a range of dates; `how` as in :func:`~tierflow.operators.wide_hourly`."""
     t = tables.within(first, last)
-    return wide_hourly(t.electrical, t.energy, t.state, t.temperature, node_dim(t.nodes, t.meters))
+    return wide_hourly(t.electrical, t.energy, t.state, t.temperature, node_dim(t.nodes, t.meters), how=how)
 
 
 def publish_views(tables: SilverTables, first: str, last: str) -> dict[str, str]:

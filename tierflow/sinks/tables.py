@@ -1,30 +1,52 @@
-"""Writers. Each runs its plan once and returns
-the number of rows it wrote, observed during the write."""
+"""Writers. Each runs its plan once and returns the
+number of rows it wrote, with the partitions they went to, observed during the write."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+import itertools
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tierflow import errors
-from tierflow.operators.bounds import Window, latest_marks, next_mark
+from tierflow import errors, store
+from tierflow.operators.bounds import Window
 from tierflow.operators.dates import date_list
 from tierflow.operators.keys import BROADCAST_BYTES, absent_rows, broadcast_size, in_key_range, key_profile
-from tierflow.sources.files import empty, has_files, snapshot, stored_schema
-
-MARKS = "lo timestamp, hi timestamp, run_ts timestamp, ingest string"
+from tierflow.sinks.index import KeyIndex
+from tierflow.sources.files import LOAD, NO_VALUE, empty, has_files, snapshot, stored_schema
+
+# Versions of a replaced table that stay: the current one and the one before.
+VERSIONS = 2
+# Table property: all partitions of the folder were looked for once.
+RECOVERED = "tierflow.recovered"
+# Partitions per catalog statement.
+ADD_AT_ONCE = 500
 # File paths are broadcast only up to this many.
 MAX_FILE_LIST = 100_000
 # Fixed value: the column that tells when a row was inserted.
 INGESTED_AT = "_ingested_at"
 
 
-def append(df: DataFrame, path: str) -> int:
+class Rows(int):
+    """A number of rows, and the partitions they were written to (None is the one without
+    a value)."""
+
+    partitions: frozenset[str | None]
+
+    def __new__(cls, rows: int, partitions: Iterable[str | None] = ()) -> Rows:
+        out = super().__new__(cls, rows)
+        out.partitions = frozenset(partitions)
+        return out
+
+    def plus(self, other: Rows) -> Rows:
+        """Both together."""
+        return Rows(self + other, self.partitions | other.partitions)
+
+
+def append(df: DataFrame, path: str) -> Rows:
     """Add a frame to a raw table (K1)."""
     try:
         return _counted(df, lambda w: w.mode("append").parquet(path))
@@ -32,11 +54,36 @@ def append(df: DataFrame, path: str) -> int:
         raise RuntimeError(errors.WRITE_BRONZE.format(cause=e)) from e
 
 
+def load_name(window: Window) -> str:
+    """Folder of the load of a window: the same for the same bounds."""
+    return "_".join(f"{t:%Y%m%dT%H%M%S}{t.microsecond:06d}" for t in (window.lo, window.hi))
+
+
+def put_load(df: DataFrame, path: str, load: str) -> Rows:
+    """Make a frame the whole of a named load of a raw table (K1, Q26).
+
+    A load that is put again replaces what it had stored, other loads stay: the folder
+    of the load is swapped when the job commits. A load without rows leaves no folder.
+    """
+    try:
+        rows = _counted(
+            df.withColumn(LOAD, F.lit(load)),
+            lambda w: w.partitionBy(LOAD).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path),
+        )
+    except Exception as e:
+        raise RuntimeError(errors.WRITE_BRONZE.format(cause=e)) from e
+    if not rows:
+        store.remove(df.sparkSession, f"{path}/{LOAD}={load}")
+    return rows
+
+
 def replace_distinct(
     df: DataFrame, path: str, fmt: str = "parquet", key: str | None = None, latest_by: str | None = None
-) -> int:
+) -> Rows:
     """Replace a dimension table, schema included, by the distinct rows (K4, A5).
 
+    The table is gone while the new one is written; :func:`replace_version` keeps it.
+
     With `key` and `latest_by` only the row with the greatest `latest_by` stays
     of each key (Q9), ties to the greatest remaining columns; rows without a key
     all stay.
@@ -50,6 +97,48 @@ def replace_distinct(
         raise RuntimeError(errors.WRITE_DIMENSION.format(cause=e)) from e
 
 
+def replace_version(
+    df: DataFrame,
+    root: str,
+    switch: Callable[[str], None],
+    fmt: str = "parquet",
+    key: str | None = None,
+    latest_by: str | None = None,
+) -> Rows:
+    """The rows of :func:`replace_distinct` as a new version beside the stored one (K4, A5).
+
+    Readers see the version before until `switch` is called with the folder of the
+    complete new one, as :func:`register` does for readers by name; readers by path ask
+    :func:`current_version`. The version before stays for those who opened it; older ones,
+    and what failed runs left, go. One writer per table.
+    """
+    spark = df.sparkSession
+    names = store.versions(spark, root)
+    path = f"{root}/{store.next_version(spark, root)}"
+    try:
+        rows = _counted(latest_per_key(df, key, latest_by) if key else df.distinct(), lambda w: w.format(fmt).save(path))
+    except Exception as e:
+        raise RuntimeError(errors.WRITE_DIMENSION.format(cause=e)) from e
+    switch(path)
+    stay = [n for n in names if _complete(spark, f"{root}/{n}")][1 - VERSIONS :]
+    for name in names:
+        if name not in stay:
+            store.remove(spark, f"{root}/{name}")
+    return rows
+
+
+def current_version(spark: SparkSession, root: str) -> str | None:
+    """Folder of the latest complete version of a replaced table."""
+    for name in reversed(store.versions(spark, root)):
+        if _complete(spark, f"{root}/{name}"):
+            return f"{root}/{name}"
+    return None
+
+
+def _complete(spark: SparkSession, version: str) -> bool:
+    return store.exists(spark, f"{version}/_SUCCESS")
+
+
 def latest_per_key(df: DataFrame, key: str, latest_by: str) -> DataFrame:
     """The latest distinct row of every key, and all distinct rows without one."""
     rest = [c for c in df.columns if c not in (key, latest_by)]
@@ -58,7 +147,7 @@ def latest_per_key(df: DataFrame, key: str, latest_by: str) -> DataFrame:
     return best.select(df.columns).unionByName(df.filter(F.col(key).isNull()).distinct())
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "date", fmt: str = "parquet") -> int:
+def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "date", fmt: str = "parquet") -> Rows:
     """Replace only the partitions that occur in the frame (K5)."""
     return _counted(
         _by_partition(df, partition_by),
@@ -67,6 +156,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: str = "date", f
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .save(path),
+        partition_by,
     )
 
 
@@ -122,13 +212,18 @@ def insert_if_absent(
     cache: bool = False,
     order_by: Sequence[str] = ("time", "_filename"),
     transient: Sequence[str] = (),
-) -> int:
+    index: str | None = None,
+) -> Rows:
     """Append the rows whose key the table does not hold (K3, J1, J2; Q1-Q4).
 
     `scope="table"` looks the keys up in the whole table; `"partition"` only in
     the batch's dates, which is enough when the date of a key never changes and
     prunes the lookup to those partitions. Only the key column is read.
 
+    With `index`, the folder of a :class:`~tierflow.sinks.index.KeyIndex`, the whole
+    table is looked up in bitmaps of whole-number keys instead of in its files; the same
+    rows are inserted. A batch whose keys lie too far apart for that takes the files.
+
     Rows without a key are always inserted. With `lineage`, the name of a
     source-file column, those of a file that is stored already are compared with
     the stored ones as a bag, so that a micro-batch delivered twice is stored once
@@ -142,6 +237,9 @@ def insert_if_absent(
     files again is cheaper than storing a wide batch; set `cache` for batches
     that are costly to compute or would not come out the same again.
 
+    Returned are the rows inserted, with the partitions of the whole batch: those of rows that
+    an attempt before had stored count as well.
+
     One writer per table: the lookup and the append are two steps.
     """
     spark = batch.sparkSession
@@ -153,25 +251,30 @@ def insert_if_absent(
     if cache:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        profile = key_profile(batch, key)
+        seen = Observation()
+        profile = key_profile(batch.observe(seen, *_partition_values(partition_by)), key)
         if not profile.rows:
-            return 0
+            return Rows(0)
         rows = batch
         if lineage and profile.null_rows:
             stored = _on_batch_dates(spark, path, batch, schema.names, partition_by, fmt)
             rows = _without_stored_keyless(batch, stored, key, lineage)
+        known = None
         if scope == "partition":
             known = _on_batch_dates(spark, path, batch, [key], partition_by, fmt)
-        else:
+        elif index:
+            known = KeyIndex(index, path, key, partition_by, fmt).lookup(batch, schema, profile)
+        if known is None:
             known = snapshot(spark, path, _fields(batch, [key, partition_by]), fmt)
         size = None
         if not profile.fits(profile.keys, BROADCAST_BYTES):
             size = broadcast_size(in_key_range(known, key, profile), key)
         fresh = absent_rows(rows, known, key, profile, dedupe_batch, order_by, size).drop(*transient)
-        return _counted(
+        rows = _counted(
             _by_partition(fresh, partition_by),
             lambda w: w.format(fmt).partitionBy(partition_by).mode("append").save(path),
         )
+        return Rows(rows, _values(seen))
     finally:
         if cache:
             batch.unpersist()
@@ -186,15 +289,21 @@ def register(
     partition_by: str | None = None,
     fmt: str = "parquet",
     use: bool = True,
+    partitions: Iterable[str | None] | None = None,
 ) -> None:
     """Create schema and external table if missing, then pick up partitions (K7).
 
-    A registration whose columns are out of date is renewed; the data stays.
+    `partitions` are those written since the last registration, as the sinks return them:
+    a table known already is told of them alone and its folder is not listed. Without
+    them, or when a table is new, all are looked for.
+
+    A table that lies elsewhere is pointed at `path`. Columns added at the end are added to a
+    registration; one whose columns differ otherwise is renewed. The data stays.
     """
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{database}`")
     if use:
         spark.sql(f"USE `{database}`")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
     target = f"`{database}`.`{name}`"
     layout = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
     location = path.replace("'", "\\'")
@@ -202,36 +311,66 @@ def register(
         # The transaction log is the schema.
         spark.sql(f"CREATE TABLE IF NOT EXISTS {target} USING delta LOCATION '{location}'")
         return
-    if spark.catalog.tableExists(target) and not _same_columns(spark.table(target).schema, schema):
+    known = spark.catalog.tableExists(target)
+    if known and not _same_columns(spark.table(target).schema, schema):
         if spark.catalog.getTable(target).tableType != "EXTERNAL":
             raise ValueError(f"{target} is a managed table with other columns")
-        spark.sql(f"DROP TABLE {target}")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({columns}) USING {fmt} {layout} LOCATION '{location}'")
-    if partition_by:
+        held = [f for f in spark.table(target).schema if f.name != partition_by]
+        wanted = [f for f in schema.fields if f.name != partition_by]
+        if _same_columns(StructType(held), StructType(wanted[: len(held)])):
+            added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in wanted[len(held) :])
+            spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({added})")
+        else:
+            spark.sql(f"DROP TABLE {target}")
+            known = False
+    if not known:
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {target} ({', '.join(columns)}) USING {fmt} {layout} LOCATION '{location}'")
+    elif not _same_place(spark, target, path):
+        spark.sql(f"ALTER TABLE {target} SET LOCATION '{location}'")
+    if partition_by and not (known and partitions is not None and add_partitions(spark, database, name, partition_by, partitions)):
         spark.sql(f"ALTER TABLE {target} RECOVER PARTITIONS")
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('{RECOVERED}' = 'true')")
     spark.catalog.refreshTable(target)
 
 
-def record_mark(spark: SparkSession, path: str, ingest: str, window: Window) -> None:
-    """Store where the next scheduled load of an ingest starts (K9)."""
-    row = (window.lo, next_mark(window), datetime.now(timezone.utc), ingest)
-    spark.createDataFrame([row], MARKS).coalesce(1).write.partitionBy("ingest").mode("append").parquet(path)
+def add_partitions(spark: SparkSession, database: str, name: str, partition_by: str, values: Iterable[str | None]) -> bool:
+    """Tell the catalog of some partitions of a table (K7); False, and nothing done, if the table
+    was never registered to the end."""
+    target = f"`{database}`.`{name}`"
+    if not spark.catalog.tableExists(target):
+        return False
+    if spark.sql(f"SHOW TBLPROPERTIES {target}").filter(f"key = '{RECOVERED}' AND value = 'true'").isEmpty():
+        return False
+    texts = sorted(NO_VALUE if v is None else v for v in values)
+    for some in itertools.batched(texts, ADD_AT_ONCE):
+        quoted = ("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in some)
+        spark.sql(f"ALTER TABLE {target} ADD IF NOT EXISTS " + " ".join(f"PARTITION (`{partition_by}` = {v})" for v in quoted))
+    return True
+
+
+def _same_place(spark: SparkSession, target: str, path: str) -> bool:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").filter("col_name = 'Location'").collect()
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(rows) and files.makeQualified(place(path)).toString() == files.makeQualified(place(rows[0]["data_type"])).toString()
+
+
+def _counted(df: DataFrame, save: Callable[[DataFrameWriter], None], partition_by: str | None = None) -> Rows:
+    """Save a frame and return its row count, and the values of a partition column, from the
+    same execution (A7)."""
+    seen = Observation()
+    measures = _partition_values(partition_by) if partition_by else []
+    save(df.observe(seen, F.count(F.lit(1)).alias("rows"), *measures).write)
+    return Rows(seen.get["rows"], _values(seen) if partition_by else ())
 
 
-def read_mark(spark: SparkSession, path: str, ingest: str) -> datetime | None:
-    """The latest mark of an ingest, or None before its first load (K9)."""
-    if not has_files(spark, path):
-        return None
-    marks = spark.read.schema(MARKS).parquet(path).filter(F.col("ingest") == ingest)
-    row = latest_marks(marks).select(F.unix_micros("hi").alias("us")).first()
-    return row and datetime.fromtimestamp(row["us"] / 1e6, timezone.utc)
+def _partition_values(partition_by: str) -> list[Column]:
+    at = F.col(partition_by)
+    return [F.collect_set(at.cast("string")).alias("values"), F.count(F.when(at.isNull(), 1)).alias("without")]
 
 
-def _counted(df: DataFrame, save: Callable[[DataFrameWriter], None]) -> int:
-    """Save a frame and return its row count from the same execution."""
-    seen = Observation()
-    save(df.observe(seen, F.count(F.lit(1)).alias("rows")).write)
-    return seen.get["rows"]
+def _values(seen: Observation) -> list[str | None]:
+    return [*seen.get["values"], *([None] if seen.get["without"] else [])]
 
 
 def _same_columns(a: StructType, b: StructType) -> bool:

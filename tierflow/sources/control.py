@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tierflow import errors
 
@@ -65,6 +66,10 @@ class Spec:
     def schema_path(self) -> str:
         return f"{self.silver_root}/_schemas/{self.table}"
 
+    @property
+    def index_path(self) -> str:
+        return f"{self.silver_root}/_index/{self.table}"
+
     @property
     def marks_path(self) -> str:
         return f"{self.bronze_root}/_marks"
@@ -110,6 +115,66 @@ def load_spec(spark: SparkSession, ingest: str, environment: str, ingests: str,
     )
 
 
+def control_table(spark: SparkSession, environment: str, ingests: str, connectors: str) -> DataFrame:
+    """All ingests of a folder of documents, one row each.
+
+    What is read (`db`, `table`, `columns`, `delta`, `start_date`, `end_date`), how (`source_format`,
+    `source_options`, `bronze_format`, `bronze_options`, the tiers' formats) and where it lies
+    (`bronze_root` to `marks_path`). Documents are read by tasks and joined by the connector's file name;
+    an ingest whose connector has no document has no `source_format`.
+    """
+    env = _document(spark, environment, ENVIRONMENT, errors.ENVIRONMENT)
+    docs = _documents(spark, ingests, INGEST).withColumn("ingest", F.regexp_extract("_file", r"^(.*)\.json$", 1))
+    ways = _documents(spark, connectors, CONNECTOR).select(F.col("_file").alias("connector"), F.col("format").alias("source_format"), F.col("options").alias("source_options"))
+    roots = {tier: tier_root(env, tier) for tier in ("bronze", "silver", "gold")}
+    table, none = F.col("source.table"), F.create_map().cast("map<string,string>")
+
+    def under(*parts: str | Column) -> Column:
+        return F.concat(*(F.lit(x) if isinstance(x, str) else x for x in parts))
+
+    found = docs.join(ways, docs["source.connector"] == ways["connector"], "left")
+    return found.select(
+        "ingest",
+        F.col("source.db").alias("db"),
+        table.alias("table"),
+        F.col("source.columns").alias("columns"),
+        F.col("source.delta_column").alias("delta"),
+        F.col("source.calendar.start_date").alias("start_date"),
+        F.col("source.calendar.end_date").alias("end_date"),
+        "source_format",
+        F.coalesce("source_options", none).alias("source_options"),
+        F.replace(F.coalesce("sink.source.format", F.lit("parquet")), F.lit("cloudFiles"), F.lit("parquet")).alias("bronze_format"),
+        F.coalesce("sink.source.options", none).alias("bronze_options"),
+        F.lit(env["silver_format"] or "parquet").alias("silver_format"),
+        F.lit(env["gold_format"] or "parquet").alias("gold_format"),
+        *(F.lit(root).alias(f"{tier}_root") for tier, root in roots.items()),
+        under(roots["bronze"], "/", table).alias("bronze_path"),
+        under(roots["silver"], "/", table).alias("silver_path"),
+        under(roots["silver"], "/_checkpoints/", table).alias("checkpoint_path"),
+        under(roots["silver"], "/_schemas/", table).alias("schema_path"),
+        under(roots["silver"], "/_index/", table).alias("index_path"),
+        under(roots["bronze"], "/_marks").alias("marks_path"),
+    )
+
+
+def load_specs(spark: SparkSession, environment: str, ingests: str, connectors: str) -> dict[str, Spec]:
+    """The specs of all ingests of a folder, by name."""
+    given = Spec.__dataclass_fields__
+    specs = {}
+    for row in control_table(spark, environment, ingests, connectors).collect():
+        if row["source_format"] is None:
+            raise RuntimeError(errors.CONNECTOR.format(cause=f"ingest {row['ingest']} names none that is there"))
+        specs[row["ingest"]] = Spec(**{k: v for k, v in row.asDict().items() if k in given})
+    return specs
+
+
+def _documents(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Every document of a folder with its file name; one that does not parse fails the read."""
+    docs = spark.read.schema(schema).json(folder, multiLine=True, mode="FAILFAST")
+    # File names come percent-encoded, as in a path: a plus sign is one.
+    return docs.withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))))
+
+
 def _document(spark: SparkSession, path: str, schema: str, message: str) -> Row:
     try:
         return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").collect()[0]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierflow import errors
+from tierflow import errors, store
 from tierflow.operators.events import localize_events
 
 # Bound of one micro-batch of a first drain over a large raw folder.
@@ -23,6 +25,12 @@ MAX_FILE_AGE = "1000000d"
 # When a raw file came, which orders copies of a key; not stored.
 ARRIVED = "_arrived"
 FILES = "path string, modified long"
+# Folders of named loads in a raw table; not a column of the tables behind it.
+LOAD = "_load"
+# Raw tables have files in their folder and in those of their loads.
+NESTED = {"recursiveFileLookup": "true"}
+# Files whose footers are looked at in one job, and whose names the driver holds at once.
+FOOTERS = 10_000
 # Partitions opened by folder; each costs the driver one look-up.
 MAX_FOLDER_LIST = 500
 # Partition values whose folder name is the value itself.
@@ -33,13 +41,7 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 def has_files(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists and holds anything but markers."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return False
-    names = (s.getPath().getName() for s in fs.listStatus(folder))
-    return any(not n.startswith((".", "_")) or n == "_delta_log" for n in names)
+    return any(not n.startswith(".") and (not n.startswith("_") or "=" in n or n == "_delta_log") for n in store.names(spark, path))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -105,7 +107,7 @@ def read_dimension(spark: SparkSession, path: str) -> DataFrame:
     """All raw snapshots of a dimension table, with the columns of all of them.
     Snapshots whose types conflict are an error."""
     try:
-        return spark.read.option("mergeSchema", "true").parquet(path)
+        return spark.read.option("mergeSchema", "true").options(**NESTED).parquet(path)
     except Exception as e:
         raise RuntimeError(errors.LOAD_DIMENSION.format(cause=e)) from e
 
@@ -126,7 +128,7 @@ def event_stream(
     options = dict(options or {})
     if not {"maxFilesPerTrigger", "maxBytesPerTrigger"} & options.keys():
         options["maxBytesPerTrigger"] = MAX_BATCH_BYTES
-    options.setdefault("maxFileAge", MAX_FILE_AGE)
+    options = {"maxFileAge": MAX_FILE_AGE, **NESTED, **options}
     try:
         raw = spark.readStream.schema(schema).format(fmt).options(**options).load(path)
         raw = raw.withColumn(ARRIVED, raw["_metadata.file_modification_time"])
@@ -147,42 +149,67 @@ def remembered_schema(
     Spark tasks merge the footers: of all files the first time, later of those
     not looked at before, whatever their timestamp. New columns raise rather
     than vanish; `evolve` accepts and remembers them. `memory` holds the schema
-    and, as a table, the files looked at.
+    and, as a table, the files looked at. The names of new files go from the listing to that
+    table without passing through this process, which sees :data:`FOOTERS` of them at a
+    time.
     """
     kept, checked = _recall(spark, memory)
-    files = None
-    if has_files(spark, path):
-        # Only listed: the content is not selected.
-        listed = spark.read.format("binaryFile").load(path)
-        files = listed.select("path", F.unix_micros("modificationTime").alias("modified"))
-    if files is not None and checked is not None:
-        files = files.join(checked, ["path", "modified"], "left_anti")
-    # The stream itself lists a drain's new files on the driver.
-    new = [] if files is None else files.collect()
-    found = _merged_schema(spark, [r["path"] for r in new], fmt) if new else None
-    if kept is None and found is None:
-        raise RuntimeError(errors.LOAD_EVENTS.format(cause=f"no files in {path}"))
-    if kept is not None:
-        added = [f for f in found.fields if f.name not in kept.names] if found else []
-        if added and not evolve:
-            raise ValueError(
-                f"columns {[f.name for f in added]} in {path} are not in the schema kept at {memory}"
-            )
-        found = StructType([*kept.fields, *added])
-    if found != kept:
-        note = spark.createDataFrame([(found.json(),)], "value string")
-        note.coalesce(1).write.mode("overwrite").text(f"{memory}/schema")
-    if new:
-        spark.createDataFrame(new, FILES).coalesce(1).write.mode("append").parquet(f"{memory}/files")
+    note = f"{memory}/_new-{uuid.uuid4().hex}"
+    found = new = None
+    try:
+        if has_files(spark, path):
+            # Only listed: the content is not selected.
+            listed = spark.read.format("binaryFile").options(**NESTED).load(path)
+            files = listed.select("path", F.unix_micros("modificationTime").alias("modified"))
+            if checked is not None:
+                files = files.join(checked, ["path", "modified"], "left_anti")
+            files.write.parquet(note)
+            new = spark.read.schema(FILES).parquet(note)
+            found = _merged_schema(spark, new.select("path"), fmt)
+        if kept is None and found is None:
+            raise RuntimeError(errors.LOAD_EVENTS.format(cause=f"no files in {path}"))
+        if kept is not None:
+            added = [f for f in found.fields if f.name not in kept.names] if found else []
+            if added and not evolve:
+                raise ValueError(
+                    f"columns {[f.name for f in added]} in {path} are not in the schema kept at {memory}"
+                )
+            found_new, found = found, StructType([*kept.fields, *added])
+        else:
+            found_new = found
+        if found != kept:
+            text = spark.createDataFrame([(found.json(),)], "value string")
+            text.coalesce(1).write.mode("overwrite").text(f"{memory}/schema")
+        if found_new is not None:
+            new.write.mode("append").parquet(f"{memory}/files")
+    finally:
+        store.remove(spark, note)
     return found
 
 
-def _merged_schema(spark: SparkSession, paths: list[str], fmt: str) -> StructType:
-    """Union of the schemas of some files."""
+def _merged_schema(spark: SparkSession, paths: DataFrame, fmt: str) -> StructType | None:
+    """Union of the schemas of the listed files, slice by slice; None if there are none."""
+    merged = None
     try:
-        return spark.read.option("mergeSchema", "true").format(fmt).load(paths).schema
-    except AnalysisException as e:
+        for some in itertools.batched((r["path"] for r in paths.toLocalIterator()), FOOTERS):
+            found = spark.read.option("mergeSchema", "true").options(**NESTED).format(fmt).load(list(some)).schema
+            merged = found if merged is None else _both(merged, found)
+    except (AnalysisException, ValueError) as e:
         raise RuntimeError(errors.LOAD_EVENTS.format(cause=e)) from e
+    return merged
+
+
+def _both(a: StructType, b: StructType) -> StructType:
+    """Fields of both schemas, which have to agree where they share a name."""
+    fields = {f.name: f for f in a.fields}
+    for f in b.fields:
+        if f.name not in fields:
+            fields[f.name] = f
+        elif isinstance(f.dataType, StructType) and isinstance(fields[f.name].dataType, StructType):
+            fields[f.name] = StructField(f.name, _both(fields[f.name].dataType, f.dataType))
+        elif f.dataType != fields[f.name].dataType:
+            raise ValueError(f"column {f.name} is {f.dataType.simpleString()} and {fields[f.name].dataType.simpleString()}")
+    return StructType(list(fields.values()))
 
 
 def _recall(spark: SparkSession, memory: str) -> tuple[StructType | None, DataFrame | None]:

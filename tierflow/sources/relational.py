@@ -13,6 +13,8 @@ from tierflow.operators.bounds import Window, literal
 # Rows per round trip; some drivers otherwise load a whole result into memory.
 FETCH_SIZE = "10000"
 DEFAULT_PARTITIONS = 32
+# Connector option: whole-number column by which reads without a window are dealt out.
+SLICE_COLUMN = "sliceColumn"
 
 
 def statement(
@@ -60,6 +62,19 @@ def jdbc_options(
     return out
 
 
+def slices(column: str, count: int) -> list[str]:
+    """Conditions that deal the rows of a table out by a whole-number column.
+
+    Each row meets one of them, whatever its value: remainders have the sign of their
+    number, and rows without a value go with remainder 0. No bounds need to be known, and
+    values that come in runs are spread evenly.
+    """
+    if count < 1:
+        raise ValueError("a read has one slice at least")
+    others = [f"MOD({column}, {count}) IN ({k}, -{k})" for k in range(1, count)]
+    return [f"MOD({column}, {count}) = 0 OR {column} IS NULL", *others]
+
+
 def query(
     spark: SparkSession,
     fmt: str,
@@ -68,8 +83,19 @@ def query(
     split_by: str | None = None,
     window: Window | None = None,
 ) -> DataFrame:
-    """Result of a SQL text run in the source database."""
+    """Result of a SQL text run in the source database.
+
+    A read that no window splits is dealt out by `sliceColumn`, if the connector names one
+    that the statement selects, over `numPartitions` connections.
+    """
+    given = dict(options)
+    dealt = given.pop(SLICE_COLUMN, None)
     try:
+        if dealt and not (split_by and window):
+            o = jdbc_options(fmt, given, sql)
+            count = int(o.pop("numPartitions", DEFAULT_PARTITIONS))
+            return spark.read.jdbc(o.pop("url"), o.pop("dbtable"), predicates=slices(dealt, count), properties=o)
+        options = given
         return spark.read.format("jdbc").options(**jdbc_options(fmt, options, sql, split_by, window)).load()
     except Exception as e:
         raise RuntimeError(errors.LOAD_SOURCE.format(sql=sql, cause=e)) from e
@@ -88,11 +114,13 @@ def read_table(
     """A source table, projected and bounded at the source.
 
     Relational formats get a pushed-down statement; `split` says whether the read
-    may be split over the window, which needs a `delta` of dates or times. File formats get a filter
+    may be split over the window, which needs a `delta` of dates or times. Other reads are
+    split by :func:`slices` if the connector names a column for it. File formats get a filter
     and a projection, which reach the scan as pushed filters and read schema.
     """
     if fmt in ("jdbc", "postgresql"):
-        read = list(columns) if not delta or delta in columns else [*columns, delta]
+        needed = (delta, options.get(SLICE_COLUMN))
+        read = [*columns, *dict.fromkeys(c for c in needed if c and c not in columns)]
         sql = statement(table, read, delta, window)
         return query(spark, fmt, options, sql, delta if split else None, window).select(*columns)
     options = dict(options)

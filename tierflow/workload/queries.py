@@ -7,13 +7,18 @@ a name, so that any engine can be compared.
 
 from __future__ import annotations
 
+import contextlib
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierflow import operators as op
+from tierflow import store
+from tierflow.functions import LOCAL_ZONE
 from tierflow.operators.hourly import hours_by_union
 from tierflow.plans import flows
 from tierflow.plans.gold import TABLES, gold_wide, publish_views
@@ -21,16 +26,22 @@ from tierflow.session import configure, shared_dir
 from tierflow.sinks import (
     append,
     create_if_missing,
+    current_mark,
     insert_if_absent,
     overwrite_partitions,
+    put_load,
     register,
     replace_distinct,
+    replace_version,
 )
 from tierflow.sources import (
     ARRIVED,
+    LOAD,
     Spec,
+    control_table,
     event_stream,
     in_catalog,
+    load_specs,
     read_dimension,
     read_table,
     remembered_schema,
@@ -43,6 +54,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 EVENT = ("id", "time", "node_id", "event_type", "value", "date")
 SPLIT = ("2024-01-10", "2024-01-20")
+# Ends of three scheduled loads, the first of which starts where the calendar does.
+LOADS = ("1995-03-01T12:00:00", "1995-06-15T08:30:00", "1995-09-01T00:00:00")
+CALENDAR = "19950101"
+# Measures of the wide table that are not summed.
+HOW = {"vp1": "avg", "vp2": "max", "cp1": "min", "pfp3": "avg", "iaepd1": "count", "eaepd3": "avg", "temperature": "max"}
 
 
 # --- scans ---------------------------------------------------------------
@@ -121,8 +137,7 @@ def insert_if_absent_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def insert_if_absent_null_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same where a third or so of the rows have no key: all of those stay (Q2)."""
-    keyless = F.when(F.col("event_type").isin("view", "click"), F.col("id"))
-    return _as_text(_inserted(spark, [b.withColumn("id", keyless) for b in _batches(spark, sf_dir)]), "id")
+    return _as_text(_inserted(spark, _keyless_batches(spark, sf_dir)), "id")
 
 
 def insert_if_absent_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,6 +145,18 @@ def insert_if_absent_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _inserted(spark, list(_batches(spark, sf_dir)), scope="partition")
 
 
+def insert_if_absent_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys looked up in the key index (K3, J2). It is built for the second batch, after the first
+    was stored without it, and brought up to date for the third, which is the second again."""
+    configure(spark)
+    path = shared_dir(spark, "indexed")
+    early, late = _batches(spark, sf_dir)
+    insert_if_absent(early, path)
+    for _ in range(2):
+        insert_if_absent(_with_copies(late), path, index=f"{path}-index")
+    return _rounded(_events(snapshot(spark, path, early.schema), *EVENT), ["value"])
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drains of overlapping raw files."""
     configure(spark)
@@ -145,6 +172,59 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(snapshot(spark, silver, events.drop(ARRIVED).schema), *EVENT)
 
 
+def stream_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A drain that is lost inside its first batch, after the batch's rows were stored and before
+    it counted as done, and a second one on the same checkpoint (T3, K6, Q2)."""
+    configure(spark)
+    root = shared_dir(spark, "recovery")
+    for part in _keyless_batches(spark, sf_dir):
+        put_load(_raw(part).coalesce(1), f"{root}/bronze", uuid.uuid4().hex)
+
+    def lost(batch_id: int, rows: int) -> None:
+        raise RuntimeError(f"lost in batch {batch_id}")
+
+    with contextlib.suppress(RuntimeError):
+        _drained(spark, root, on_batch=lost, maxFilesPerTrigger="1")
+    schema = _drained(spark, root, maxFilesPerTrigger="1")
+    return _as_text(_rounded(_events(snapshot(spark, f"{root}/silver", schema), *EVENT), ["value"]), "id")
+
+
+def event_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each raw load, told by the name of the file they came in, and the moments at which
+    they were stored: one for each micro-batch (X4, X5)."""
+    configure(spark)
+    root = shared_dir(spark, "lineage")
+    for name, part in zip(("early", "late"), _batches(spark, sf_dir), strict=True):
+        put_load(_raw(part).coalesce(1), f"{root}/bronze", name)
+        schema = _drained(spark, root)
+    load = F.regexp_extract("_filename", f"/{LOAD}=([^/]+)/[^/]+$", 1).alias("load")
+    return snapshot(spark, f"{root}/silver", schema).groupBy(load).agg(
+        F.count(F.lit(1)).alias("stored"), F.count_distinct("_filename").alias("files"), F.count_distinct("_ingested_at").alias("moments")
+    )
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each drain of the event job stored, as it reports them, and the dates it
+    registered, beside those of the registered table (A7, E2, K7)."""
+    configure(spark)
+    root, database = shared_dir(spark, "counts"), f"tierflow_{uuid.uuid4().hex}"
+    previous = spark.catalog.currentDatabase()
+    told = []
+    try:
+        for name, part in zip(("early", "late"), _batches(spark, sf_dir), strict=True):
+            raw = _raw(part)
+            spec = _spec(root, database, "readings", raw)
+            put_load(raw, spec.bronze_path, name)
+            rows = flows.events_to_silver(spark, spec, index=True)
+            told.append((name, int(rows), len(rows.partitions)))
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
+    counted = spark.createDataFrame(told, "load string, stored long, dates long")
+    load = F.regexp_extract("_filename", f"/{LOAD}=([^/]+)/[^/]+$", 1).alias("load")
+    held = in_catalog(spark, database, "readings").groupBy(load).agg(F.count(F.lit(1)).alias("held"))
+    return counted.join(held, "load")
+
+
 # --- hourly aggregates and joins -----------------------------------------
 
 
@@ -223,6 +303,11 @@ def gold_wide_by_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _wide(op.wide_hourly(s.electrical, s.energy, s.state, s.temperature, dim, hours_by_union))
 
 
+def gold_wide_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table with means, extremes and counts of some measures (A1-A3, Q19)."""
+    return _wide(gold_wide(t.silver_tables(spark, sf_dir), *t.MONTH, how=HOW))
+
+
 def gold_from_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The intermediate relations used from SQL."""
     v = publish_views(t.silver_tables(spark, sf_dir), *t.MONTH)
@@ -265,6 +350,31 @@ def registered_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(in_catalog(spark, name, "events"), *EVENT)
 
 
+def registered_in_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered table that grows: later partitions are told to the catalog as the sink returns
+    them, without a look at the folder (K7)."""
+    configure(spark)
+    path, name = shared_dir(spark, "steps"), f"tierflow_{uuid.uuid4().hex}"
+    for batch in _batches(spark, sf_dir):
+        rows = insert_if_absent(batch, path)
+        register(spark, name, "events", path, batch.schema, "date", use=False, partitions=rows.partitions)
+    return _rounded(_events(in_catalog(spark, name, "events"), *EVENT), ["value"])
+
+
+def dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension read by name after it was replaced once, and once more by a run that failed
+    while it wrote: the last complete version (K4, A5)."""
+    configure(spark)
+    root, name = shared_dir(spark, "versions"), f"tierflow_{uuid.uuid4().hex}"
+    first = t.load(spark, sf_dir, "customer")
+    second = first.unionByName(first).withColumn("c_acctbal", F.greatest("c_acctbal", F.lit(0.0)))
+    broken = first.withColumn("c_name", F.when(F.col("c_custkey") % 7 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("c_name")))
+    for df in (first, second, broken):
+        with contextlib.suppress(RuntimeError):
+            replace_version(df, root, lambda path: register(spark, name, "customer", path, first.schema, use=False))
+    return in_catalog(spark, name, "customer")
+
+
 def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a load, as the sink counts them while it writes."""
     configure(spark)
@@ -294,8 +404,63 @@ def high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text_times(op.latest_marks(runs), "lo", "hi")
 
 
+def scheduled_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three scheduled loads of the orders, each from where the one before ended. The mark of the
+    second is lost once and the load repeated at a later time: its window and its rows stay the
+    same (K1, K9, D1, D2, Q8, Q26)."""
+    root = shared_dir(spark, "loads")
+    spec = Spec(
+        ingest="orders",
+        db="",
+        table="orders.parquet",
+        columns={"o_orderkey": "bigint", "o_orderdate": "timestamp"},
+        delta="o_orderdate",
+        start_date=CALENDAR,
+        end_date=None,
+        bronze_root=f"{root}/bronze",
+        silver_root=f"{root}/silver",
+        gold_root=f"{root}/gold",
+        source_format="parquet",
+        source_options={"path": sf_dir},
+    )
+    for k, now in enumerate(LOADS):
+        flows.source_to_bronze(spark, spec, now=now)
+        if k == 1:
+            number = current_mark(spark, spec.marks_path, spec.ingest).number
+            store.remove(spark, f"{spec.marks_path}/ingest={spec.ingest}/{number:012d}.json")
+            flows.source_to_bronze(spark, spec, now=LOADS[2])
+    return spark.read.parquet(spec.bronze_path).select(F.col(LOAD).alias("load"), "o_orderkey", F.substring("o_orderdate", 1, 10).alias("ordered_on"))
+
+
+def control_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control documents as a table: an ingest for each nation, a connector for each region."""
+    configure(spark)
+    root = shared_dir(spark, "control")
+    regions = {r["r_regionkey"]: r["r_name"] for r in t.load(spark, sf_dir, "region").collect()}
+    ingests = {}
+    for n in t.load(spark, sf_dir, "nation").collect():
+        source = {
+            "db": regions[n["n_regionkey"]],
+            "table": n["n_name"],
+            "columns": {"id": "integer", f"k{n['n_nationkey']}": "double"},
+            "delta_column": f"k{n['n_nationkey']}" if n["n_nationkey"] % 2 else None,
+            "calendar": {"start_date": f"2024{1 + n['n_nationkey'] % 12:02d}01"},
+            "connector": f"{regions[n['n_regionkey']]}.json",
+        }
+        ingests[f"nation-{n['n_nationkey']}"] = {"source": source, "sink": {"source": {"format": "cloudFiles"}}}
+    connectors = {name: {"format": "jdbc", "options": {"region": str(key)}} for key, name in regions.items()}
+    found = control_table(spark, *_written(spark, root, {"root": "/lake", "gold_format": "orc"}, ingests, connectors))
+    columns = F.array_join(F.transform(F.map_entries("columns"), lambda e: F.concat(e["key"], F.lit(":"), e["value"])), ",")
+    return found.select(
+        "ingest", "db", "table", columns.alias("columns"), "delta", "start_date", "source_format", F.col("source_options")["region"].alias("region"),
+        "bronze_format", "silver_format", "gold_format", "bronze_path", "silver_path", "checkpoint_path", "marks_path",
+    )
+
+
 def source_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All jobs end to end: six source tables through three tiers."""
+    """All jobs end to end: six source tables through three tiers, as control documents say
+    (E1-E5, S9)."""
+    configure(spark)
     root = shared_dir(spark, "flow")
     database = f"tierflow_{uuid.uuid4().hex}"
     raw = t.raw_events(spark, sf_dir)
@@ -307,14 +472,18 @@ def source_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
         "nodes": t.nodes(spark, sf_dir),
         "meters": t.meters(spark, sf_dir),
     }
+    ingests = {}
+    for role, df in source.items():
+        df.write.parquet(f"{root}/source/{TABLES[role]}")
+        delta = {"delta_column": "time"} if "time" in df.columns else {}
+        ingests[role] = {"source": {"db": database, "table": TABLES[role], "columns": _declared(df), "connector": "files.json", **delta}}
+    connectors = {"files": {"format": "parquet", "options": {"path": f"{root}/source"}}}
+    specs = load_specs(spark, *_written(spark, f"{root}/conf", {"root": root}, ingests, connectors))
     previous = spark.catalog.currentDatabase()
     try:
-        for role, df in source.items():
-            event = "time" in df.columns
-            df.write.parquet(f"{root}/source/{TABLES[role]}")
-            spec = _spec(root, database, TABLES[role], df, "time" if event else None)
-            flows.source_to_bronze(spark, spec, backfill=("2024-01-01", "2024-02-01") if event else None)
-            flows.bronze_to_silver(spark, spec, "event" if event else "dimension")
+        for spec in specs.values():
+            flows.source_to_bronze(spark, spec, backfill=("2024-01-01", "2024-02-01") if spec.delta else None)
+            flows.bronze_to_silver(spark, spec, "event" if spec.delta else "dimension")
         flows.silver_to_gold(spark, spec, "wide_hourly", month=t.MONTH[0])
     finally:
         spark.catalog.setCurrentDatabase(previous)
@@ -330,11 +499,16 @@ QUERIES: dict[str, Query] = {
     "batch_dates": batch_dates,
     "rows_on_order_dates": rows_on_order_dates,
     "dimension_distinct": dimension_distinct,
+    "dimension_versions": dimension_versions,
     "insert_if_absent": insert_if_absent_first,
     "insert_if_absent_raw": insert_if_absent_raw,
     "insert_if_absent_null_ids": insert_if_absent_null_ids,
     "insert_if_absent_by_date": insert_if_absent_by_date,
+    "insert_if_absent_indexed": insert_if_absent_indexed,
     "stream_ingest": stream_ingest,
+    "stream_recovery": stream_recovery,
+    "event_lineage": event_lineage,
+    "stream_counts": stream_counts,
     "hourly_sum_electrical": hourly_sum_electrical,
     "hourly_sum_energy": hourly_sum_energy,
     "hourly_sum_lineitem": hourly_sum_lineitem,
@@ -346,12 +520,16 @@ QUERIES: dict[str, Query] = {
     "hours_with_nodes": hours_with_nodes,
     "gold_wide": gold_wide_table,
     "gold_wide_by_union": gold_wide_by_union,
+    "gold_wide_mixed": gold_wide_mixed,
     "gold_from_views": gold_from_views,
     "gold_partition_overwrite": gold_partition_overwrite,
     "registered_table": registered_table,
+    "registered_in_steps": registered_in_steps,
     "row_count": row_count,
     "month_window": month_window,
     "high_water_mark": high_water_mark,
+    "scheduled_loads": scheduled_loads,
+    "control_scan": control_scan,
     "source_to_gold": source_to_gold,
 }
 
@@ -395,13 +573,46 @@ def _inserted(spark: SparkSession, batches: Sequence[DataFrame], **options) -> D
     return _rounded(_events(snapshot(spark, path, batches[0].schema), *EVENT), ["value"])
 
 
-def _spec(root: str, database: str, table: str, df: DataFrame, delta: str | None) -> Spec:
+def _keyless_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The batches with a key for views and clicks alone."""
+    keyless = F.when(F.col("event_type").isin("view", "click"), F.col("id"))
+    return [b.withColumn("id", keyless) for b in _batches(spark, sf_dir)]
+
+
+def _raw(events: DataFrame) -> DataFrame:
+    """Events as raw files have them: time as text, in UTC again."""
+    utc = F.to_utc_timestamp("time", LOCAL_ZONE)
+    return op.stringify_timestamps(events.select("id", utc.alias("time"), "node_id", "event_type", "value"), {"time": "timestamp"})
+
+
+def _drained(spark: SparkSession, root: str, on_batch=None, **options: str) -> StructType:
+    """Drain the raw files under a folder into its silver table, and give the table's schema."""
+    schema = remembered_schema(spark, f"{root}/bronze", f"{root}/schema")
+    events = event_stream(spark, f"{root}/bronze", schema, options=options)
+    drain(ingest_events(events, f"{root}/silver", f"{root}/checkpoint", on_batch=on_batch))
+    return events.drop(ARRIVED).schema
+
+
+def _declared(df: DataFrame) -> dict[str, str]:
+    return {n: "timestamp" if kind.startswith("timestamp") else kind for n, kind in df.dtypes}
+
+
+def _written(spark: SparkSession, root: str, environment: dict, ingests: dict[str, dict], connectors: dict[str, dict]) -> tuple[str, str, str]:
+    """Control documents in a folder: the environment file and the folders of the others."""
+    store.create_new(spark, f"{root}/environment.json", json.dumps(environment))
+    for folder, docs in (("ingestion", ingests), ("connectors", connectors)):
+        for name, doc in docs.items():
+            store.create_new(spark, f"{root}/{folder}/{name}.json", json.dumps(doc, indent=1))
+    return f"{root}/environment.json", f"{root}/ingestion", f"{root}/connectors"
+
+
+def _spec(root: str, database: str, table: str, df: DataFrame) -> Spec:
     return Spec(
         ingest=table,
         db=database,
         table=table,
-        columns={n: "timestamp" if kind.startswith("timestamp") else kind for n, kind in df.dtypes},
-        delta=delta,
+        columns=_declared(df),
+        delta="time",
         start_date=None,
         end_date=None,
         bronze_root=f"{root}/bronze",
