@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables, clashing columns; brute force."""
 
+import math
 import random
 
 import numpy as np
@@ -91,16 +92,55 @@ def test_tokens_are_those_of_the_library(spark):
     assert all(sum(len(x.encode()) for x in b) <= 64 or len(b) == 1 for b in tokens.balanced(["abc" * k for k in range(40)], 64))
 
 
-def test_top_k_against_brute_force(spark):
+def brute_top_k(rows, wanted, k):
+    """Scores of every query, by whole numbers; rows of one id are told apart by place only."""
+    whole = [[int(x) * 256 if abs(x) >= 1 << 53 else math.floor(256 * x) for x in v] for _, v in rows]
+    out = []
+    for q, (own, _) in enumerate(rows):
+        if wanted(own):
+            best = sorted((-sum(a * b for a, b in zip(whole[q], w, strict=False)), rows[i][0]) for i, w in enumerate(whole) if i != q)
+            out += [(own, r, i, str(-score)) for r, (score, i) in enumerate(best[:k], 1)]
+    return sorted(out)
+
+
+def told_top_k(spark, rows, kind, wanted=50, k=5, **options):
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+    found = topk.top_k(topk.index(frame, "vec_id", "embedding"), F.col("id") % wanted == 0, k).collect()
+    return sorted((r["query_id"], r["rank"], r["id"], str(r["score"])) for r in found)
+
+
+@pytest.mark.parametrize("block_rows", [1 << 16, 64, 7])
+def test_top_k_against_brute_force(spark, monkeypatch, block_rows):
+    """Also over several blocks, and where the ids of queries and of candidates repeat."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
+    monkeypatch.setattr(topk, "LEAST_ROWS", 1)
     rng = np.random.default_rng(1)
-    rows = [(int(i), [float(x) for x in rng.integers(-3, 4, 6) / 7]) for i in range(300)]
-    rows += [(400, None), (401, [1.0, None]), (402, [float("nan")] * 6), (None, [1.0] * 6), (5, rows[5][1])]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    found = topk.top_k(topk.index(frame, "vec_id", "embedding"), F.col("id") % 50 == 0, 5).collect()
-    v = {i: np.floor(256 * np.array(x, np.float32).astype(float)).astype(int) for i, x in rows[:300]}
-    for q in range(0, 300, 50):
-        best = sorted((-int(v[q] @ v[i]), i) for i in v if i != q)[:5]
-        assert [(r["id"], r["score"]) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == [(i, -s) for s, i in best]
+    rows = [(int(i), [float(x) for x in np.float32(rng.integers(-3, 4, 6) / 7)]) for i in range(300)]
+    rows += [(i, [x + 1 for x in rows[i][1]]) for i in (0, 50, 50, 7, 7)] + [(500, [1.5, -2.0]), (501, []), (550, [])]
+    odd = [(400, None), (401, [1.0, None]), (402, [float("nan")] * 6), (404, [float("-inf")] + [0.0] * 5), (None, [1.0] * 6)]
+    assert told_top_k(spark, rows + odd, "float") == brute_top_k(rows, lambda i: i % 50 == 0, 5)
+
+
+def test_top_k_of_one_id(spark):
+    assert told_top_k(spark, [(7, [1.0]), (7, [3.0])], "float", wanted=7) == [(7, 1, 7, "196608"), (7, 1, 7, "196608")]
+    assert told_top_k(spark, [(50, [1.0])], "float") == []
+
+
+@pytest.mark.parametrize("size", [9e6, 1e12, 2.0**60, 1e200, 1.7e308])
+def test_top_k_of_large_components(spark, size):
+    """None is dropped, and what exceeds a long is told by its digits."""
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in rng.uniform(-1, 1, size=3) * rng.choice([1e-3, 1.0, size], size=3)]) for i in range(60)]
+    rows += [(100, [size, 1.0, -size])]
+    assert told_top_k(spark, rows, "double", wanted=20) == brute_top_k(rows, lambda i: i % 20 == 0, 5)
+
+
+def test_blocks_are_bounded_by_bytes_and_sent_no_more_than_cores_need():
+    assert topk.layout(0, 64, 8) == (1, 8)
+    assert topk.layout(50_000, 64, 6) == (1, 6)
+    assert topk.layout(10**8, 64, 1000) == (1526, 1)
+    blocks, groups = topk.layout(10**8, 4096, 1000)
+    assert 8 * 4096 * (10**8 // blocks) <= topk.BLOCK_BYTES and groups == 1
 
 
 def test_warc_round_trip(spark):

@@ -7,132 +7,184 @@ signed binary digits, with carry-save adders. The top rows are then selected fro
 significant slice of the sum downward; rows that tie at the boundary are resolved exactly by
 the smaller id.
 
-Rows are dealt to blocks by id, queries to groups; a task has one block and one group. Each
-returns at most k rows a query, which one window per query merges. Nothing is broadcast.
+Rows are dealt to blocks by id, and every block meets every query: a block is sent to as many
+tasks as it takes to occupy the cores, so to one only where there are many blocks, and the
+queries are sent to the blocks. A task holds one block at a time and lets its queries pass by
+in small batches, however many there are. Each block returns at most k rows a query, which
+one window per query merges. Nothing is broadcast.
 
 Defined results: rows without id or vector, or with a null or non-finite component, take no
-part. Of rows that share an id, the one with the least vector counts. A shorter vector reads
-as if padded with zeros. Equal scores rank by id. Tables without rows give none.
+part; all other rows do, whatever the size of their components and however often their id
+occurs: a query is a row, and its candidates are all rows but itself. A shorter vector reads
+as if padded with zeros. Equal scores rank by id, those of one id in any order. Scores are
+longs, or the digits of whole numbers as text where the table's own components do not rule
+out that one exceeds a long. Tables without rows give none.
 """
 
 from __future__ import annotations
 
+import math
+import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import stored
 
-# Rows of a block: bitmaps of 8 KB, so that the working set of an addition stays in cache.
+# Rows of a block: bitmaps of 8 KB, so that the working set of an addition stays in cache;
+# fewer where vectors are long, so that a block takes no more than so many bytes unpacked.
 BLOCK_ROWS = 1 << 16
-# Queries of one task.
-QUERY_ROWS = 128
-# Scores must fit in a long with room to spare.
-MAX_BITS = 31
+BLOCK_BYTES = 64 << 20
+LEAST_ROWS = 64
+SCALE = 256
 
 
-def quantised(vector: Column, scale: int) -> Column:
-    """Each component x as floor(scale * x); null where the vector takes no part."""
-    real = F.transform(vector, lambda x: x.cast("double"))
-    sound = F.forall(real, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float(2**MAX_BITS // scale)))
-    return F.when(sound, F.transform(real, lambda x: F.floor(x * scale)))
+@dataclass(frozen=True)
+class Index:
+    """Rows with a vector that takes part (`row`, `id`, `v`), and the scale of the quantised ones."""
 
+    rows: DataFrame
+    scale: int
 
-def index(vectors: DataFrame, key: str, vector: str, scale: int = 256) -> DataFrame:
-    """One row per id: `id`, `v` (quantised) and the block it belongs to."""
-    rows = vectors.select(F.col(key).cast("long").alias("id"), quantised(F.col(vector), scale).alias("v"))
-    rows = rows.filter("id IS NOT NULL AND v IS NOT NULL").groupBy("id").agg(F.min("v").alias("v"))
-    return stored(rows, "vectors")
 
+def index(vectors: DataFrame, key: str, vector: str, scale: int = SCALE) -> Index:
+    """An index of `vectors`; components x count as floor(scale * x), for a power of two."""
+    real = F.transform(F.col(vector), lambda x: x.cast("double"))
+    sound = F.forall(real, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    rows = vectors.filter(F.col(key).isNotNull() & F.col(vector).isNotNull() & sound)
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), F.col(key).cast("long").alias("id"), real.alias("v"))
+    return Index(stored(rows, "vectors"), scale)
 
-def top_k(indexed: DataFrame, queries: Column, k: int) -> DataFrame:
-    """`query_id, rank, id, score` of the k best other rows for each row that `queries` names."""
-    n_rows, n_queries, width = indexed.agg(
-        F.count("*"), F.count_if(queries), F.max(F.size("v"))
-    ).first()
-    blocks = max(1, -(-n_rows // BLOCK_ROWS))
-    groups = max(1, -(-(n_queries or 0) // QUERY_ROWS))
-    width = max(1, width or 1)
-    asked = indexed.filter(queries).select("id", "v", F.pmod(F.xxhash64("id", F.lit("q")), F.lit(groups)).alias("g"))
-    # A block goes to each group of queries, a query to each block.
-    rows = indexed.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("b").applyInPandas(
-        lambda part: _slices(part, width), "b long, payload binary"
-    )
-    rows = rows.select("b", F.explode(_numbers(groups)).alias("g"), "payload")
-    asked = asked.select(F.explode(_numbers(blocks)).alias("b"), "g", "id", "v")
 
-    def search(key: tuple, block: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
-        found = [r for r in _search(block, some, k)]
-        return pd.DataFrame(found, columns=["query_id", "id", "score"]).astype("int64")
-
-    best = rows.groupBy("b", "g").cogroup(asked.groupBy("b", "g")).applyInPandas(search, "query_id long, id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return (
-        best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+def top_k(indexed: Index, queries: Column, k: int) -> DataFrame:
+    """`query_id, rank, id, score` of the k best other rows for each row that `queries`, a condition
+    on `id`, names."""
+    rows = indexed.rows
+    n_rows, width, most = rows.agg(
+        F.count("*"), F.max(F.size("v")), F.max(F.array_max(F.transform("v", F.abs)))
+    ).first()
+    width, scale = max(1, width or 1), indexed.scale
+    # No score is further from 0.
+    bound = width * (_whole(most or 0.0, scale) + 1) ** 2
+    wide = bound >= 1 << 63
+    kind = "string" if wide else "long"
+    blocks, groups = layout(n_rows, width, rows.sparkSession.sparkContext.defaultParallelism)
+    packed = rows.withColumn("b", F.pmod(F.xxhash64("row"), F.lit(blocks))).groupBy("b").applyInPandas(
+        lambda part: _slices(part, width, scale), "b long, payload binary"
     )
+    none = F.lit(None)
+    packed = packed.select("b", F.explode(_numbers(groups)).alias("g"), "payload", none.cast("long").alias("row"), none.cast("long").alias("id"), none.cast("array<double>").alias("v"))
+    group = F.pmod(F.xxhash64("row", F.lit("q")), F.lit(groups)).alias("g")
+    asked = rows.filter(queries).select(F.explode(_numbers(blocks)).alias("b"), group, none.cast("binary").alias("payload"), "row", "id", "v")
+    # A block comes before its queries, as a null row number does before others.
+    met = packed.unionByName(asked).repartition(blocks * groups, "b", "g").sortWithinPartitions("b", "g", F.col("row").asc_nulls_first())
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block: _Block | None = None
+        at = None
+        for batch in batches:
+            found = []
+            for b, g, payload, row, id, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if payload is not None:
+                    block, at = _Block(payload), (b, g)
+                elif block is not None and at == (b, g):
+                    found += [(row, id, *f) for f in block.search(row, v, k)]
+            if found:
+                query, query_id, own, score = zip(*((q, i, r, s) for q, i, r, s in found), strict=True)
+                scores = [f"{s + bound:0{len(str(2 * bound))}d}" for s in score] if wide else score
+                ids = [r[1] for r in own]
+                columns = [pa.array(query), pa.array(query_id), pa.array(ids), pa.array(scores), pa.array([str(s) for s in score] if wide else score)]
+                yield pa.RecordBatch.from_arrays(columns, ["query", "query_id", "id", "place", "score"])
+
+    best = met.mapInArrow(search, f"query long, query_id long, id long, place {kind}, score {kind}")
+    order = Window.partitionBy("query").orderBy(F.desc("place"), "id")
+    return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+
+
+def layout(rows: int, width: int, cores: int) -> tuple[int, int]:
+    """Blocks, and groups of queries that each of them meets: no more than occupy the cores."""
+    size = min(BLOCK_ROWS, max(LEAST_ROWS, BLOCK_BYTES // (8 * width)))
+    blocks = max(1, -(-rows // size))
+    return blocks, max(1, -(-cores // blocks))
 
 
 def _numbers(n: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
 
 
-def _slices(part: pd.DataFrame, width: int) -> pd.DataFrame:
-    """A block as bytes: ids, least value and number of bits of each dimension, slices."""
-    part = part.sort_values("id")
-    n = len(part)
-    dense = np.zeros((n, width), np.int64)
-    for row, v in enumerate(part["v"]):
+def _whole(x: float, scale: int) -> int:
+    """floor(scale * x), exact for any finite x."""
+    return int(x) * scale if abs(x) >= 1 << 53 else math.floor(x * scale)
+
+
+def _quantised(vectors: list, width: int, scale: int) -> np.ndarray:
+    dense = np.zeros((len(vectors), width))
+    for row, v in enumerate(vectors):
         dense[row, : len(v)] = v
+    if np.abs(dense).max(initial=0) < (1 << 62) // scale:
+        return np.floor(dense * scale).astype(np.int64)
+    return np.array([[_whole(x, scale) for x in row] for row in dense.tolist()], dtype=object)
+
+
+def _slices(part: pd.DataFrame, width: int, scale: int) -> pd.DataFrame:
+    """A block as bytes: row numbers and ids, least value and number of bits of each dimension,
+    slices."""
+    part = part.sort_values(["id", "row"])
+    n = len(part)
+    dense = _quantised(part["v"].tolist(), width, scale)
     low = dense.min(axis=0)
-    dense -= low
-    bits = np.array([int(m).bit_length() for m in dense.max(axis=0)], np.int64)
-    planes = [
-        np.packbits(((dense[:, d] >> b) & 1).astype(np.uint8), bitorder="little")
-        for d in range(width)
-        for b in range(bits[d])
-    ]
+    dense = dense - low
+    bits = [int(m).bit_length() for m in dense.max(axis=0)]
     words = -(-n // 64)
-    flat = b"".join(np.pad(p, (0, words * 8 - len(p))).tobytes() for p in planes)
-    head = np.array([n, width], np.int64)
-    payload = head.tobytes() + part["id"].to_numpy(np.int64).tobytes() + low.tobytes() + bits.tobytes() + flat
+    planes = np.zeros((sum(bits), words * 8), np.uint8)
+    for plane, (d, b) in zip(planes, ((d, b) for d in range(width) for b in range(bits[d])), strict=True):
+        packed = np.packbits(((dense[:, d] >> b) & 1).astype(np.uint8), bitorder="little")
+        plane[: len(packed)] = packed
+    payload = pickle.dumps((part["row"].to_numpy(), part["id"].to_numpy(), [int(x) for x in low], bits, planes.tobytes(), scale))
     return pd.DataFrame({"b": [int(part["b"].iloc[0])], "payload": [payload]})
 
 
-def _search(block: pd.DataFrame, asked: pd.DataFrame, k: int) -> Iterator[tuple[int, int, int]]:
-    if not len(block) or not len(asked):
-        return
-    raw = np.frombuffer(block["payload"].iloc[0], np.int64)
-    n, width = int(raw[0]), int(raw[1])
-    ids, low, bits = np.split(raw[2 : 2 + n + 2 * width], [n, n + width])
-    words = -(-n // 64)
-    planes = raw[2 + n + 2 * width :].view(np.uint64).reshape(-1, words)
-    flipped = ~planes
-    first = np.concatenate([[0], np.cumsum(bits)])
-    everyone = np.full(words, ~np.uint64(0))
-    if n % 64:
-        everyone[-1] = np.uint64((1 << (n % 64)) - 1)
-    for own, v in zip(asked["id"], asked["v"], strict=True):
-        q = [int(x) for x in v] + [0] * (width - len(v))
+class _Block:
+    """A block unpacked, ready for queries."""
+
+    def __init__(self, payload: bytes) -> None:
+        self.rows, self.ids, self.low, self.bits, planes, self.scale = pickle.loads(payload)
+        self.words = -(-len(self.ids) // 64)
+        self.planes = np.frombuffer(planes, np.uint64).reshape(-1, self.words)
+        self.flipped = ~self.planes
+        self.first = np.concatenate([[0], np.cumsum(self.bits)]).astype(int).tolist()
+        self.everyone = np.full(self.words, ~np.uint64(0))
+        if len(self.ids) % 64:
+            self.everyone[-1] = np.uint64((1 << (len(self.ids) % 64)) - 1)
+        self.order = np.argsort(self.rows, kind="stable")
+
+    def search(self, own: int, v: list[float], k: int) -> Iterator[tuple[tuple[int, int], int]]:
+        """Row and id, and score, of the k best rows of the block but the query's own."""
         places: dict[int, list[np.ndarray]] = {}
-        constant = sum(a * int(b) for a, b in zip(q, low, strict=True))
-        for d, value in enumerate(q):
+        constant = 0
+        for d, x in enumerate(v):
+            value = _whole(x, self.scale)
+            constant += value * self.low[d]
             for place, sign in _digits(value):
                 # Subtracting x is adding its complement, less a constant.
-                source = planes if sign > 0 else flipped
+                source = self.planes if sign > 0 else self.flipped
                 if sign < 0:
-                    constant -= ((1 << int(bits[d])) - 1) << place
-                for b in range(int(bits[d])):
-                    places.setdefault(place + b, []).append(source[first[d] + b])
-        total = _add(places, words)
-        candidates = everyone.copy()
-        at = int(np.searchsorted(ids, own))
-        if at < n and ids[at] == own:
+                    constant -= ((1 << self.bits[d]) - 1) << place
+                for b in range(self.bits[d]):
+                    places.setdefault(place + b, []).append(source[self.first[d] + b])
+        total = _add(places, self.words)
+        candidates = self.everyone.copy()
+        at = int(np.searchsorted(self.rows, own, sorter=self.order))
+        if at < len(self.rows) and self.rows[self.order[at]] == own:
+            at = int(self.order[at])
             candidates[at // 64] &= ~np.uint64(1 << (at % 64))
         for row, score in _select(total, candidates, k):
-            yield int(own), int(ids[row]), score + constant
+            yield (int(self.rows[row]), int(self.ids[row])), score + constant
 
 
 def _digits(value: int) -> Iterator[tuple[int, int]]:
