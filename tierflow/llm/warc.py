@@ -9,21 +9,31 @@ records to a file.
 
 Reading: a file's records are parsed by their lengths. Segments are grouped by origin id,
 put in order by number, and checked against the total length; then the chunked framing is
-undone and the payload compared with its digest. Whole records never pass a shuffle.
+undone and the payload compared with its digest. Whole records never pass a shuffle. A file is
+read by one task, whole, once for whole records and once for segments.
 
 Defined results: a null payload is an empty one. Rows that repeat the response's id are
 responses too. Among rows without id alone, all are responses. Missing or surplus segments,
 a wrong length or digest, or broken framing leave `payload` as far as it can be had and set
 `intact` to false. An archive without records gives no rows.
+
+Broken archives never fail. What does not begin with a version line is skipped up to the next
+one. A length that is missing, no number, negative, or not followed by the end of a record
+gives way to the next version line after a blank line, or the end of the file: what lies
+before it is the block, and the record is not intact. The same goes for a record that the file
+ends in, and for headers that the next record interrupts. A compressed file is read member by
+member; of a broken one the part that can be had counts as the end of a file, and reading goes
+on at the next member. A segment number that is none leaves a continuation out of its record,
+which then is not intact, and makes a first segment a record of its own.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -55,11 +65,15 @@ _PARSED = T.StructType(
         T.StructField("origin", T.StringType()),
         T.StructField("number", T.LongType()),
         T.StructField("total", T.LongType()),
+        T.StructField("sound", T.BooleanType()),
         T.StructField("block", T.BinaryType()),
     ]
 )
+_START = b"WARC/"
+_GZIP = b"\x1f\x8b\x08"
+_NUMBER = re.compile(r"[0-9]{1,18}")
 _READ = T.StructType(
-    [f for f in _PARSED.fields if f.name not in ("origin", "number", "total", "block")]
+    [f for f in _PARSED.fields if f.name not in ("origin", "number", "total", "sound", "block")]
     + [T.StructField("payload", T.BinaryType()), T.StructField("payload_digest", T.StringType()), T.StructField("intact", T.BooleanType())]
 )
 
@@ -171,7 +185,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     names = ["record_type", "page_id", "url", "digest", "refers_to"]
     grouped = parts.groupBy(F.coalesce("origin", "record_id").alias("record_id")).agg(
         # Records written twice repeat their segments: a set holds each once.
-        F.array_sort(F.collect_set(F.struct("number", "total", "block"))).alias("parts"),
+        F.array_sort(F.collect_set(F.struct("number", "total", "sound", "block"))).alias("parts"),
         F.count("*").alias("n_parts"),
         F.greatest(F.count_if(F.col("number") == 1), F.lit(1)).alias("copies"),
         *[F.first(F.when(F.col("number") == 1, F.col(n)), ignorenulls=True).alias(n) for n in names],
@@ -211,30 +225,99 @@ def _parsed(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
 
 def parse_records(raw: bytes) -> Iterator[dict]:
     """The records of one file."""
-    if raw[:2] == b"\x1f\x8b":
-        raw = gzip.decompress(raw)
+    for part in _members(raw) if raw.startswith(_GZIP) else [raw]:
+        yield from _parse(part)
+
+
+def _members(raw: bytes) -> Iterator[bytes]:
+    """A compressed file unpacked, in a piece for each stretch of sound members; the part that
+    can be had of a broken one ends a stretch."""
+    found: list[bytes] = []
     at = 0
-    while at < len(raw):
-        end = raw.find(b"\r\n\r\n", at)
-        if end < 0:
-            return
-        lines = raw[at:end].decode("utf-8", "replace").lstrip("\r\n").split("\r\n")
-        h = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(h.get("content-length", 0))
-        number, total = h.get("warc-segment-number"), h.get("warc-segment-total-length")
-        yield {
-            "record_type": h.get("warc-type"),
-            "record_id": h.get("warc-record-id"),
-            "page_id": h.get("x-page-id"),
-            "url": h.get("warc-target-uri"),
-            "digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-            "refers_to": h.get("warc-refers-to"),
-            "origin": h.get("warc-segment-origin-id"),
-            "number": None if number is None else int(number),
-            "total": None if total is None else int(total),
-            "block": raw[end + 4 : end + 4 + size],
-        }
-        at = end + 4 + size + 4
+    while at >= 0:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            # Piece by piece, so that what comes before a fault is kept.
+            for begin in range(at, len(raw), 1 << 16):
+                found.append(member.decompress(raw[begin : begin + (1 << 16)]))
+                if member.eof:
+                    break
+            sound = member.eof
+        except zlib.error:
+            found.append(_up_to_fault(raw, at, begin))
+            sound = False
+        if sound:
+            at = min(begin + (1 << 16), len(raw)) - len(member.unused_data)
+            if raw.startswith(_GZIP, at):
+                continue
+        yield b"".join(found)
+        found = []
+        at = raw.find(_GZIP, at if sound else at + 1)
+
+
+def _up_to_fault(raw: bytes, at: int, begin: int) -> bytes:
+    """What the member at `at` holds between `begin`, up to which it is sound, and its fault."""
+    member, out = zlib.decompressobj(wbits=31), []
+    member.decompress(raw[at:begin])
+    try:
+        for i in range(begin, len(raw)):
+            out.append(member.decompress(raw[i : i + 1]))
+    except zlib.error:
+        pass
+    return b"".join(out)
+
+
+def _parse(raw: bytes) -> Iterator[dict]:
+    at = 0
+    while True:
+        while raw[at : at + 1] in (b"\r", b"\n"):
+            at += 1
+        if not raw.startswith(_START, at):
+            at = raw.find(b"\r\n" + _START, at) + 2
+            if at < 2:
+                return
+        end, later = raw.find(b"\r\n\r\n", at), raw.find(b"\r\n" + _START, at)
+        cut = end < 0 or 0 <= later < end
+        if cut:
+            # The file or another record starts before the headers end.
+            end = later if later >= 0 else len(raw)
+        h = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in raw[at:end].decode("utf-8", "replace").split("\r\n")[1:])}
+        begin = end if cut else end + 4
+        size = None if cut else _number(h.get("content-length"))
+        after = begin if size is None else begin + size
+        sound = size is not None and after <= len(raw) and (after == len(raw) or raw.startswith(b"\r\n\r\n", after))
+        if not sound and not cut:
+            after = raw.find(b"\r\n\r\n" + _START, begin)
+            after = len(raw) if after < 0 else after
+        yield _record_of(h, raw[begin:after], sound)
+        at = after
+
+
+def _number(text: str | None) -> int | None:
+    return int(text) if text is not None and _NUMBER.fullmatch(text) else None
+
+
+def _record_of(h: dict[str, str], block: bytes, sound: bool) -> dict:
+    kind, own, origin = h.get("warc-type"), h.get("warc-record-id"), h.get("warc-segment-origin-id")
+    number = _number(h.get("warc-segment-number"))
+    if "warc-segment-number" in h and not number:
+        number, sound = 0 if kind == "continuation" else None, False
+    if own is None and origin is None and number is not None:
+        # A segment of what is not known.
+        number, sound = None, False
+    return {
+        "record_type": kind,
+        "record_id": own,
+        "page_id": h.get("x-page-id"),
+        "url": h.get("warc-target-uri"),
+        "digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or None,
+        "refers_to": h.get("warc-refers-to"),
+        "origin": origin,
+        "number": number,
+        "total": _number(h.get("warc-segment-total-length")),
+        "sound": sound,
+        "block": block,
+    }
 
 
 def dechunked(block: bytes) -> tuple[bytes, bool]:
@@ -269,7 +352,7 @@ def _row(r: dict, block: bytes, sound: bool) -> dict:
 def _decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = to_arrow_schema(_READ)
     for batch in batches:
-        yield pa.RecordBatch.from_pylist([_row(r, r["block"], True) for r in batch.to_pylist()], schema=schema)
+        yield pa.RecordBatch.from_pylist([_row(r, r["block"], r["sound"]) for r in batch.to_pylist()], schema=schema)
 
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,9 +361,11 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for r in batch.to_pylist():
-            parts = r["parts"]
+            # Continuations without a number have 0.
+            parts = [p for p in r["parts"] if p["number"]]
             block = b"".join(p["block"] for p in parts)
             totals = {p["total"] for p in parts} - {None}
             sound = [p["number"] for p in parts] == list(range(1, len(parts) + 1)) and totals == {len(block)}
+            sound = sound and all(p["sound"] for p in r["parts"])
             rows.append(_row(r, block, sound and r["n_parts"] == r["copies"] * len(parts)) | {"copies": r["copies"]})
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
