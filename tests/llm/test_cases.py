@@ -259,7 +259,8 @@ def test_classifiers_on_odd_rows(spark):
 
 
 def test_language_is_unknown_just_where_no_letter_is():
-    model = langid.Model(("a", "b"), np.ones((langid.BUCKETS, 2), np.float32), np.zeros(2))
+    every = np.arange(langid.BUCKETS)
+    model = langid.Model(("a", "b"), langid.Sparse.of(np.repeat(every, 2), np.tile([0, 1], len(every)), np.ones(2 * len(every))), np.zeros(2))
     chars = [c for c in map(chr, range(0x110000)) if not 0xD800 <= ord(c) < 0xE000]
     texts = ["！１２「」", "٠١٢ ०१२", "\u0301\u093f", "ℕ", "ｈ", "हिन्दी", *chars]
     labels, _ = model.predict(texts)

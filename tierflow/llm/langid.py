@@ -11,6 +11,10 @@ calibrated with one temperature.
 * document frequencies cover every training document: each task sums one vector.
 * weights are fitted on a bounded, hashed sample of `PER_LANGUAGE` texts per language.
   The sample is dealt to `SHARDS` tasks; their models are averaged feature by feature.
+  There may be any number of languages: beyond `GROUP` of them, each group of so many is
+  fitted by itself, against one class more that stands for all others, and scores are taken
+  relative to that class. So a task's state and sample are bounded.
+* what reaches the driver is the model: the weights that the penalty leaves.
 * the temperature is the grid value with the least log loss on `CALIBRATION` other texts
   per language.
 
@@ -25,7 +29,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -34,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import texts_of, uniform, with_columns
+from tierflow.llm.common import small_side, texts_of, uniform, with_columns
 
 UNKNOWN = "und"
 BITS = 16
@@ -46,81 +50,160 @@ PER_LANGUAGE = 1500
 CALIBRATION = 500
 SHARDS = 6
 EPOCHS = 3
-# Languages with the most training rows that a model can hold.
-MAX_LANGUAGES = 500
+# Languages fitted together, and texts that stand for the others, if there are any.
+GROUP = 128
+OTHERS = 4 * PER_LANGUAGE
+# Up to so many languages, weights are laid out for all of them.
+DENSE = 64
+# Scores held at once, for texts times languages.
+SCORES = 1 << 21
 TEMPERATURES = np.exp(np.linspace(np.log(0.05), np.log(20.0), 81))
 # TF values are small shares; this brings a text's features to the order of one.
 SCALE = 30.0
 ALPHA, BETA, L1, L2 = 0.3, 1.0, 0.002, 0.001
+# Stand-ins for a class: all other languages, and the number of models.
+_OTHER, _COUNT = -1, -2
 # Kinds of characters besides blanks.
 MARK, LETTER = 1, 2
 
 
+@dataclass(frozen=True)
+class Sparse:
+    """Weights that are not 0, IDF included, by bucket: those of bucket b are `begins[b]` to
+    `begins[b + 1]`."""
+
+    begins: np.ndarray
+    classes: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, buckets: np.ndarray, classes: np.ndarray, values: np.ndarray) -> Sparse:
+        order = np.lexsort((classes, buckets))
+        counts = np.bincount(buckets, minlength=BUCKETS)
+        begins = np.concatenate([[0], np.cumsum(counts)])
+        return cls(begins, classes[order].astype(np.int32), values[order].astype(np.float32))
+
+    def laid_out(self, n_classes: int) -> np.ndarray:
+        out = np.zeros((BUCKETS, n_classes), np.float32)
+        out[np.repeat(np.arange(BUCKETS), np.diff(self.begins)), self.classes] = self.values
+        return out
+
+    def sums(self, buckets: np.ndarray, n_classes: int) -> np.ndarray:
+        """Each class's weights summed over some buckets."""
+        found, counts = np.unique(buckets, return_counts=True)
+        sizes = self.begins[found + 1] - self.begins[found]
+        skipped = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(self.begins[found] - skipped, sizes)
+        return np.bincount(self.classes[at], weights=self.values[at] * np.repeat(counts, sizes), minlength=n_classes)
+
+
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    weights: np.ndarray  # BUCKETS x languages, IDF included
-    bias: np.ndarray
+    weights: Sparse | None = None
+    bias: np.ndarray | None = None
     temperature: float = 1.0
 
+    @cached_property
+    def dense(self) -> np.ndarray | None:
+        return self.weights.laid_out(len(self.languages)) if len(self.languages) <= DENSE else None
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "dense"}
+
     def logits(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Class scores of each text, and whether it has a letter."""
-        sums = np.zeros((len(texts), len(self.languages)))
+        n_classes = len(self.languages)
+        sums = np.zeros((len(texts), n_classes))
         grams = np.zeros(len(texts))
         for owner, starts, buckets in _grams(texts):
-            sums[owner] += np.add.reduceat(self.weights[buckets], starts, axis=0)
+            if self.dense is not None:
+                sums[owner] += np.add.reduceat(self.dense[buckets], starts, axis=0)
+            else:
+                for text, part in zip(owner, np.split(buckets, starts[1:]), strict=True):
+                    sums[text] += self.weights.sums(part, n_classes)
             grams[owner] += np.diff(np.append(starts, len(buckets)))
         known = grams > 0
         return self.bias + SCALE * sums / np.maximum(grams, 1)[:, None], known
 
+    def slices(self, n: int) -> list[slice]:
+        """Texts to be scored at once."""
+        step = n if self.dense is not None else max(1, SCORES // len(self.languages))
+        return [slice(i, i + step) for i in range(0, n, step or 1)]
+
     def predict(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray]:
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
-        logits, known = self.logits(texts)
-        chance = _softmax(logits / self.temperature)
-        best = chance.argmax(axis=1)
-        labels = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
-        return labels, np.where(known, chance.max(axis=1), 0.0)
+        labels, scores = [], [np.zeros(0)]
+        for some in self.slices(len(texts)):
+            logits, known = self.logits(texts[some])
+            chance = _softmax(logits / self.temperature)
+            best = chance.argmax(axis=1)
+            labels += [self.languages[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
+            scores.append(np.where(known, chance.max(axis=1), 0.0))
+        return labels, np.concatenate(scores)
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", where: Column | None = None) -> Model:
     """A model from the rows of `docs` that `where` admits and that have a language."""
     rows = docs if where is None else docs.filter(where)
     rows = rows.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
-    sizes = {
-        r["lang"]: r["count"]
-        for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    }
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = tuple(sorted(sizes))
     if not languages:
-        return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return Model(())
     idf = _idf(rows, sum(sizes.values()))
     # One draw decides both samples: below the first bound trains, up to the second calibrates.
-    bounds = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, PER_LANGUAGE / n)])
+    known = rows.sparkSession.createDataFrame(
+        [(name, i, PER_LANGUAGE / sizes[name]) for i, name in enumerate(languages)], "lang string, y int, bound double"
+    )
     ratio = (PER_LANGUAGE + CALIBRATION) / PER_LANGUAGE
     drawn = (
         rows.withColumn("u", uniform("text", F.lit("langid")))
-        .withColumn("bound", F.try_element_at(bounds, F.col("lang")))
+        .join(small_side(known, 200, len(languages)), "lang")
         .filter(F.col("u") < F.col("bound") * ratio)
         .dropDuplicates(["lang", "text"])
     )
-    # A language with few texts lends its last fifth to the calibration.
+    # A language with few texts lends its last quarter to the calibration.
     split = F.least(F.col("bound"), F.lit(PER_LANGUAGE / (PER_LANGUAGE + CALIBRATION)))
-    shards = drawn.filter(F.col("u") < split).withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(SHARDS)))
+    size = GROUP
+    groups = -(-len(languages) // size)
+    # A text is dealt to its language's group, and by chance to others, where it is another.
+    chance = OTHERS / sum(min(n, PER_LANGUAGE) for n in sizes.values())
+    own = F.floor(F.col("y") / size)
+    dealt = F.filter(
+        F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: (g == own) | (uniform("text", g) < chance)
+    )
+    shards = drawn.filter(F.col("u") < split).withColumn("part", F.explode(dealt)).withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(SHARDS)))
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        return _fit_shard(part, languages, idf)
-
-    fitted = shards.groupBy("shard").applyInPandas(fit, "bucket int, weights array<double>")
-    per_class = [F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(len(languages))]
-    table = fitted.groupBy("bucket").agg(*per_class, F.count("*").alias("n")).toPandas()
-    # Every shard has one bias row, so its count is the number of models.
-    n_shards = max(1, int(table.loc[table["bucket"] == BUCKETS, "n"].sum()))
-    dense = np.zeros((BUCKETS + 1, len(languages)))
-    dense[table["bucket"].to_numpy(int)] = table[[f"w{i}" for i in range(len(languages))]].to_numpy() / n_shards
-    model = Model(languages, (dense[:BUCKETS] * idf[:, None]).astype(np.float32), dense[BUCKETS])
+        return _fit_shard(part, len(languages), idf, size)
+
+    fitted = shards.groupBy("part", "shard").applyInPandas(fit, "part int, y int, bucket int, weight double")
+    table = fitted.groupBy("part", "y", "bucket").agg(F.sum("weight").alias("weight")).toArrow()
+    part, y, bucket, weight = (table[c].to_numpy() for c in ("part", "y", "bucket", "weight"))
+    # Every shard says once that it is one; the sum is the number of models of its group.
+    is_count = y == _COUNT
+    models = np.ones(groups)
+    models[part[is_count]] = weight[is_count]
+    part, y, bucket, weight = (x[~is_count] for x in (part, y, bucket, weight))
+    weight = weight / models[part]
+    other = y == _OTHER
+    if other.any():
+        # Relative to all others: what their class has is taken from the group's languages.
+        members = [np.arange(p * size, min((p + 1) * size, len(languages))) for p in part[other]]
+        sizes_of = [len(m) for m in members]
+        y = np.concatenate([y[~other], *members])
+        bucket = np.concatenate([bucket[~other], np.repeat(bucket[other], sizes_of)])
+        weight = np.concatenate([weight[~other], -np.repeat(weight[other], sizes_of)])
+    bias = np.bincount(y[bucket == BUCKETS], weights=weight[bucket == BUCKETS], minlength=len(languages))
+    y, bucket, weight = (x[bucket < BUCKETS] for x in (y, bucket, weight))
+    cells, at = np.unique(bucket.astype(np.int64) * len(languages) + y, return_inverse=True)
+    bucket, y = np.divmod(cells, len(languages))
+    weights = Sparse.of(bucket, y, np.bincount(at, weights=weight, minlength=len(cells)) * idf[bucket])
+    model = Model(languages, weights, bias)
     held = drawn.filter(F.col("u") >= split)
-    return Model(model.languages, model.weights, model.bias, _temperature(held, model))
+    return Model(languages, weights, bias, _temperature(held, model))
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -235,13 +318,16 @@ def _features(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return b, SCALE * c / total * idf[b]
 
 
-def _fit_shard(part: pd.DataFrame, languages: tuple[str, ...], idf: np.ndarray) -> pd.DataFrame:
+def _fit_shard(part: pd.DataFrame, n_languages: int, idf: np.ndarray, size: int) -> pd.DataFrame:
     """FTRL-proximal over the shard's texts in hashed order; weights that stay 0 are left out."""
-    k = len(languages)
-    index = {name: i for i, name in enumerate(languages)}
-    z, n = np.zeros((BUCKETS + 1, k)), np.zeros((BUCKETS + 1, k))
+    group = int(part["part"].iloc[0])
+    begin = group * size
+    k = min(size, n_languages - begin)
+    others = n_languages > size
+    z, n = np.zeros((BUCKETS + 1, k + others)), np.zeros((BUCKETS + 1, k + others))
     order = part.sort_values(["u", "lang", "text"])
-    rows = [(*_features(t, idf), index[y]) for t, y in zip(order["text"], order["lang"], strict=True)]
+    classes = [y - begin if 0 <= y - begin < k else k for y in order["y"].tolist()]
+    rows = [(*_features(t, idf), y) for t, y in zip(order["text"], classes, strict=True)]
     for _ in range(EPOCHS):
         for at, x, y in rows:
             if not len(at):
@@ -255,9 +341,11 @@ def _fit_shard(part: pd.DataFrame, languages: tuple[str, ...], idf: np.ndarray)
             z[at] += g - sigma * w
             n[at] += g * g
     w = _weights(z, n)
-    at = np.flatnonzero(np.abs(w).sum(axis=1) > 0)
-    at = np.unique(np.append(at, BUCKETS))
-    return pd.DataFrame({"bucket": at.astype("int32"), "weights": list(w[at])})
+    bucket, y = np.nonzero(w)
+    named = np.where(y < k, y + begin, _OTHER)
+    table = pd.DataFrame({"part": group, "y": named, "bucket": bucket, "weight": w[bucket, y]})
+    count = pd.DataFrame({"part": [group], "y": [_COUNT], "bucket": [BUCKETS], "weight": [1.0]})
+    return pd.concat([table, count]).astype({"part": "int32", "y": "int32", "bucket": "int32"})
 
 
 def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -276,11 +364,13 @@ def _temperature(held: DataFrame, model: Model) -> float:
     def loss(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(TEMPERATURES))
         for batch in batches:
-            logits, known = model.logits(texts_of(batch, "text"))
-            y = np.array([index[v] for v in texts_of(batch, "lang")], int)
-            for i, t in enumerate(TEMPERATURES):
-                p = _softmax(logits / t)[np.arange(len(y)), y]
-                total[i] -= np.log(np.maximum(p, 1e-12))[known].sum()
+            texts, langs = texts_of(batch, "text"), texts_of(batch, "lang")
+            for some in model.slices(len(texts)):
+                logits, known = model.logits(texts[some])
+                y = np.array([index[v] for v in langs[some]], int)
+                for i, t in enumerate(TEMPERATURES):
+                    p = _softmax(logits / t)[np.arange(len(y)), y]
+                    total[i] -= np.log(np.maximum(p, 1e-12))[known].sum()
         yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], names=["i", "loss"])
 
     found = held.select("text", "lang").mapInArrow(loss, "i int, loss double").groupBy("i").agg(F.sum("loss").alias("loss")).toPandas()
