@@ -12,7 +12,6 @@ import corpus_pipeline
 from tierflow.llm import decontam, html_text, jaccard, langid, mixing, quality, tokens, topk, toxicity, warc
 from tierflow.llm.common import fold, load
 from tierflow.llm.components import components
-from tierflow.llm.queries import TOPICS
 from tierflow.session import shared_dir
 
 SF_DIR = "/root/testdata/sf0.01"
@@ -217,26 +216,6 @@ def test_html_of_any_depth():
     assert html_text.render("<div>" * 20000 + "x") == "x"
 
 
-def test_mixing_meets_targets(spark):
-    docs = load(spark, SF_DIR, "documents").withColumn("topic", F.lit("clash"))
-    mixed = mixing.mix(docs, F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd"))
-    assert mixed.columns == [*docs.columns, "topic_", "n_tokens", "probability", "sampled"]
-    odd = mixing.mix(docs_of(spark, odd_texts()), F.lit("t"))
-    assert odd.count() == len(odd_texts())
-    assert odd.filter("probability < 0 OR probability > 1").isEmpty()
-    assert mixing.mix(docs.limit(0), F.lit("t")).isEmpty()
-
-
-def test_expected_mix_meets_its_targets(spark):
-    mixed = mixing.mix(load(spark, SF_DIR, "documents"), mixing.topic_of(F.col("text"), TOPICS)).cache()
-    for dim, power in mixing.TEMPER.items():
-        tokens, kept = F.sum("n_tokens"), F.sum(F.col("n_tokens") * F.col("probability"))
-        sums = mixed.groupBy(F.coalesce(dim, F.lit("")).alias("k")).agg(tokens.alias("t"), kept.alias("e")).filter("t > 0").collect()
-        whole, expected = sum(r["t"] ** power for r in sums), sum(r["e"] for r in sums)
-        assert all(abs(r["e"] / expected / (r["t"] ** power / whole) - 1) < 1e-4 for r in sums)
-    assert 0.999 < mixed.agg(F.max("probability")).first()[0] <= 1
-
-
 def test_classifiers_on_odd_rows(spark):
     train, labels = load(spark, SF_DIR, "documents"), load(spark, SF_DIR, "labels")
     odd = docs_of(spark, odd_texts()).withColumns({"score": F.lit(1), "statistics": F.lit(1), "lang_pred": F.lit(1)})

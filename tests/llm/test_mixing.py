@@ -1,0 +1,116 @@
+"""Raking within bounds: targets that are met, targets that cannot be, and topics."""
+
+import logging
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tierflow.llm import mixing
+from tierflow.llm.common import load
+from tierflow.llm.queries import MIX_ROUNDS
+
+SF_DIR = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+def docs_of(spark, rows):
+    """Rows given as (tokens, lang, source)."""
+    return spark.createDataFrame([(i, None if n is None else "w " * n, lang, src) for i, (n, lang, src) in enumerate(rows)], SCHEMA)
+
+
+def expected_shares(mixed, dim):
+    sums = mixed.groupBy(F.coalesce(dim, F.lit("")).alias("k")).agg(F.sum("n_tokens").alias("t"), F.sum(F.col("n_tokens") * F.col("probability")).alias("e"))
+    rows = sums.filter("t > 0").collect()
+    kept = sum(r["e"] for r in rows)
+    return {r["k"]: r["t"] for r in rows}, {r["k"]: r["e"] / kept for r in rows}, kept
+
+
+@pytest.mark.parametrize("options", [{}, {"rounds": MIX_ROUNDS, "with_text": False}])
+def test_expected_mix_meets_its_targets(spark, options):
+    mixed = mixing.mix(load(spark, SF_DIR, "documents"), **options).cache()
+    wanted = {}
+    for dim, power in (("source", 0.5), ("lang", 0.7)):
+        own, shares, kept = expected_shares(mixed, dim)
+        whole = sum(t**power for t in own.values())
+        wanted[dim] = {k: t**power / whole for k, t in own.items()}
+        assert all(abs(shares[k] / wanted[dim][k] - 1) < 1e-5 for k in own)
+    own, shares, kept = expected_shares(mixed, "topic")
+    for lang, target in wanted["lang"].items():
+        topics = {k: t**0.7 for k, t in own.items() if k.split(":")[0] == lang}
+        assert all(abs(shares[k] / (target * t / sum(topics.values())) - 1) < 1e-5 for k, t in topics.items())
+    # As much as the scarcest value allows, less the headroom.
+    bound = min(own[k] / shares[k] for k in own)
+    assert kept >= 0.999 * mixing.HEADROOM * min(bound, *(t / wanted[d][k] for d in wanted for k, t in expected_shares(mixed, d)[0].items()))
+    assert mixed.filter("probability < 0 OR probability > 1").isEmpty()
+    drawn = mixed.filter("sampled").agg(F.sum("n_tokens")).first()[0]
+    assert 0.5 * kept < drawn < 1.5 * kept
+
+
+def test_a_step_meets_its_goals(spark):
+    """Against halving intervals for the factor of each value."""
+    rnd = np.random.default_rng(3)
+    tokens, scaled = rnd.integers(1, 1000, 60), rnd.lognormal(3, 3, 60)
+    rows = [(int(i % 4), int(i), int(t), float(u), [0.1, 0.2, 0.3, 0.4][i % 4]) for i, (t, u) in enumerate(zip(tokens, scaled, strict=True))]
+    cells = spark.createDataFrame(rows, "a int, b int, tokens long, u double, t_a double")
+    aim = float(0.5 * tokens.sum())
+    found = mixing._met(cells, "a", ["a", "b"], aim).collect()
+    for a in range(4):
+        mine = [(t, u) for x, _, t, u, _ in rows if x == a]
+        goal = min(aim * [0.1, 0.2, 0.3, 0.4][a], sum(t for t, _ in mine))
+        assert sum(min(r["u"], r["tokens"]) for r in found if r["a"] == a) == pytest.approx(goal)
+        factors = {round(r["u"] / scaled[r["b"]], 6) for r in found if r["a"] == a and r["u"] < 1e90}
+        assert len(factors) == 1
+
+
+def test_given_targets(spark):
+    rows = [(n, lang, src) for n in (40, 60, 100) for lang in ("de", "en", "fr") for src in ("a", "b", "c", None)] * 5
+    docs = docs_of(spark, rows)
+    given = spark.createDataFrame([("lang", "de", 0.6), ("lang", "en", 0.1), ("source", None, 0.4), ("lang", "fr", 0.3)], "dim string, value string, share double")
+    mixed = mixing.mix(docs, targets=given).cache()
+    assert expected_shares(mixed, "lang")[1] == pytest.approx({"de": 0.6, "en": 0.1, "fr": 0.3}, rel=1e-5)
+    # Sources that are not named share what is left; the topics follow their languages.
+    assert expected_shares(mixed, "source")[1] == pytest.approx({"": 0.4, "a": 0.2, "b": 0.2, "c": 0.2}, rel=1e-5)
+    only = mixing.mix(docs, targets=spark.createDataFrame([("lang", "de", 1.0)], given.schema)).cache()
+    assert expected_shares(only, "lang")[1] == {"de": pytest.approx(1), "en": 0, "fr": 0}
+    assert {r["probability"] for r in only.filter("lang <> 'de'").collect()} == {0.0}
+    for bad in [("lang", "it", 0.1)], [("lang", "de", 0.8), ("lang", "en", 0.4)], [("source", "a", -0.1)]:
+        with pytest.raises(ValueError, match="target"):
+            mixing.mix(docs, targets=spark.createDataFrame(bad, given.schema))
+
+
+def test_targets_that_cannot_be_met(spark, caplog):
+    """Each source has one language, and the two ask for other shares."""
+    docs = docs_of(spark, [(50, "de", "a")] * 4 + [(50, "en", "b")] * 4)
+    given = spark.createDataFrame([("lang", "de", 0.9), ("source", "a", 0.2)], "dim string, value string, share double")
+    with caplog.at_level(logging.WARNING, "tierflow"):
+        mixed = mixing.mix(docs, targets=given)
+    assert "cannot all be met" in caplog.text
+    assert mixed.count() == 8 and mixed.filter("probability < 0 OR probability > 1").isEmpty()
+
+
+def test_topics(spark):
+    texts = ["river boat river", "boat", "river boat boat", "the the", "the river river", "", None, " the\tboat\x0b "] + ["the x%d" % i for i in range(40)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(100, "river only", "de", "s"), (101, "boat", None, "s")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r["topic_lang"]: r["topic_words"] for r in mixing.topic_words(docs, topics=2).collect()}
+    # At most one document in eight: 48 documents are English. "the" is in more; a language
+    # with one document has none.
+    assert found == {"en": ["boat", "river"]}
+    told = {r["doc_id"]: r["topic"] for r in mixing.mix(docs, rounds=1).collect()}
+    assert [told[i] for i in (0, 1, 2, 4, 5, 6, 7)] == ["en:river", "en:boat", "en:boat", "en:river", "en:", "en:", "en:boat"]
+    assert told[100] == "de:" and told[101] == ":"
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "en", "a"), (2, "", None, None), (3, " \n", "en", "a"), (None, "x y", "en", "a"), (4, "a:b " * 30000, "a:b", ":"), (4, "a:b " * 30000, "a:b", ":")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    clashing = docs.withColumns({c: F.lit(1) for c in "topic n_tokens probability sampled tokens words topic_words topic_lang _topic_words u w t line aim n".split()})
+    mixed = mixing.mix(clashing, rounds=2)
+    assert mixed.columns == [*clashing.columns, "topic_", "n_tokens_", "probability_", "sampled_"] and mixed.count() == 6
+    assert {r["n_tokens_"] for r in mixed.collect()} == {0, 2, 30000}
+    assert len({r["sampled_"] for r in mixed.filter("doc_id = 4").collect()}) == 1
+    assert mixing.mix(docs, with_text=False, rounds=2).columns == ["doc_id", "lang", "source", "topic", "n_tokens", "probability", "sampled"]
+    assert mixing.mix(docs.limit(0)).isEmpty() and mixing.mix(docs.filter("doc_id < 4"), rounds=2).count() == 3
+    own = mixing.mix(docs, rounds=2, topic=F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd"))
+    assert {r["topic"] for r in own.collect()} == {"even", "odd"}

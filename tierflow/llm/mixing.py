@@ -1,16 +1,24 @@
 """Mixing sources to target weights by iterative proportional fitting (operator 8), in
 DataFrame functions only.
 
-The token weights of cells (source, language, topic) are raked: scaled so that the sums by
-source, by language and by topic meet their targets, in turn, until all do. A cell's ratio
-of raked to own weight, over the greatest ratio, is the probability with which each of its
-documents is kept; so the expected mix meets the targets, and no probability exceeds one.
-Given a budget, cells that want more than they have are kept whole and the others' ratios
-rise until the expected tokens meet it; the expected mix is then off its targets.
+The tokens of cells (source, language, topic) are raked: scaled so that the sums by source, by
+language and by topic meet their targets, in turn, until all do. No cell can give more than
+it has: a step scales the cells of one value by the factor at which the sum of what they then
+give, each at most its own tokens, is the target. What a cell gives, over its tokens, is the
+probability with which each of its documents is kept; so the expected mix meets the targets.
 
-Documents are read twice and reduced to cells before any shuffle, so a source with a third
-of all rows is a few rows per task. Each raking step is one window over cells. Cells are
-joined to the documents by broadcast up to a checked size, by shuffle beyond.
+The mix is as large as that allows. No sum can exceed the tokens of its value, which bounds
+the whole; raking aims at `HEADROOM` of that bound, and lower where rounds show that targets
+cannot be met there.
+
+Topics: the words that most documents of a language hold, among those that at most one in
+`COMMON` holds, are its `TOPICS` topic words; a document's topic is the one it holds most
+often. Topics are parts of their language, and so are their targets.
+
+Documents are reduced to cells before any shuffle, and to counts per task of the distinct
+words, so a source with a third of all rows is a few rows per task. Each raking step is a
+few windows over cells. Cells are joined to the documents by broadcast up to a checked size,
+by shuffle beyond.
 
 Targets default to tempered shares (each value's share of all tokens to a power, scaled to
 sum to one), which damps large sources and lifts small ones.
@@ -18,75 +26,117 @@ sum to one), which damps large sources and lifts small ones.
 Defined results: null source, language or topic read as "". A text without words weighs
 nothing and is kept with its cell's probability; cells without tokens have probability 0.
 The draw depends on the id alone, so repeated rows share their fate and runs repeat. If
-targets cannot all be met (cells that would be needed are empty), raking stops when rounds
-no longer help, with the last dimension met. An empty table gives an empty one.
+targets cannot all be met at any size (cells that would be needed are empty), raking stops
+when rounds no longer help, with a warning that tells how far the sums are off. Topic words
+rank by documents, then by themselves; of topics that a document holds equally often it has
+the first. An empty table gives an empty one.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import fresh, small_side, stored
 
+log = logging.getLogger("tierflow")
+
 # Powers of the shares, by dimension.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-MAX_ROUNDS = 24
-# Rounds where the expected mix has to meet its targets.
-MOST_ROUNDS = 600
-# Rounds between two looks at how far the sums are from their targets.
+# Topic words of a language; at most one document in so many holds such a word, and it has at
+# most so many characters.
+TOPICS = 8
+COMMON = 8
+LONGEST = 64
+# Share of the greatest sum that the values' own tokens allow.
+HEADROOM = 0.9
+# Rounds at most; rounds between two looks at how far the sums are from their targets.
+MOST_ROUNDS = 120
 ROUNDS = 6
 TOLERANCE = 1e-6
+# Rounds no longer help when they leave more than this part of the error. A smaller size is
+# tried then, down to a least one and as long as that helps.
+STANDING = 0.9
+LOWER = 0.5
+LEAST = 0.05
 # Cells up to this number are raked in one task; more are dealt out for every step.
 ONE_TASK_CELLS = 50_000
-# Share of all tokens that a sample by budget is expected to have.
-BUDGET = 0.5
 _SPACE = r"[\x20\x09-\x0D]+"
 _CELL_BYTES = 200
+_FAR = 1e100
 
 
-def n_words(text: Column) -> Column:
+def words_of(text: Column) -> Column:
     """Words between white space."""
-    parts = F.split(F.coalesce(text, F.lit("")), _SPACE)
-    edge = lambda i: (F.element_at(parts, i) == "").cast("long")
-    return F.size(parts) - edge(1) - F.when(F.size(parts) > 1, edge(-1)).otherwise(0)
+    return F.filter(F.split(F.coalesce(text, F.lit("")), _SPACE), lambda w: w != "")
 
 
-def topic_of(text: Column, markers: Mapping[str, str]) -> Column:
-    """The topic whose marker occurs most often in the whole text, the first of equals; ""
-    if none does."""
-    t = F.coalesce(text, F.lit(""))
-    counts = [((F.length(t) - F.length(F.replace(t, F.lit(m)))) / len(m), k) for k, m in markers.items()]
-    # Earlier topics win ties: the rank runs down.
-    ranked = [F.struct(c.alias("c"), F.lit(-i).alias("i"), F.lit(k).alias("k")) for i, (c, k) in enumerate(counts)]
-    best = F.greatest(*ranked) if len(ranked) > 1 else ranked[0]
-    return F.when(best["c"] > 0, best["k"]).otherwise("")
+def topic_words(docs: DataFrame, text: str = "text", lang: str = "lang", topics: int = TOPICS) -> DataFrame:
+    """`topic_lang` and `topic_words`, an array in their order, of every language that has some."""
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("topic_lang"), F.col(text).alias("text"))
+    sizes = rows.groupBy("topic_lang").agg(F.count("*").alias("n"))
+    held = rows.select("topic_lang", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
+    held = held.filter(F.length("word") <= LONGEST).groupBy("topic_lang", "word").agg(F.count("*").alias("df"))
+    told = held.join(small_side(stored(sizes, "languages"), _CELL_BYTES), "topic_lang").filter(F.col("df") * COMMON <= F.col("n"))
+    place = F.row_number().over(W.partitionBy("topic_lang").orderBy(F.desc("df"), "word"))
+    best = told.withColumn("place", place).filter(F.col("place") <= topics)
+    words = F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x["word"])
+    return stored(best.groupBy("topic_lang").agg(words.alias("topic_words")), "topic-words")
+
+
+def topic_of(words: Column, topic_words: Column, lang: Column) -> Column:
+    """The topic of a text: its language and the topic word that occurs most often, the first of
+    equals; nothing after the language if none does."""
+    hits = F.filter(words, lambda w: F.array_contains(topic_words, w))
+    counts = F.transform(topic_words, lambda t, i: F.struct(F.size(F.filter(hits, lambda h: h == t)).alias("n"), (-i).alias("i"), t.alias("t")))
+    best = F.array_max(counts)
+    return F.concat(F.coalesce(lang.cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.when(best["n"] > 0, best["t"]), F.lit("")))
 
 
 def mix(
     docs: DataFrame,
-    topic: Column,
+    topic: Column | None = None,
     doc_id: str = "doc_id",
     text: str = "text",
     source: str = "source",
     lang: str = "lang",
     temper: Mapping[str, float] = TEMPER,
     targets: DataFrame | None = None,
-    budget: float | None = None,
+    rounds: int | None = None,
+    with_text: bool = True,
 ) -> DataFrame:
-    """`docs` with `topic`, `n_tokens`, `probability` and `sampled`. `targets` may give the
-    shares: columns dim (source, lang or topic), value, share. `budget` is the share of all
-    tokens to expect, at the expense of the targets; without one they are met."""
+    """`docs` with `topic`, `n_tokens`, `probability` and `sampled`.
+
+    `topic` may give topics of its own, which then have targets of their own. `targets` may give
+    shares: columns dim (source, lang or topic), value, share. Values of a dimension that it does
+    not name share what is left as they would by default; a dimension without targets keeps its
+    default. `rounds` fixes their number instead of raking until the sums meet their targets.
+    Without the text the documents are read once less, and their other columns kept meanwhile.
+    """
     topic_name, tokens, chance, drawn = (fresh(docs.columns, n) for n in ("topic", "n_tokens", "probability", "sampled"))
-    rows = docs.withColumns({topic_name: topic, tokens: n_words(F.col(text)).cast("long")})
+    nested = topic is None
+    rows = docs
+    if nested:
+        found = topic_words(docs, text, lang)
+        own = fresh(docs.columns, "_topic_words")
+        found = found.select(F.col("topic_lang").alias(f"{own}_lang"), F.col("topic_words").alias(own))
+        met = F.coalesce(F.col(lang).cast("string"), F.lit("")) == F.col(f"{own}_lang")
+        rows = docs.join(small_side(found, TOPICS * _CELL_BYTES), met, "left")
+        topic = topic_of(words_of(F.col(text)), F.coalesce(own, F.array().cast("array<string>")), F.col(lang))
+    rows = rows.withColumns({topic_name: topic, tokens: F.size(words_of(F.col(text))).cast("long")})
+    rows = rows.select(*(c for c in docs.columns if with_text or c != text), topic_name, tokens)
+    if not with_text:
+        rows = stored(rows, "mixed")
     keys = {"source": F.col(source), "lang": F.col(lang), "topic": F.col(topic_name)}
     keys = {k: F.coalesce(c.cast("string"), F.lit("")) for k, c in keys.items()}
     cells = rows.select(*[c.alias(k) for k, c in keys.items()], F.col(tokens).alias("tokens"))
     cells = stored(cells.groupBy(*keys).agg(F.sum("tokens").alias("tokens")).filter("tokens > 0"), "cells")
-    raked = rake(cells, temper, targets, MOST_ROUNDS if budget is None else MAX_ROUNDS)
-    p = F.least(F.col("w") * F.lit(_scale(raked, budget)) / F.col("tokens"), F.lit(1.0))
+    raked = rake(with_targets(cells, temper, targets, nested), rounds)
+    p = F.least(F.col("w") / F.col("tokens"), F.lit(1.0))
     ratios = raked.select(*[F.col(k).alias(f"_cell_{k}") for k in keys], p.alias("_cell_p"))
     met = [c == F.col(f"_cell_{k}") for k, c in keys.items()]
     joined = rows.join(small_side(ratios, _CELL_BYTES), met[0] & met[1] & met[2], "left")
@@ -101,63 +151,107 @@ def draw(doc_id: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def rake(
-    cells: DataFrame, temper: Mapping[str, float] = TEMPER, targets: DataFrame | None = None, rounds: int = MAX_ROUNDS
-) -> DataFrame:
-    """`cells` with the raked weight `w`; weights sum to one."""
-    dims = list(temper)
-    for dim in dims:
-        cells = cells.join(_targets(cells, dim, temper[dim], targets), dim)
-    cells = stored(cells.withColumn("w", F.col("tokens").cast("double")), "raked")
+def with_targets(cells: DataFrame, temper: Mapping[str, float] = TEMPER, targets: DataFrame | None = None, nested: bool = False) -> DataFrame:
+    """`cells` with the target share of each of their values, `t_source` and so on. With
+    `nested`, a topic's default is its share of its language's target."""
+    for dim, power in temper.items():
+        share = F.pow(F.sum("tokens").cast("double"), F.lit(power))
+        if nested and dim == "topic":
+            shares = cells.groupBy("lang", "topic").agg(share.alias("t"), F.max("t_lang").alias("of"))
+            shares = shares.withColumn("t", F.col("t") * F.col("of") / F.sum("t").over(W.partitionBy("lang")))
+            shares = shares.groupBy("topic").agg(F.sum("t").alias("t"))
+        else:
+            shares = cells.groupBy(dim).agg(share.alias("t"))
+        shares = stored(shares.select(dim, "t"), "shares")
+        whole = shares.agg(F.sum("t")).first()[0] or 1.0
+        shares = shares.withColumn("t", F.col("t") / F.lit(whole))
+        if targets is not None:
+            shares = _given(shares, dim, targets)
+        cells = cells.join(small_side(shares.select(dim, F.col("t").alias(f"t_{dim}")), _CELL_BYTES), dim)
+    return cells
+
+
+def _given(shares: DataFrame, dim: str, targets: DataFrame) -> DataFrame:
+    """The shares of a dimension, with those that targets name in their place."""
+    given = targets.filter(F.col("dim") == dim).groupBy(F.coalesce(F.col("value").cast("string"), F.lit("")).alias(dim)).agg(F.sum("share").alias("own"))
+    both = stored(given.join(shares, dim, "full").select(dim, "own", "t"), "given")
+    none, least, most, absent, others, whole = both.agg(
+        F.count("own") == 0, F.min("own"), F.sum("own"), F.count_if((F.col("own") > 0) & F.col("t").isNull()), F.sum(F.when(F.col("own").isNull(), F.col("t"))), F.sum("t")
+    ).first()
+    if none or not whole:
+        return shares
+    if not 0 <= least <= most <= 1 + TOLERANCE:
+        raise ValueError(f"target shares of {dim} lie between 0 and 1 and sum to 1 at most")
+    if absent:
+        raise ValueError(f"{absent} targets of {dim} are for values without tokens")
+    rest = max(0.0, 1 - most)
+    # What nobody is left to share goes to those that are named.
+    named = F.col("own") / F.lit(most if most and not others else 1.0)
+    left = F.col("t") * F.lit(rest / others if others else 0.0)
+    return both.filter("t IS NOT NULL").select(dim, F.coalesce(named, left).alias("t"))
+
+
+def rake(cells: DataFrame, rounds: int | None = None) -> DataFrame:
+    """`cells` (`tokens` and target shares `t_*`) with what each gives, `w`."""
+    dims = [c[2:] for c in cells.columns if c.startswith("t_")]
+    wanted = " AND ".join(f"t_{d} > 0" for d in dims)
+    columns = [*dims, "tokens", "w"]
+    cells = stored(cells.withColumn("u", F.when(F.expr(wanted), F.col("tokens").cast("double"))), "raked")
+    unwanted = cells.filter("u IS NULL").withColumn("w", F.lit(0.0)).select(columns)
+    cells = cells.filter("u IS NOT NULL")
+    aim = HEADROOM * _bound(cells, dims)
     few = cells.count() <= ONE_TASK_CELLS
-    last = float("inf")
-    for done in range(ROUNDS, rounds + 1, ROUNDS):
+    done, last, before, lowest = 0, float("inf"), float("inf"), aim * LEAST
+    while aim and done < (rounds or MOST_ROUNDS):
         # One partition meets every window's needs without a shuffle.
         cells = cells.coalesce(1) if few else cells
-        for _ in range(ROUNDS):
+        step = min(ROUNDS, (rounds or MOST_ROUNDS) - done)
+        for _ in range(step):
             for dim in dims:
-                total = F.expr(f"sum(w) OVER (PARTITION BY {dim})")
-                cells = cells.withColumn("w", F.when(total > 0, F.col("w") * F.col(f"t_{dim}") / total).otherwise(0.0))
-        cells = stored(cells, "raked")
-        error = _error(cells, dims)
-        # Past the usual rounds, targets that cannot be met show in an error that stands.
-        if error <= TOLERANCE or (done >= MAX_ROUNDS and error > 0.99 * last):
+                cells = _met(cells, dim, dims, aim)
+        cells, done = stored(cells, "raked"), done + step
+        if rounds:
+            continue
+        error = _error(cells, dims, aim)
+        if error <= TOLERANCE:
             break
+        if error > STANDING * last or done >= MOST_ROUNDS:
+            if error > STANDING * before or aim * LOWER < lowest or done >= MOST_ROUNDS:
+                log.warning("mixing: targets cannot all be met, sums are up to %.1f %% off", 100 * error)
+                break
+            aim, before, error = aim * LOWER, error, float("inf")
         last = error
-    return cells.select(*dims, "tokens", "w")
+    return cells.withColumn("w", F.least("u", F.col("tokens").cast("double"))).select(columns).unionByName(unwanted)
+
+
+def _bound(cells: DataFrame, dims: list[str]) -> float:
+    """The greatest sum of which no value's share exceeds its tokens."""
+    bounds = [
+        cells.groupBy(dim).agg(F.sum("tokens").alias("n"), F.max(f"t_{dim}").alias("t")).agg(F.min(F.col("n") / F.col("t"))).first()[0] for dim in dims
+    ]
+    return min((b for b in bounds if b is not None), default=0.0)
+
+
+def _met(cells: DataFrame, dim: str, dims: list[str], aim: float) -> DataFrame:
+    """One step: `u` scaled so that the least of `u` and `tokens` sums to the target of each value.
 
+    That sum grows with the factor along straight lines that bend down where a cell gives
+    all it has, so the factor is the greatest that any of the lines asks for. Cells in the
+    order in which they are used up tell the lines: tokens up to a cell, and `u` after it.
+    """
+    order = W.partitionBy(dim).orderBy(F.col("tokens") / F.col("u"), *dims)
+    used = F.sum(F.col("tokens").cast("double")).over(order.rowsBetween(W.unboundedPreceding, 0))
+    after = F.sum("u").over(order.rowsBetween(1, W.unboundedFollowing))
+    goal, value = F.lit(aim) * F.col(f"t_{dim}"), W.partitionBy(dim)
+    lines = cells.withColumn("line", (goal - used) / after)
+    factor = F.greatest(goal / F.sum("u").over(value), F.max("line").over(value))
+    return lines.withColumn("u", F.least(F.col("u") * factor, F.col("tokens") * F.lit(_FAR))).drop("line")
 
-def _error(cells: DataFrame, dims: list[str]) -> float:
+
+def _error(cells: DataFrame, dims: list[str], aim: float) -> float:
     """The greatest relative distance of a sum from its target."""
     worst = 0.0
-    for dim in dims[:-1]:  # the last one has just been met
-        sums = cells.groupBy(dim).agg(F.sum("w").alias("w"), F.max(f"t_{dim}").alias("t")).filter("t > 0")
-        worst = max(worst, sums.agg(F.max(F.abs(F.col("w") / F.col("t") - 1))).first()[0] or 0.0)
+    for dim in dims:
+        sums = cells.groupBy(dim).agg(F.sum(F.least("u", F.col("tokens").cast("double"))).alias("w"), F.max(f"t_{dim}").alias("t"))
+        worst = max(worst, sums.agg(F.max(F.abs(F.col("w") / (F.col("t") * F.lit(aim)) - 1))).first()[0] or 0.0)
     return worst
-
-
-def _targets(cells: DataFrame, dim: str, power: float, targets: DataFrame | None) -> DataFrame:
-    sums = cells.groupBy(dim).agg(F.pow(F.sum("tokens").cast("double"), F.lit(power)).alias("t"))
-    if targets is not None:
-        given = targets.filter(F.col("dim") == dim).select(F.col("value").alias(dim), F.col("share").alias("t"))
-        sums = sums.select(dim).join(given, dim, "left").fillna(0.0, ["t"])
-    whole = sums.agg(F.sum("t")).first()[0] or 1.0
-    return sums.select(dim, (F.col("t") / F.lit(whole)).alias(f"t_{dim}"))
-
-
-def _scale(raked: DataFrame, budget: float | None) -> float:
-    """The factor that gives the greatest ratio probability one; with a budget, the factor
-    that brings the expected tokens to it, cells with all their documents taken out, which
-    rises until no more cells are."""
-    if budget is None:
-        return raked.filter("w > 0").agg(F.min(F.col("tokens") / F.col("w"))).first()[0] or 0.0
-    whole = raked.agg(F.sum("tokens")).first()[0] or 0
-    scale, last = budget * whole, None
-    while scale != last:
-        last = scale
-        full = F.col("w") * F.lit(scale) >= F.col("tokens")
-        taken, rest = raked.agg(F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("w")))).first()
-        if not rest:
-            break
-        scale = max(last, (budget * whole - (taken or 0)) / rest)
-    return scale

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tierflow.llm.mixing import BUDGET, MAX_ROUNDS, TEMPER
-from tierflow.llm.queries import TOPICS
+from tierflow.llm.mixing import COMMON, HEADROOM, LONGEST, TEMPER, TOPICS
+from tierflow.llm.queries import MIX_ROUNDS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -86,43 +86,57 @@ FROM f
 """
 
 
-def _mixing(rounds: int = MAX_ROUNDS, steps: int = 12) -> str:
-    """Raking, unrolled; on the small tables the tolerance is not met before the last round."""
-    topics = list(TOPICS.items())
-    counts = [f"(length(t) - length(replace(t, '{m}', ''))) / {len(m)}" for _, m in topics]
-    cases = " ".join(f"WHEN {c} = greatest({', '.join(counts)}) THEN '{k}'" for c, (k, _) in zip(counts, topics, strict=True))
+def _mixing(rounds: int = MIX_ROUNDS) -> str:
+    """Raking, unrolled."""
     parts = [
-        f"""WITH d AS (
-  SELECT doc_id, source, lang, coalesce(source, '') AS s, coalesce(lang, '') AS l, coalesce(text, '') AS t FROM documents
+        f"""WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, lang, coalesce(source, '') AS s, coalesce(lang, '') AS l,
+    list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), held AS (
+  SELECT l, word, count(*) AS df FROM (SELECT l, unnest(list_distinct(w)) AS word FROM d) WHERE length(word) <= {LONGEST} GROUP BY ALL
+), topics AS MATERIALIZED (
+  SELECT l, word, row_number() OVER (PARTITION BY l ORDER BY df DESC, encode(word)) AS place
+  FROM held JOIN (SELECT l, count(*) AS n FROM d GROUP BY l) USING (l) WHERE df * {COMMON} <= n QUALIFY place <= {TOPICS}
+), hits AS (
+  SELECT r, word, place, count(*) AS n FROM (SELECT r, l, unnest(w) AS word FROM d) JOIN topics USING (l, word) GROUP BY ALL
+), best AS (
+  SELECT r, word FROM hits QUALIFY row_number() OVER (PARTITION BY r ORDER BY n DESC, place) = 1
 ), docs AS MATERIALIZED (
-  SELECT doc_id, source, lang, s, l, CASE WHEN greatest({', '.join(counts)}) = 0 THEN '' {cases} END AS topic,
-    len(list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> ''))::BIGINT AS n_tokens
-  FROM d
-), c0 AS (
+  SELECT doc_id, source, lang, s, l, l || ':' || coalesce(word, '') AS topic, len(w)::BIGINT AS n_tokens FROM d LEFT JOIN best USING (r)
+), c0 AS MATERIALIZED (
   SELECT s, l, topic, sum(n_tokens)::DOUBLE AS tokens FROM docs GROUP BY ALL HAVING sum(n_tokens) > 0
+), t_s AS (
+  SELECT s, t / sum(t) OVER () AS t_s FROM (SELECT s, pow(sum(tokens), {TEMPER['source']}) AS t FROM c0 GROUP BY s)
+), t_l AS (
+  SELECT l, t / sum(t) OVER () AS t_l FROM (SELECT l, pow(sum(tokens), {TEMPER['lang']}) AS t FROM c0 GROUP BY l)
+), t_topic AS (
+  SELECT topic, sum(t_topic) AS t_topic FROM (
+    SELECT topic, t * t_l / sum(t) OVER (PARTITION BY l) AS t_topic
+    FROM (SELECT l, topic, pow(sum(tokens), {TEMPER['topic']}) AS t FROM c0 GROUP BY l, topic) JOIN t_l USING (l)
+  ) GROUP BY topic
+), r0 AS MATERIALIZED (
+  SELECT c0.*, t_s, t_l, t_topic, tokens AS u FROM c0 JOIN t_s USING (s) JOIN t_l USING (l) JOIN t_topic USING (topic)
 )"""
     ]
-    dims = {"s": TEMPER["source"], "l": TEMPER["lang"], "topic": TEMPER["topic"]}
-    for dim, power in dims.items():
-        parts.append(f"t_{dim} AS (SELECT {dim}, pow(sum(tokens), {power}) AS t FROM c0 GROUP BY {dim})")
-        parts.append(f"g_{dim} AS (SELECT {dim}, t / (SELECT sum(t) FROM t_{dim}) AS g FROM t_{dim})")
-    parts.append(
-        "r0 AS MATERIALIZED (SELECT c0.*, g_s.g AS gs, g_l.g AS gl, g_topic.g AS gtopic, tokens AS w"
-        " FROM c0 JOIN g_s USING (s) JOIN g_l USING (l) JOIN g_topic USING (topic))"
-    )
+    dims = ("s", "l", "topic")
+    bounds = " UNION ALL ".join(f"SELECT sum(tokens) / max(t_{d}) AS b FROM r0 GROUP BY {d}" for d in dims)
+    parts.append(f"aim AS MATERIALIZED (SELECT {HEADROOM} * min(b) AS aim FROM ({bounds}))")
     last = "r0"
     for i in range(rounds):
-        for dim in dims:
-            name = f"r{i + 1}_{dim}"
-            parts.append(f"{name} AS MATERIALIZED (SELECT * REPLACE (w * g{dim} / sum(w) OVER (PARTITION BY {dim}) AS w) FROM {last})")
+        for d in dims:
+            name = f"r{i + 1}_{d}"
+            order = f"PARTITION BY {d} ORDER BY tokens / u, s, l, topic ROWS BETWEEN"
+            parts.append(
+                f"{name}_lines AS (SELECT {last}.*, aim * t_{d} AS goal, (aim * t_{d} - sum(tokens) OVER ({order} UNBOUNDED PRECEDING AND CURRENT ROW))"
+                f" / sum(u) OVER ({order} 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS line FROM {last}, aim)"
+            )
+            parts.append(
+                f"{name} AS MATERIALIZED (SELECT s, l, topic, tokens, t_s, t_l, t_topic, u * greatest(goal / sum(u) OVER (PARTITION BY {d}),"
+                f" coalesce(max(line) OVER (PARTITION BY {d}), 0)) AS u FROM {name}_lines)"
+            )
             last = name
-    parts.append(f"k0 AS MATERIALIZED (SELECT {BUDGET} * sum(tokens) AS k, {BUDGET} * sum(tokens) AS b FROM {last})")
-    for i in range(steps):
-        parts.append(
-            f"k{i + 1} AS MATERIALIZED (SELECT greatest(k, coalesce((b - coalesce(taken, 0)) / rest, k)) AS k, b FROM k{i},"
-            f" (SELECT sum(tokens) FILTER (w * k >= tokens) AS taken, sum(w) FILTER (w * k < tokens) AS rest FROM {last}, k{i}))"
-        )
-    parts.append(f"p AS (SELECT s, l, topic, least(w * k / tokens, 1.0) AS p FROM {last}, k{steps})")
+    parts.append(f"p AS (SELECT s, l, topic, least(u / tokens, 1.0) AS p FROM {last})")
     return (
         ",\n".join(parts)
         + """

@@ -9,7 +9,10 @@ them, a ridge regression on the labels, and an isotonic calibration of its score
 * one fold of the labelled rows is kept from the fit and calibrates: its scores are counted
   in `BINS` bins, over which pool-adjacent-violators gives a monotone chance of label 1.
 
-All labelled rows take part. Statistics are made once and stored, so a text is read once.
+All labelled rows take part. `figures` makes statistics once and stores them, where only ids and
+scores are wanted. `classify`, which hands texts on, makes those of labelled texts to learn from
+and those of all texts to score; the labelled ids are broadcast up to a checked size, beyond
+it all statistics are made twice.
 
 Defined results: null and empty texts have statistics too (all zero) and get a score. Rows
 without label, or of an id that `labels` lacks, are scored only; ids that repeat in either
@@ -20,6 +23,7 @@ scored each.
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierflow.llm.common import fresh, stored, texts_of, with_columns
+from tierflow.llm.common import fits_broadcast, fresh, stored, texts_of, with_columns
 
 STATISTICS = (
     "log_words", "word_length", "distinct_words", "repeated_next", "distinct_lines", "log_line_words",
@@ -37,14 +41,17 @@ STATISTICS = (
 )
 FEATURES = 384
 SEED = 7
+# Bytes of an id in a broadcast.
+_ID_BYTES = 64
 # Width of the Gaussian kernel, in standard deviations over all statistics.
 WIDTH = 3.0
 RIDGE = 1e-4
 BINS = 1000
 # Of so many folds of the labelled rows, one calibrates.
 CALIBRATION_FOLDS = 4
-# Characters of a text whose words are held at once.
+# Characters of a text whose words are held at once, to the end of the last word.
 BLOCK = 1 << 21
+_BLANK, _LINE_END = re.compile(r"\s"), re.compile("\n")
 
 
 @dataclass(frozen=True)
@@ -62,6 +69,16 @@ class Model:
         return np.clip(np.interp(self.raw(x), self.edges, self.chances), 0.0, 1.0)
 
 
+def _pieces(text: str, end: re.Pattern[str]) -> Iterator[str]:
+    """The text in pieces of about `BLOCK` characters, each up to a place where `end` matches."""
+    begin = 0
+    while begin < len(text):
+        cut = end.search(text, begin + BLOCK)
+        stop = cut.end() if cut else len(text)
+        yield text[begin:stop]
+        begin = stop
+
+
 def statistics(text: str | None) -> list[float]:
     """Figures of one whole text, in the order of `STATISTICS`."""
     text = text or ""
@@ -72,15 +89,20 @@ def statistics(text: str | None) -> list[float]:
     distinct: set[int] = set()
     lines: set[int] = set()
     n_lines = 0
-    for a in range(0, len(text), BLOCK):
-        words = text[a : a + BLOCK].split()
+    last: str | None = None
+    for piece in _pieces(text, _BLANK):
+        words = piece.split()
+        if not words:
+            continue
         n += len(words)
         sizes = list(map(len, words))
         chars += sum(sizes)
-        longest = max(longest, max(sizes, default=0))
-        again += sum(map(operator.eq, words, words[1:]))
+        longest = max(longest, max(sizes))
+        again += sum(map(operator.eq, words, words[1:])) + (words[0] == last)
+        last = words[-1]
         distinct.update(map(hash, set(words)))
-        found = [x for x in text[a : a + BLOCK].split("\n") if x]
+    for piece in _pieces(text, _LINE_END):
+        found = [x for x in piece.split("\n") if x]
         n_lines += len(found)
         lines.update(map(hash, found))
     # Roots spread small shares, where a little junk shows.
@@ -153,7 +175,12 @@ def score(figures: DataFrame, model: Model | None, x: str = "statistics", name:
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", where: Column | None = None) -> tuple[DataFrame, str]:
     """All columns of `docs` and a score; the second value is that column's name."""
-    model = train(figures(docs, doc_id, text), labels, doc_id, label, F.lit(True) if where is None else where)
+    known = labels.select(F.col(doc_id).alias("label_id"), F.col(label).alias("y")).dropna().select("label_id").distinct()
+    known = stored(known, "labelled-ids")
+    marked = docs.select(doc_id, text)
+    if fits_broadcast(known.count(), _ID_BYTES):
+        marked = marked.join(F.broadcast(known), F.col(doc_id) == F.col("label_id"), "left_semi")
+    model = train(figures(marked, doc_id, text), labels, doc_id, label, F.lit(True) if where is None else where)
     x, name = fresh(docs.columns, "statistics"), fresh(docs.columns, "score")
     return score(with_statistics(docs, text, x), model, x, name).drop(x), name
 

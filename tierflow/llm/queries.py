@@ -30,8 +30,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The vocabulary file's place on every machine; TIERFLOW_VOCABULARY names another.
 VOCABULARY = "byte_bpe_50k.json"
-# Topics and the text whose count speaks for them: no table has a topic column.
-TOPICS = {"b": "b", "g": "g", "m": "m", "p": "p", "w": "w", "z": "z"}
+# Rounds of raking, as its SQL counterpart has them.
+MIX_ROUNDS = 18
 
 
 def vocabulary() -> str:
@@ -91,8 +91,8 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Half of all tokens, as its SQL counterpart has it; the pipeline meets the targets.
-    mixed = mixing.mix(load(spark, sf_dir, "documents"), mixing.topic_of(F.col("text"), TOPICS), budget=mixing.BUDGET)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    mixed = mixing.mix(docs, rounds=MIX_ROUNDS, with_text=False)
     return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("probability", 6).alias("probability"), "sampled")
 
 
