@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tierflow.llm import decontam, jaccard, langid, mixing, quality
 from tierflow.llm.common import fresh, load, stored
-from tierflow.llm.queries import TOPICS
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -49,7 +48,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Samples documents so that sources, languages and topics meet their target shares."""
-    mixed = mixing.mix(docs, mixing.topic_of(F.col("text"), TOPICS))
+    mixed = mixing.mix(docs)
     return mixed.filter(mixed.columns[-1])
 
 
