@@ -90,16 +90,24 @@ def test_targets_that_cannot_be_met(spark, caplog):
 
 
 def test_topics(spark):
-    texts = ["river boat river", "boat", "river boat boat", "the the", "the river river", "", None, " the\tboat\x0b "] + ["the x%d" % i for i in range(40)]
-    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(100, "river only", "de", "s"), (101, "boat", None, "s")]
+    texts = ["rivers vessel rivers", "vessel", "rivers vessel vessel", "the the", "boat the rivers rivers", "", None, " boat\tvessel\x0b "]
+    texts += ["boat extra%d" % i for i in range(40)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)] + [(100, "rivers only", "de", "s"), (101, "vessel", None, "s")]
     docs = spark.createDataFrame(rows, SCHEMA)
     found = {r["topic_lang"]: r["topic_words"] for r in mixing.topic_words(docs, topics=2).collect()}
-    # At most one document in eight: 48 documents are English. "the" is in more; a language
-    # with one document has none.
-    assert found == {"en": ["boat", "river"]}
-    told = {r["doc_id"]: r["topic"] for r in mixing.mix(docs, rounds=1).collect()}
-    assert [told[i] for i in (0, 1, 2, 4, 5, 6, 7)] == ["en:river", "en:boat", "en:boat", "en:river", "en:", "en:", "en:boat"]
+    # At most one document in eight: 48 documents are English, and one word in each language
+    # of one document is too many. Short words tell no topic.
+    assert found == {"en": ["vessel", "rivers"]}
+    mixed = mixing.mix(docs, rounds=1)
+    told = {r["doc_id"]: r["topic"] for r in mixed.collect()}
+    assert [told[i] for i in range(8)] == ["en:rivers", "en:vessel", "en:vessel", "en:", "en:rivers", "en:", "en:", "en:vessel"]
     assert told[100] == "de:" and told[101] == ":"
+    assert told[10] == "en:extra10" or told[10] == "en:"
+
+
+def test_texts_are_split_once_a_scan(spark):
+    plan = mixing.mix(load(spark, SF_DIR, "documents"), rounds=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
 
 
 def test_odd_rows(spark):

@@ -39,8 +39,9 @@ WINDOW = 10
 SHINGLE = 3
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-# Estimated bytes of a window in memory: its words, items and row overhead.
-_WINDOW_BYTES = 600
+# Bytes of a window in memory besides its words and the ids of its items, and of such an id
+# besides its characters.
+_WINDOW_BYTES, _ITEM_BYTES = 200, 24
 
 
 def contamination(
@@ -113,8 +114,9 @@ def _keyed(positions: DataFrame, lengths: Sequence[int]) -> DataFrame:
 def _candidates(keyed: DataFrame, prefixes: DataFrame, window: int) -> DataFrame:
     """The documents' places, each with the windows whose prefix begins there. `skipped` is
     how many of the text's words are missing before `words`."""
-    n = prefixes.count()
-    if fits_broadcast(n, _WINDOW_BYTES):
+    ids = F.aggregate("items", F.lit(0).cast("long"), lambda total, x: total + F.octet_length(x) + _ITEM_BYTES)
+    n, size = prefixes.agg(F.count("*"), F.sum(F.octet_length("window") + ids + F.lit(_WINDOW_BYTES))).first()
+    if fits_broadcast(1, size or 0):
         return keyed.join(F.broadcast(prefixes), "key", "left").withColumn("skipped", F.lit(0))
     keys = small_side(prefixes.select("key", F.lit(True).alias("known")).distinct(), 64, n)
     rows = keyed.join(keys, "key", "left").filter("pos = 0 OR known")

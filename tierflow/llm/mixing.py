@@ -11,9 +11,9 @@ The mix is as large as that allows. No sum can exceed the tokens of its value, w
 the whole; raking aims at `HEADROOM` of that bound, and lower where rounds show that targets
 cannot be met there.
 
-Topics: the words that most documents of a language hold, among those that at most one in
-`COMMON` holds, are its `TOPICS` topic words; a document's topic is the one it holds most
-often. Topics are parts of their language, and so are their targets.
+Topics: the words that most documents of a language hold, among those of some length that at
+most one in `COMMON` holds, are its `TOPICS` topic words; a document's topic is the one it
+holds most often. Topics are parts of their language, and so are their targets.
 
 Documents are reduced to cells before any shuffle, and to counts per task of the distinct
 words, so a source with a third of all rows is a few rows per task. Each raking step is a
@@ -47,11 +47,11 @@ log = logging.getLogger("tierflow")
 
 # Powers of the shares, by dimension.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
-# Topic words of a language; at most one document in so many holds such a word, and it has at
-# most so many characters.
+# Topic words of a language; at most one document in so many holds such a word, and it has so
+# many characters, as short words seldom tell a topic.
 TOPICS = 8
 COMMON = 8
-LONGEST = 64
+SHORTEST, LONGEST = 6, 64
 # Share of the greatest sum that the values' own tokens allow.
 HEADROOM = 0.9
 # Rounds at most; rounds between two looks at how far the sums are from their targets.
@@ -70,17 +70,24 @@ _CELL_BYTES = 200
 _FAR = 1e100
 
 
-def words_of(text: Column) -> Column:
-    """Words between white space."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), _SPACE), lambda w: w != "")
+def split_words(text: Column) -> Column:
+    """The words between white space; empty ones stand at the ends alone."""
+    return F.split(F.coalesce(text, F.lit("")), _SPACE)
+
+
+def n_words(parts: Column) -> Column:
+    """How many of the parts are words."""
+    edge = lambda i: (F.element_at(parts, i) == "").cast("long")
+    return (F.size(parts) - edge(1) - F.when(F.size(parts) > 1, edge(-1)).otherwise(0)).cast("long")
 
 
 def topic_words(docs: DataFrame, text: str = "text", lang: str = "lang", topics: int = TOPICS) -> DataFrame:
     """`topic_lang` and `topic_words`, an array in their order, of every language that has some."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("topic_lang"), F.col(text).alias("text"))
     sizes = rows.groupBy("topic_lang").agg(F.count("*").alias("n"))
-    held = rows.select("topic_lang", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    held = held.filter(F.length("word") <= LONGEST).groupBy("topic_lang", "word").agg(F.count("*").alias("df"))
+    usable = F.filter(split_words(F.col("text")), lambda w: F.length(w).between(SHORTEST, LONGEST))
+    held = rows.select("topic_lang", F.explode(F.array_distinct(usable)).alias("word"))
+    held = held.groupBy("topic_lang", "word").agg(F.count("*").alias("df"))
     told = held.join(small_side(stored(sizes, "languages"), _CELL_BYTES), "topic_lang").filter(F.col("df") * COMMON <= F.col("n"))
     place = F.row_number().over(W.partitionBy("topic_lang").orderBy(F.desc("df"), "word"))
     best = told.withColumn("place", place).filter(F.col("place") <= topics)
@@ -88,13 +95,15 @@ def topic_words(docs: DataFrame, text: str = "text", lang: str = "lang", topics:
     return stored(best.groupBy("topic_lang").agg(words.alias("topic_words")), "topic-words")
 
 
-def topic_of(words: Column, topic_words: Column, lang: Column) -> Column:
-    """The topic of a text: its language and the topic word that occurs most often, the first of
-    equals; nothing after the language if none does."""
-    hits = F.filter(words, lambda w: F.array_contains(topic_words, w))
-    counts = F.transform(topic_words, lambda t, i: F.struct(F.size(F.filter(hits, lambda h: h == t)).alias("n"), (-i).alias("i"), t.alias("t")))
-    best = F.array_max(counts)
-    return F.concat(F.coalesce(lang.cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.when(best["n"] > 0, best["t"]), F.lit("")))
+def _most_frequent(parts: Column, topic_words: Column, topics: int) -> Column:
+    """How often a text holds its most frequent topic word, and less its place; the first of
+    equals. Each of the text's words is looked at once."""
+    hits = F.filter(parts, lambda w: F.array_contains(topic_words, w))
+    none = F.array_repeat(F.lit(0), topics)
+    counts = F.aggregate(
+        hits, none, lambda counts, w: F.transform(counts, lambda n, i: n + F.coalesce((F.get(topic_words, i) == w).cast("int"), F.lit(0)))
+    )
+    return F.array_max(F.transform(counts, lambda n, i: F.struct(n.alias("n"), (-i).alias("i"))))
 
 
 def mix(
@@ -119,15 +128,21 @@ def mix(
     """
     topic_name, tokens, chance, drawn = (fresh(docs.columns, n) for n in ("topic", "n_tokens", "probability", "sampled"))
     nested = topic is None
+    own, parts, best = (fresh(docs.columns, n) for n in ("_topic_words", "_parts", "_most_frequent"))
     rows = docs
     if nested:
         found = topic_words(docs, text, lang)
-        own = fresh(docs.columns, "_topic_words")
         found = found.select(F.col("topic_lang").alias(f"{own}_lang"), F.col("topic_words").alias(own))
-        met = F.coalesce(F.col(lang).cast("string"), F.lit("")) == F.col(f"{own}_lang")
-        rows = docs.join(small_side(found, TOPICS * _CELL_BYTES), met, "left")
-        topic = topic_of(words_of(F.col(text)), F.coalesce(own, F.array().cast("array<string>")), F.col(lang))
-    rows = rows.withColumns({topic_name: topic, tokens: F.size(words_of(F.col(text))).cast("long")})
+        spoken = F.coalesce(F.col(lang).cast("string"), F.lit(""))
+        rows = docs.join(small_side(found, TOPICS * _CELL_BYTES), spoken == F.col(f"{own}_lang"), "left")
+        rows = rows.withColumn(own, F.coalesce(own, F.array().cast("array<string>")))
+    # Columns of their own, as what is used twice would else be computed twice.
+    rows = rows.withColumn(parts, split_words(F.col(text)))
+    if nested:
+        rows = rows.withColumn(best, _most_frequent(F.col(parts), F.col(own), TOPICS))
+        word = F.when(F.col(best)["n"] > 0, F.get(own, -F.col(best)["i"]))
+        topic = F.concat(spoken, F.lit(":"), F.coalesce(word, F.lit("")))
+    rows = rows.withColumns({topic_name: topic, tokens: n_words(F.col(parts))})
     rows = rows.select(*(c for c in docs.columns if with_text or c != text), topic_name, tokens)
     if not with_text:
         rows = stored(rows, "mixed")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tierflow.llm.mixing import COMMON, HEADROOM, LONGEST, TEMPER, TOPICS
+from tierflow.llm.mixing import COMMON, HEADROOM, LONGEST, SHORTEST, TEMPER, TOPICS
 from tierflow.llm.queries import MIX_ROUNDS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -94,7 +94,7 @@ def _mixing(rounds: int = MIX_ROUNDS) -> str:
     list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
   FROM documents
 ), held AS (
-  SELECT l, word, count(*) AS df FROM (SELECT l, unnest(list_distinct(w)) AS word FROM d) WHERE length(word) <= {LONGEST} GROUP BY ALL
+  SELECT l, word, count(*) AS df FROM (SELECT l, unnest(list_distinct(w)) AS word FROM d) WHERE length(word) BETWEEN {SHORTEST} AND {LONGEST} GROUP BY ALL
 ), topics AS MATERIALIZED (
   SELECT l, word, row_number() OVER (PARTITION BY l ORDER BY df DESC, encode(word)) AS place
   FROM held JOIN (SELECT l, count(*) AS n FROM d GROUP BY l) USING (l) WHERE df * {COMMON} <= n QUALIFY place <= {TOPICS}

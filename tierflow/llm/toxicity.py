@@ -54,7 +54,7 @@ LEAST_ODDS = 8.0
 MARGIN = 2.0
 SAME = 0.8
 LEAST_TOXIC = 2
-GRAMS, WITNESSES = 5000, 300
+GRAMS = 5000
 # Characters put between letters in the gapped forms that the machine also learns.
 GAPS = ".*-_"
 COST = 30.0
@@ -138,9 +138,9 @@ def _subsequences(words: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray
 
 
 def _rows(words: Sequence[str]) -> list[dict[int, float]]:
-    """The subsequence weights of each word, those of its first piece."""
+    """The subsequence weights of each word, of no more than a piece."""
     out: list[dict[int, float]] = [{} for _ in words]
-    for owner, keys, weights in _subsequences([w[:PIECE] for w in words]):
+    for owner, keys, weights in _subsequences(words):
         for o, row in zip(owner, keys, strict=True):
             for k, v in zip(row.tolist(), weights.tolist(), strict=True):
                 out[o][k] = out[o].get(k, 0.0) + v
@@ -171,15 +171,17 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     if positive.empty or not negative:
         return None
     insults, counts = list(positive["word"]), positive["count"].to_numpy(float)
-    insults, weight = _with_variants(insults, counts)
-    plain = {w: 1.0 / len(negative) for w in negative}
-    model = _machine(insults, weight, plain, insults[: LANDMARKS // 2] + negative[: LANDMARKS // 2])
+    cut = _in_pieces(dict(zip(*_with_variants(insults, counts), strict=True)))
+    insults, weight = list(cut), np.array(list(cut.values()))
+    plain = _in_pieces({w: 1.0 / len(negative) for w in negative})
+    model = _machine(insults, weight, plain, insults[: LANDMARKS // 2] + list(plain)[: LANDMARKS // 2])
 
     def scored(batch: pa.RecordBatch) -> list[pa.Array]:
         return [pa.array(model.words(texts_of(batch, "word")))]
 
     hard = with_columns(clean, [T.StructField("raw", T.DoubleType())], scored).orderBy(F.desc("raw"), "word").limit(HARD)
-    harder = {r["word"]: float(np.sqrt(r["n"])) for r in hard.collect() if r["word"] not in set(insults)}
+    known = set(insults)
+    harder = _in_pieces({r["word"]: float(np.sqrt(r["n"])) for r in hard.collect() if r["word"] not in known})
     mass = sum(harder.values()) or 1.0
     landmarks = insults[: LANDMARKS // 2] + list(harder)[: LANDMARKS // 2]
     model = _machine(insults, weight, plain | {w: n / mass for w, n in harder.items()}, landmarks)
@@ -233,7 +235,7 @@ def _telling(fit: DataFrame) -> dict[str, float]:
 
 def _witnesses(fit: DataFrame, grams: dict[str, float]) -> pd.DataFrame:
     """`word, count`: the word of each toxic document with the most telling part, where that
-    part is the one of enough documents."""
+    part is the one of enough documents. The bound of the documents is theirs as well."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -247,7 +249,7 @@ def _witnesses(fit: DataFrame, grams: dict[str, float]) -> pd.DataFrame:
 
     named = fit.filter("y = 1").select("text").mapInArrow(name, "word string, gram string")
     firm = named.groupBy("gram").count().filter(F.col("count") >= LEAST_TOXIC).select("gram")
-    return named.join(firm, "gram", "left_semi").groupBy("word").count().orderBy(F.desc("count"), "word").limit(WITNESSES).toPandas()
+    return named.join(firm, "gram", "left_semi").groupBy("word").count().orderBy(F.desc("count"), "word").toPandas()
 
 
 def _with_variants(words: list[str], counts: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -259,6 +261,16 @@ def _with_variants(words: list[str], counts: np.ndarray) -> tuple[list[str], np.
     return list(out), np.array(list(out.values()))
 
 
+def _in_pieces(weights: dict[str, float]) -> dict[str, float]:
+    """Words cut as in scoring; the pieces of a word share its weight."""
+    out: dict[str, float] = {}
+    for word, weight in weights.items():
+        parts = _pieces(word)
+        for part in parts:
+            out[part] = out.get(part, 0.0) + weight / len(parts)
+    return out
+
+
 def _machine(insults: list[str], weight: np.ndarray, clean: dict[str, float], landmarks: list[str]) -> Model:
     """Squared-hinge support vector machine over Nyström features, solved by Newton steps.
     `clean` has a weight for each word."""
