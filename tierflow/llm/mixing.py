@@ -85,7 +85,8 @@ def topic_words(docs: DataFrame, text: str = "text", lang: str = "lang", topics:
     """`topic_lang` and `topic_words`, an array in their order, of every language that has some."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("topic_lang"), F.col(text).alias("text"))
     sizes = rows.groupBy("topic_lang").agg(F.count("*").alias("n"))
-    usable = F.filter(split_words(F.col("text")), lambda w: F.length(w).between(SHORTEST, LONGEST))
+    # Bytes are known, characters have to be counted.
+    usable = F.filter(split_words(F.col("text")), lambda w: (F.octet_length(w) >= SHORTEST) & F.length(w).between(SHORTEST, LONGEST))
     held = rows.select("topic_lang", F.explode(F.array_distinct(usable)).alias("word"))
     held = held.groupBy("topic_lang", "word").agg(F.count("*").alias("df"))
     told = held.join(small_side(stored(sizes, "languages"), _CELL_BYTES), "topic_lang").filter(F.col("df") * COMMON <= F.col("n"))
@@ -98,7 +99,7 @@ def topic_words(docs: DataFrame, text: str = "text", lang: str = "lang", topics:
 def _most_frequent(parts: Column, topic_words: Column, topics: int) -> Column:
     """How often a text holds its most frequent topic word, and less its place; the first of
     equals. Each of the text's words is looked at once."""
-    hits = F.filter(parts, lambda w: F.array_contains(topic_words, w))
+    hits = F.filter(parts, lambda w: (F.octet_length(w) >= SHORTEST) & F.array_contains(topic_words, w))
     none = F.array_repeat(F.lit(0), topics)
     counts = F.aggregate(
         hits, none, lambda counts, w: F.transform(counts, lambda n, i: n + F.coalesce((F.get(topic_words, i) == w).cast("int"), F.lit(0)))
