@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables, clashing columns; brute force."""
 
+import json
 import math
 import random
 
@@ -78,10 +79,22 @@ def test_decontamination_cases(spark):
     assert sorted(r["doc_id"] for r in decontam.clean(docs, items).collect()) == [3, 4, 5]
 
 
-def test_tokens_are_those_of_the_library(spark):
+def test_vocabularies_that_may_be_cut():
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        safe = json.load(file)
+    assert tokens.cuts_safely(safe)
+    token = dict(safe["added_tokens"][0])
+    for change in ({"pre_tokenizer": None}, {"normalizer": {"type": "NFC"}}, {"added_tokens": [token | {"content": "a b"}]}, {"added_tokens": [token | {"rstrip": True}]}):
+        assert not tokens.cuts_safely(safe | change)
+    for change in ({"use_regex": False}, {"add_prefix_space": True}, {"type": "Whitespace"}):
+        assert not tokens.cuts_safely(safe | {"pre_tokenizer": safe["pre_tokenizer"] | change})
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_tokens_are_those_of_the_library(spark, name):
     from tokenizers import Tokenizer
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
+    path = public_tokenizers.path(name)
     texts = odd_texts() + [(20, "<|endoftext|> a<|endoftext|>b  \n\n c\t d\x1c e"), (21, "x" * 5000), (22, "don't  'll 12's\n \n")]
     plain = Tokenizer.from_file(path)
     found = tokens.count_tokens(docs_of(spark, texts), path).collect()

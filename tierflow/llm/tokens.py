@@ -3,16 +3,18 @@
 Texts are cut at safe boundaries, the distinct pieces of a batch that were not counted
 lately are encoded in batches of about equal bytes, and only lengths leave Python.
 
-A boundary is safe where white space follows something else: the byte-level pre-tokenizer
-always begins a new word there, no added token of the vocabulary holds white space, and no
-rule looks back. Counts of the pieces therefore add up to the count of the text.
+A boundary is safe where white space follows something else, for a vocabulary whose file says
+so: its byte-level pre-tokenizer always begins a new word there, nothing is normalised, no
+added token holds or strips white space, and so no rule looks back. Counts of the pieces
+therefore add up to the count of the text. With any other vocabulary texts are not cut.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens. A text without a safe
-boundary is encoded whole. Repeated rows are counted each; other columns pass through.
+boundary is encoded whole. Truncation and padding that a vocabulary's file asks for are off. Repeated rows are counted each; other columns pass through.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator, Sequence
@@ -60,6 +62,15 @@ def pieces(text: str) -> Iterator[list[str]]:
         start = end
 
 
+def cuts_safely(vocabulary: dict) -> bool:
+    """Whether a vocabulary, as its file has it, begins a new word at every safe boundary."""
+    before = vocabulary.get("pre_tokenizer") or {}
+    words = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space", True)
+    added = vocabulary.get("added_tokens") or []
+    plain = not any(t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) for t in added)
+    return words and plain and not vocabulary.get("normalizer")
+
+
 def balanced(items: Sequence[str], size: int = BATCH_BYTES) -> Iterator[list[str]]:
     """Batches of at most `size` bytes, or of one longer piece; long pieces come first, so
     that pieces of a batch are about equally long."""
@@ -80,7 +91,12 @@ class _Counter:
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(vocabulary)
+        with open(vocabulary, encoding="utf-8") as file:
+            text = file.read()
+        self._tokenizer = Tokenizer.from_str(text)
+        self._tokenizer.no_truncation()
+        self._tokenizer.no_padding()
+        self._cut = pieces if cuts_safely(json.loads(text)) else lambda whole: [[whole]]
         self._young: dict[str, int] = {}
         self._old: dict[str, int] = {}
 
@@ -89,7 +105,7 @@ class _Counter:
         waiting: list[tuple[int, list[str]]] = []
         size = 0
         for i, text in enumerate(texts):
-            for found in pieces(text):
+            for found in self._cut(text):
                 waiting.append((i, found))
                 size += sum(map(len, found))
                 if size >= SPAN:
