@@ -18,7 +18,7 @@ BROADCAST_BYTES = 64 << 20
 
 # Bytes of text that a Python worker gets at once.
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bounded(spark: SparkSession) -> SparkSession:
