@@ -181,8 +181,15 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     if fits_broadcast(known.count(), _ID_BYTES):
         marked = marked.join(F.broadcast(known), F.col(doc_id) == F.col("label_id"), "left_semi")
     model = train(figures(marked, doc_id, text), labels, doc_id, label, F.lit(True) if where is None else where)
-    x, name = fresh(docs.columns, "statistics"), fresh(docs.columns, "score")
-    return score(with_statistics(docs, text, x), model, x, name).drop(x), name
+    name = fresh(docs.columns, "score")
+
+    def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+        if model is None:
+            return [pa.array([0.5] * batch.num_rows)]
+        x = np.array([statistics(t) for t in texts_of(batch, text)], float).reshape(batch.num_rows, len(STATISTICS))
+        return [pa.array(model.score(x))]
+
+    return with_columns(docs, [T.StructField(name, T.DoubleType())], compute), name
 
 
 def _matrix(batch: pa.RecordBatch, x: str) -> np.ndarray:
