@@ -28,19 +28,19 @@ from tierflow.sources import (
     table_exists,
 )
 
-COLUMNS = ["id", "time", "vp1", "node_id"]
-TABLE = "measurement_electrical_test"
-WINDOW = ingest_window(("2023-01-01", "2023-01-02"))
+COLUMNS = ["id", "time", "level", "station"]
+TABLE = "readings_north_trial"
+WINDOW = ingest_window(("2022-05-06", "2022-05-07"))
 
 
 # --- relational --------------------------------------------------------------
 
 
 def test_statement():
-    root = "SELECT id, time, vp1, node_id FROM PUBLIC.measurement_electrical_test"
+    root = "SELECT id, time, level, station FROM PUBLIC.readings_north_trial"
     assert statement(TABLE, COLUMNS) == root
     assert statement(TABLE, COLUMNS, "time", WINDOW) == (
-        root + " WHERE time BETWEEN '2023-01-01 00:00:00+00:00' AND '2023-01-02 00:00:00+00:00'"
+        root + " WHERE time BETWEEN '2022-05-06 00:00:00+00:00' AND '2022-05-07 00:00:00+00:00'"
     )
     assert statement(TABLE, COLUMNS, None, WINDOW) == root
 
@@ -48,7 +48,7 @@ def test_statement():
 def test_bounded_reads_are_split():
     o = jdbc_options("jdbc", {"url": "jdbc:x"}, "SELECT 1", "time", WINDOW)
     assert o["dbtable"] == "(SELECT 1) src" and "query" not in o
-    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"]) == ("time", "2023-01-01 00:00:00", "2023-01-02 00:00:00")
+    assert (o["partitionColumn"], o["lowerBound"], o["upperBound"]) == ("time", "2022-05-06 00:00:00", "2022-05-07 00:00:00")
     assert int(o["numPartitions"]) > 1 and int(o["fetchsize"]) > 0
 
 
@@ -60,9 +60,9 @@ def test_own_partition_options_win():
 
 
 def test_postgresql_connector():
-    options = {"host": "db", "port": "17924", "database": "d", "user": "u", "password": "p"}
+    options = {"host": "db", "port": "6543", "database": "d", "user": "u", "password": "p"}
     o = jdbc_options("postgresql", options, "SELECT 1")
-    assert o["url"] == "jdbc:postgresql://db:17924/d" and o["driver"] == "org.postgresql.Driver"
+    assert o["url"] == "jdbc:postgresql://db:6543/d" and o["driver"] == "org.postgresql.Driver"
     assert o["user"] == "u" and "host" not in o and options["host"] == "db"
 
 
@@ -123,7 +123,7 @@ def test_failure_names_the_statement(spark):
 
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "string"])
 def test_file_source_is_bounded_and_pruned_in_the_scan(spark, tmp_path, kind):
-    times = ["2022-12-31 00:00:00", "2023-01-01 00:00:00", "2023-01-02 00:00:00", "2023-01-03 00:00:00"]
+    times = ["2022-05-05 00:00:00", "2022-05-06 00:00:00", "2022-05-07 00:00:00", "2022-05-08 00:00:00"]
     df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(times)], "id int, time string, other string")
     df.withColumn("time", df.time.cast(kind)).write.parquet(f"{tmp_path}/t")
     out = read_table(spark, "parquet", {"path": str(tmp_path)}, "t", ["id", "time"], "time", WINDOW)
@@ -258,16 +258,16 @@ ENVIRONMENT = {
 }
 INGEST = {
     "source": {
-        "db": "sensors_test",
+        "db": "plant",
         "table": TABLE,
-        "columns": {"id": "integer", "time": "timestamp", "vp1": "float", "node_id": "integer"},
+        "columns": {"id": "integer", "time": "timestamp", "level": "float", "station": "integer"},
         "delta_column": "time",
-        "calendar": {"start_date": "20240907"},
+        "calendar": {"start_date": "20230315"},
         "connector": "postgres.json",
     },
     "sink": {"source": {"format": "cloudFiles", "options": {"maxFilesPerTrigger": "5"}}},
 }
-CONNECTOR = {"format": "postgresql", "options": {"host": "h", "port": "17924", "password": "password"}}
+CONNECTOR = {"format": "postgresql", "options": {"host": "h", "port": "6543", "password": "hidden"}}
 
 
 @pytest.fixture
@@ -286,17 +286,17 @@ def documents(tmp_path):
 def test_spec(spark, documents):
     s = load_spec(spark, "readings", *documents())
     assert (s.ingest, s.db, s.table, s.delta, s.start_date, s.end_date) == (
-        "readings", "sensors_test", TABLE, "time", "20240907", None,
+        "readings", "plant", TABLE, "time", "20230315", None,
     )
     assert list(s.columns) == COLUMNS and s.columns["id"] == "integer"
     assert (s.silver_format, s.gold_format, s.bronze_format) == ("delta", "delta", "parquet")
     assert s.bronze_options == {"maxFilesPerTrigger": "5"}
-    assert s.source_format == "postgresql" and s.source_options["port"] == "17924"
+    assert s.source_format == "postgresql" and s.source_options["port"] == "6543"
     assert s.bronze_path == f"abfss://bronze@account.dfs.core.windows.net/{TABLE}"
     assert s.silver_path == f"abfss://silver@account.dfs.core.windows.net/{TABLE}"
     assert s.gold_path("wide") == "abfss://gold@account.dfs.core.windows.net/wide"
     assert s.checkpoint_path == f"abfss://silver@account.dfs.core.windows.net/_checkpoints/{TABLE}"
-    assert "password" not in repr(s)
+    assert "hidden" not in repr(s)
 
 
 @pytest.mark.parametrize("kind, expected", [("timestamp", True), ("DATE", True), ("integer", False), ("string", False)])

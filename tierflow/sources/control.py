@@ -90,7 +90,8 @@ def load_spec(spark: SparkSession, ingest: str, environment: str, ingests: str,
     """Spec of one ingest from the environment file, the folder of ingest
     documents and the folder of connector documents."""
     env = _document(spark, environment, ENVIRONMENT, errors.ENVIRONMENT)
-    doc = _document(spark, f"{ingests.rstrip('/')}/{ingest}.json", INGEST, errors.INGEST)
+    # A map loses its order on the way to Python, its entries do not.
+    doc = _document(spark, f"{ingests.rstrip('/')}/{ingest}.json", INGEST, errors.INGEST, _columns=F.map_entries("source.columns"))
     source = doc["source"]
     connector = _document(spark, f"{connectors.rstrip('/')}/{source['connector']}", CONNECTOR, errors.CONNECTOR)
     calendar = source["calendar"] or Row(start_date=None, end_date=None)
@@ -99,7 +100,7 @@ def load_spec(spark: SparkSession, ingest: str, environment: str, ingests: str,
         ingest=ingest,
         db=source["db"],
         table=source["table"],
-        columns=source["columns"],
+        columns=dict(doc["_columns"]),
         delta=source["delta_column"],
         start_date=calendar["start_date"],
         end_date=calendar["end_date"],
@@ -161,10 +162,13 @@ def load_specs(spark: SparkSession, environment: str, ingests: str, connectors:
     """The specs of all ingests of a folder, by name."""
     given = Spec.__dataclass_fields__
     specs = {}
-    for row in control_table(spark, environment, ingests, connectors).collect():
+    # Entries keep the order of the document.
+    rows = control_table(spark, environment, ingests, connectors).withColumn("columns", F.map_entries("columns"))
+    for row in rows.collect():
         if row["source_format"] is None:
             raise RuntimeError(errors.CONNECTOR.format(cause=f"ingest {row['ingest']} names none that is there"))
-        specs[row["ingest"]] = Spec(**{k: v for k, v in row.asDict().items() if k in given})
+        values = row.asDict() | {"columns": dict(row["columns"])}
+        specs[row["ingest"]] = Spec(**{k: v for k, v in values.items() if k in given})
     return specs
 
 
@@ -175,8 +179,8 @@ def _documents(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     return docs.withColumn("_file", F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))))
 
 
-def _document(spark: SparkSession, path: str, schema: str, message: str) -> Row:
+def _document(spark: SparkSession, path: str, schema: str, message: str, **added: Column) -> Row:
     try:
-        return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").collect()[0]
+        return spark.read.schema(schema).json(path, multiLine=True, mode="FAILFAST").withColumns(added).collect()[0]
     except Exception as e:
         raise RuntimeError(message.format(cause=e)) from e
