@@ -7,6 +7,7 @@ from itertools import product
 from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,26 @@ def test_shares_of_large_counts(spark):
     n, total, terms = 9 * 10**17, 9 * 10**18 - 10, 3
     row = spark.range(1).select(divergence._share(F.lit(n), F.lit(total), F.lit(terms)).alias("p")).first()
     assert row["p"] == 1 + math.floor(10**9 * (n + 2) // (total + 2 * terms))
+
+
+def test_batches_are_counted_as_texts_one_by_one():
+    rnd = np.random.default_rng(5)
+    signs = [*" \t\n-.,'", *"aZé", "日", "\x85", "\xa0", " ", "\0"]
+    langs, sources = rnd.choice(["", "en", "fr"], 90), rnd.choice(["", "s", "t"], 90)
+    texts = ["".join(rnd.choice(signs, rnd.integers(0, 40))).encode() for _ in range(90)]
+    found = Counter(), Counter()
+    for *group, text in list(zip(langs, sources, texts, strict=True))[30:]:
+        words = [(*group, term.decode()) for term in divergence._terms(text)]
+        found[0].update(words)
+        found[1].update(set(words))
+    batch = [pa.array(list(column))[30:] for column in (langs, sources, texts)]
+    *keys, n, df = (column.to_pylist() for column in divergence._summed(*batch[:2], divergence._split(batch[2])))
+    keys = list(zip(*keys, strict=True))
+    assert len(set(keys)) == len(keys)
+    assert (dict(zip(keys, n, strict=True)), dict(zip(keys, df, strict=True))) == found
+
+
+def test_counts_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "_PIECE", 50)
+    data = list(texts())
+    assert told(spark.createDataFrame(data, SCHEMA), least_documents=3, top=4) == expected(data, 3, 4)

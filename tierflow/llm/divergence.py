@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,9 +44,9 @@ SCALE = 1_000_000_000
 # Groups on each side of a tile, and about how many terms it has.
 ROWS = 64
 COLUMNS = 2048
-# Counts that a task gathers before it hands them on.
-_GATHERED = 1 << 18
-# Bytes of a text that are split at once, up to the next blank.
+# Occurrences that a task gathers before it hands their counts on.
+_GATHERED = 1 << 20
+# Bytes of a text that are split at once, up to the next blank; longer texts are counted alone.
 _PIECE = 1 << 20
 # Nodes of the tree that are walked at once.
 _FRONT = 1 << 18
@@ -83,37 +84,67 @@ def _terms(text: bytes) -> Iterator[bytes]:
         begin = end
 
 
+def _split(texts: pa.BinaryArray) -> pa.ListArray:
+    """The terms of each text and empty ones around them. Folding leaves every byte in place, so
+    all texts are folded at once."""
+    _, offsets, data = texts.buffers()
+    folded = pa.py_buffer(data.to_pybytes().translate(_FOLD) if data else b"")
+    return pc.ascii_split_whitespace(pa.Array.from_buffers(pa.string(), len(texts), [None, offsets, folded], 0, texts.offset))
+
+
+def _summed(langs: pa.Array, sources: pa.Array, terms: pa.ListArray) -> list[pa.Array]:
+    """Groups and terms with their occurrences and the documents that hold them, by two sorts
+    of whole numbers: of (document, term), then of (group, term)."""
+    lang, source = langs.dictionary_encode(), sources.dictionary_encode()
+    held = len(source.dictionary)
+    group = lang.indices.to_numpy().astype(np.int64) * held + source.indices.to_numpy()
+    coded = terms.flatten().dictionary_encode()
+    width = max(len(coded.dictionary), 1)
+    doc = np.repeat(np.arange(len(terms), dtype=np.int64), pc.list_value_length(terms).to_numpy())
+    code = coded.indices.to_numpy()
+    if (empty := coded.dictionary.index("").as_py()) >= 0:
+        some = code != empty
+        doc, code = doc[some], code[some]
+    at, n = np.unique(doc * width + code, return_counts=True)
+    pair = group[at // width] * width + at % width
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    first = np.flatnonzero(np.diff(pair, prepend=-1))
+    n = np.add.reduceat(n[order], first) if len(first) else n
+    df = np.diff(first, append=len(pair))
+    of, term = pair[first] // width, pair[first] % width
+    return [lang.dictionary.take(pa.array(of // held)), source.dictionary.take(pa.array(of % held)), coded.dictionary.take(pa.array(term)), pa.array(n), pa.array(df)]
+
+
 def _counts(rows: DataFrame) -> DataFrame:
     """Occurrences of each term in each group, and documents that hold it."""
-    most = _GATHERED
+    most, piece = _GATHERED, _PIECE
+    names = ["lang", "source", "term", "n", "df"]
 
-    def flushed(found: dict[tuple[str, str], dict[bytes, list[int]]]) -> pa.RecordBatch:
-        flat = [(lang, source, term.decode(), *n) for (lang, source), terms in found.items() for term, n in terms.items()]
-        columns = list(zip(*flat, strict=True)) or [[]] * 5
-        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["lang", "source", "term", "n", "df"])
+    def alone(lang: str, source: str, text: bytes) -> pa.RecordBatch:
+        found: dict[bytes, int] = {}
+        for term in _terms(text):
+            found[term] = found.get(term, 0) + 1
+        of = [pa.array([value] * len(found), pa.string()) for value in (lang, source)]
+        terms = pa.array([term.decode() for term in found], pa.string())
+        return pa.RecordBatch.from_arrays([*of, terms, pa.array(found.values(), pa.int64()), pa.array([1] * len(found), pa.int64())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        gathered = 0
+        gathered: list[tuple[pa.Array, pa.Array, pa.ListArray]] = []
+        size = 0
         for batch in batches:
-            for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                terms = found.setdefault((lang, source), {})
-                gathered -= len(terms)
-                in_text: dict[bytes, int] = {}
-                for term in _terms(text):
-                    in_text[term] = in_text.get(term, 0) + 1
-                for term, n in in_text.items():
-                    if (seen := terms.get(term)) is None:
-                        terms[term] = [n, 1]
-                    else:
-                        seen[0] += n
-                        seen[1] += 1
-                gathered += len(terms)
-                if gathered >= most:
-                    yield flushed(found)
-                    found, gathered = {}, 0
-        yield flushed(found)
+            fits = pc.less_equal(pc.binary_length(batch.column(2)), piece)
+            for row in batch.filter(pc.invert(fits)).to_pylist():
+                yield alone(*row.values())
+            batch = batch.filter(fits)
+            terms = _split(batch.column(2))
+            gathered.append((batch.column(0), batch.column(1), terms))
+            size += len(terms.values)
+            if size >= most:
+                yield pa.RecordBatch.from_arrays(_summed(*map(pa.concat_arrays, zip(*gathered, strict=True))), names)
+                gathered, size = [], 0
+        if gathered:
+            yield pa.RecordBatch.from_arrays(_summed(*map(pa.concat_arrays, zip(*gathered, strict=True))), names)
 
     parts = rows.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, "lang string, source string, term string, n long, df long")
     return parts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
