@@ -31,3 +31,8 @@ def test_scratch_folder_without_the_setting():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(Session("yarn"), "x")
     assert "/tierflow/x-" in shared_dir(Session("local[8]"), "x")
+
+
+def test_partition_values_are_written_side_by_side(spark):
+    other = configure(spark.newSession())
+    assert int(other.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 31

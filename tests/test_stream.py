@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tierflow.sinks import append, put_load
 from tierflow.sources import event_stream, remembered_schema, snapshot
 from tierflow.streaming import drain, ingest_events
+from tierflow.workload import queries
 
 SCHEMA = "id bigint, time string, v int, artificial boolean"
 
@@ -228,3 +229,20 @@ def test_raw_files_in_the_folders_of_loads(spark, tmp_path):
     put_load(df, f"{t.root}/bronze", "20240102")
     t.drain()
     assert [r for r in t.rows() if r[0] is not None] == [(1, 1, D), (2, 2, D)]
+
+
+def test_loads_of_a_recovery_are_stored_by_many_tasks(spark, monkeypatch):
+    seen = []
+
+    def put(df, *place):
+        seen.append(df.rdd.getNumPartitions())
+        raise InterruptedError
+
+    monkeypatch.setattr(queries, "put_load", put)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        with pytest.raises(InterruptedError):
+            queries.stream_recovery(spark, "/root/testdata/sf0.001")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert seen[0] > 1

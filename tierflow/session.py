@@ -23,6 +23,8 @@ PREFERRED = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Files the rebalanced writers aim for.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Partition values that a task writes side by side. It sorts its rows for more of them only.
+    "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # Reduce tasks per core before adaptive execution merges the small ones.
