@@ -36,3 +36,21 @@ def test_scratch_folder_without_the_setting():
 def test_partition_values_are_written_side_by_side(spark):
     other = configure(spark.newSession())
     assert int(other.conf.get("spark.sql.maxConcurrentOutputFileWriters")) >= 31
+
+
+class Conf(dict):
+    """As much of a session's settings as configuring it depends on."""
+
+    set = dict.__setitem__
+
+    @property
+    def getAll(self):
+        return dict(self)
+
+
+def test_shuffles_of_a_cluster_are_cut_small():
+    session = Session("yarn")
+    session.conf, session.sparkContext.defaultParallelism = Conf({"spark.sql.shuffle.partitions": "36"}), 12
+    configure(session)
+    assert int(session.conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) >= 192
+    assert session.conf["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "32m"

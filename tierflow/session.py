@@ -21,14 +21,15 @@ PREFERRED = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Files the rebalanced writers aim for.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Shuffled bytes that a task takes and files the rebalanced writers aim for. Events with the name
+    # of their file take ten times as much in memory.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     # Partition values that a task writes side by side. It sorts its rows for more of them only.
     "spark.sql.maxConcurrentOutputFileWriters": "32",
 }
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # Reduce tasks per core before adaptive execution merges the small ones.
-WAVES = 3
+WAVES = 16
 
 
 def configure(spark: SparkSession) -> SparkSession:
