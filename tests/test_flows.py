@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+import threading
 import uuid
 from datetime import datetime, timezone
 from pathlib import Path
@@ -15,6 +16,7 @@ from tierflow.__main__ import main
 from tierflow.plans import bronze_to_silver, dimension_to_silver, events_to_silver, flows, source_to_bronze
 from tierflow.sinks import ConcurrentLoad, read_mark
 from tierflow.sources import Spec, in_catalog
+from tierflow.workload import queries
 
 UTC = timezone.utc
 
@@ -235,3 +237,15 @@ def test_launcher(spark, spec, tmp_path):
     assert [r["id"] for r in in_catalog(spark, spec.db, "readings").collect()] == [1]
     with pytest.raises(SystemExit):
         main(["bronze", "--ingest", "readings", "--conf", str(conf), "--start", "2024-01-01"])
+
+
+def test_ingests_of_all_jobs_run_side_by_side(spark, monkeypatch):
+    both = threading.Barrier(2, timeout=30)
+
+    def load(*_, **__):
+        both.wait()
+        raise InterruptedError
+
+    monkeypatch.setattr(queries.flows, "source_to_bronze", load)
+    with pytest.raises(InterruptedError):
+        queries.source_to_gold(spark, "/root/testdata/sf0.001")
