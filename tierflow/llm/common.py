@@ -72,12 +72,14 @@ def texts_of(batch: pa.RecordBatch, name: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, made: list[str] | None = None) -> DataFrame:
     """`df` written to the shared folder and read again: lineage is cut, and lost
-    executors cost a read only."""
+    executors cost a read only. Its path is added to `made`, for when it has been used."""
     spark = bounded(df.sparkSession)
     path = shared_dir(spark, label)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

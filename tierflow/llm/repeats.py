@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierflow.llm.common import bounded, stored
+from tierflow.store import remove
 
 WINDOW = 200
 # Bytes that choose an anchor.
@@ -81,15 +82,24 @@ def cut_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", window:
 def repeated_spans(rows: DataFrame, window: int) -> DataFrame:
     """`d1`, `d2` and `locs`, the packed places of marked cells, of every text that has some."""
     widths = _widths(window)
-    cells = stored(_cells(rows, window, widths[0], _sieve(_repeated_digits(rows, window), "c")), "repeats-cells")
-    marked, live = _decide(cells)
-    marks = [marked]
-    for width in widths[1:]:
-        lists = stored(_by_text(live), "repeats-live")
-        cells = stored(_finer(rows, lists, window, width), "repeats-cells")
-        marked, live = _decide(cells)
-        marks.append(marked)
-    return stored(_by_text(reduce(DataFrame.unionByName, marks)), "repeats-marks")
+    found = _cells(rows, window, widths[0], _sieve(_repeated_digits(rows, window), "c"))
+    marks, lists, used = [], None, []
+    for i, width in enumerate(widths):
+        made: list[str] = []
+        marked, live = _decide(found if lists is None else _finer(rows, lists, window, width), made)
+        marks.append(stored(marked, "repeats-marked", used))
+        if i + 1 < len(widths):
+            lists = stored(_by_text(live), "repeats-live", used)
+        # Nothing reads a pass's cells after it; they are most of what would lie on the disk.
+        _remove(rows, made)
+    found = stored(_by_text(reduce(DataFrame.unionByName, marks)), "repeats-marks")
+    _remove(rows, used)
+    return found
+
+
+def _remove(rows: DataFrame, paths: Sequence[str]) -> None:
+    for path in paths:
+        remove(rows.sparkSession, path)
 
 
 def _widths(window: int) -> list[int]:
@@ -103,14 +113,17 @@ def _core(window: int) -> int:
     return max(_GRAM, window // 3)
 
 
-def _decide(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Cells whose form repeats, and a cell of each form of the digits that have several."""
+def _decide(cells: DataFrame, made: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Cells whose form repeats, and a cell of each form of the digits that have several. `made`
+    gets the paths of the tables that both are read from."""
     form = ["c", "u1", "u2"]
+    cells = stored(cells, "repeats-cells", made)
     counted = cells.groupBy(*form).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d1", "d2", "loc")).alias("at"))
-    forms = stored(counted, "repeats-forms")
-    marked = cells.join(forms.filter("n > 1").select(form), form).select("d1", "d2", "loc")
+    forms = stored(counted, "repeats-forms", made)
+    # Equal forms have equal digits, which need not be shuffled.
+    marked = cells.select(*form[1:], "d1", "d2", "loc").join(forms.filter("n > 1").select(form[1:]), form[1:]).select("d1", "d2", "loc")
     several = forms.groupBy("c").agg(F.count(F.lit(1)).alias("forms")).filter("forms > 1").select("c")
-    return marked, forms.join(stored(several, "repeats-digits"), "c").select("at.*")
+    return marked, forms.join(stored(several, "repeats-digits", made), "c").select("at.*")
 
 
 def _by_text(places: DataFrame) -> DataFrame:
