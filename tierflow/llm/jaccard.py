@@ -39,11 +39,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierflow.llm.common import small_side, stored, texts_of
+from tierflow.llm.common import small_side, stored
 from tierflow.llm.components import components
 
 WORDS = 5
@@ -136,22 +137,54 @@ def _result(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFr
 # --- shingles ------------------------------------------------------------
 
 
-def shingle_set(text: str | None, words: int) -> tuple[int, np.ndarray]:
-    """A hash of the text's words, and the sorted hashes of its distinct shingles."""
-    # bytes.lower and bytes.split know ASCII only, which is what is asked for.
-    found = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not found:
-        return 0, np.zeros(0, np.int64)
-    fp = xxhash.xxh3_64_intdigest(b" ".join(found))
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
-    width = min(words, len(found))
-    mixed = np.full(len(found) - width + 1, width, np.uint64)
-    for i in range(width):
-        mixed = mixed * _MULTIPLIER + hashes[i : len(hashes) - width + 1 + i]
+def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text a hash of its words and the size of its set; and the sets, one after
+    another: the sorted hashes of a text's distinct shingles. A batch is taken as a whole, as
+    steps for each text or word cost more than the hashing."""
+    # These know ASCII only, which is what is asked for.
+    trimmed = pc.ascii_trim_whitespace(pc.ascii_lower(texts))
+    found = pc.ascii_split_whitespace(pc.if_else(pc.equal(trimmed, ""), None, trimmed))
+    joined = pc.binary_join(found, pa.scalar(" ", trimmed.type)).cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    fps = np.array([0 if t is None else xxhash.xxh3_64_intdigest(t) for t in joined], np.uint64).view(np.int64)
+    flat = found.flatten().dictionary_encode()
+    distinct = flat.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, distinct), np.uint64, len(distinct))[flat.indices.to_numpy()]
+
+    counts = pc.fill_null(pc.list_value_length(found), 0).to_numpy().astype(np.int64)
+    widths = np.minimum(counts, words)
+    shingles = np.where(counts > 0, counts - widths + 1, 0)
+    text = np.repeat(np.arange(len(counts)), shingles)
+    ends = np.cumsum(shingles)
+    starts = np.arange(len(text)) + (np.cumsum(counts) - counts - ends + shingles)[text]
+    mixed = np.empty(len(text), np.uint64)
+    for width in np.unique(widths[counts > 0]).tolist():
+        here = widths[text] == width
+        value = np.full(len(hashes) - width + 1, width, np.uint64)
+        for i in range(width):
+            value = value * _MULTIPLIER + hashes[i : len(hashes) - width + 1 + i]
+        mixed[here] = value[starts[here]]
     mixed ^= mixed >> np.uint64(31)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
-    return fp - (1 << 64) if fp >= 1 << 63 else fp, np.unique(mixed.view(np.int64))
+    ordered = mixed.view(np.int64)
+    for begin, end in zip((ends - shingles).tolist(), ends.tolist(), strict=True):
+        ordered[begin:end].sort()
+    first = np.ones(len(text), bool)
+    first[1:] = (ordered[1:] != ordered[:-1]) | (text[1:] != text[:-1])
+    return fps, np.bincount(text[first], minlength=len(counts)), ordered[first]
+
+
+def _ranks(known: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """The place of each shingle in the sorted array `known`; -1 if it is not there. Costs a
+    search for each shingle however long `known` is; `np.isin` sorts it anew in each call."""
+    if not len(known):
+        return np.full(len(shingles), -1)
+    at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+    return np.where(known[at] == shingles, at, -1)
+
+
+def _lists(sizes: np.ndarray, flat: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
 
 
 def _hot(rows: DataFrame, words: int) -> dict[int, int]:
@@ -159,15 +192,8 @@ def _hot(rows: DataFrame, words: int) -> dict[int, int]:
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(t, words) for t in texts_of(batch, "text")]
-            sizes = [len(s) for _, s in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(np.array([fp for fp, _ in found], np.int64), sizes)),
-                    pa.array(np.concatenate([np.zeros(0, np.int64), *[s for _, s in found]])),
-                ],
-                names=["fp", "h"],
-            )
+            fps, sizes, found = shingle_sets(batch.column("text"), words)
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(fps, sizes)), pa.array(found)], names=["fp", "h"])
 
     some = rows.filter(F.pmod("raw", F.lit(SAMPLE)) == 0).select("text")
     counts = some.mapInArrow(emit, "fp long, h long").distinct().groupBy("h").count().filter(F.col("count") >= HOT_TEXTS)
@@ -186,31 +212,29 @@ def _members(rows: DataFrame, words: int, num: int, den: int, hot: dict[int, int
         young: set[int] = set()
         old: set[int] = set()
         for batch in batches:
-            fps, sizes, hots, leads, zones = [], [], [], [], []
-            for text in texts_of(batch, "text"):
-                fp, found = shingle_set(text, words)
-                n = len(found)
-                zone = found[: min(n, n - -(-n * num // den) + max(1, int(n * EXTRA)))]
-                frequent = np.isin(zone, known) if len(known) else np.zeros(len(zone), bool)
-                fps.append(fp)
-                sizes.append(n)
-                hots.append(int(frequent.sum()))
+            fps, sizes, found = shingle_sets(batch.column("text"), words)
+            leads = []
+            for fp in fps.tolist():
                 leads.append(fp not in young and fp not in old)
-                zones.append(zone[~frequent] if leads[-1] else zone[:0])
                 young.add(fp)
                 if len(young) > REMEMBERED:
                     young, old = set(), young
-            offsets = np.cumsum([0, *map(len, zones)]).astype(np.int32)
-            flat = pa.array(np.concatenate([np.zeros(0, np.int64), *zones]))
+            text = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(found)) - (np.cumsum(sizes) - sizes)[text]
+            zone = np.minimum(sizes, sizes - -(-sizes * num // den) + np.maximum(1, (sizes * EXTRA).astype(np.int64)))
+            inside = place < zone[text]
+            text, found = text[inside], found[inside]
+            frequent = _ranks(known, found) >= 0
+            sent = ~frequent & np.array(leads, bool)[text]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array(fps, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(hots, pa.int64()),
+                    pa.array(fps),
+                    pa.array(sizes),
+                    pa.array(np.bincount(text[frequent], minlength=len(sizes))),
                     pa.array(leads, pa.bool_()),
-                    pa.ListArray.from_arrays(pa.array(offsets), flat),
+                    _lists(np.bincount(text[sent], minlength=len(sizes)), found[sent]),
                 ],
                 names=["id", "raw", "fp", "n", "n_hot", "lead", "zone"],
             )
@@ -253,20 +277,20 @@ def _sets(rows: DataFrame, alive: DataFrame, words: int, hot: dict[int, int]) ->
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_set(t, words) for t in texts_of(batch, "text")]
-            offsets = np.cumsum([0, *[len(s) for _, s in found]]).astype(np.int32)
-            flat = np.concatenate([np.zeros(0, np.int64), *[s for _, s in found]])
-            frequent = [s[np.isin(s, known)] for _, s in found]
+            fps, sizes, found = shingle_sets(batch.column("text"), words)
+            ranks = _ranks(known, found)
+            at = np.flatnonzero(ranks >= 0)
+            text = np.repeat(np.arange(len(sizes)), sizes)[at]
             # Sorted already by value, so equal counts stay in that order.
-            ranked = [f[np.argsort(texts_with[np.searchsorted(known, f)], kind="stable")] if len(f) else f for f in frequent]
-            odd = [np.bincount(s & (PARTS - 1), minlength=PARTS) & 1 for _, s in found]
+            ranked = found[at[np.lexsort((texts_with[ranks[at]], text))]]
+            odd = [np.bincount(s & (PARTS - 1), minlength=PARTS) & 1 for s in np.split(found, np.cumsum(sizes)[:-1])]
             parts = [np.packbits(o.astype(np.uint8)).view(np.int64) for o in odd]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([fp for fp, _ in found], pa.int64()),
-                    pa.array([len(s) for _, s in found], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                    pa.array(ranked, pa.list_(pa.int64())),
+                    pa.array(fps),
+                    pa.array(sizes),
+                    _lists(sizes, found),
+                    _lists(np.bincount(text, minlength=len(sizes)), ranked),
                     pa.array(parts, pa.list_(pa.int64())),
                 ],
                 names=["fp", "n", "tokens", "hot", "parts"],
