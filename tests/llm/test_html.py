@@ -98,6 +98,11 @@ def test_no_two_cells_take_one_place(rows):
     assert [w for line in html_text._aligned(rows) for w in line.replace("|", " ").split()] == words(rows)
 
 
+def test_a_wide_cell_frees_no_column_of_a_cell_that_hangs_down_further():
+    rows = [[("a", 1, 1), ("b", 1, 4)], [("c", 2, 2)], [], [("d", 1, 1), ("e", 1, 1)]]
+    assert [[at for at, _, _ in row] for row in html_text._placed(rows)] == [[0, 1], [0], [], [0, 2]]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="<>/!-=\"' abp\n&;", max_size=60))
 def test_any_text_is_read_to_its_end(source):

@@ -525,7 +525,8 @@ def _placed(rows: list[list[tuple[str, int, int]]]) -> list[list[tuple[int, int,
                 column += 1
             cells.append((column, wide, text))
             if high > 1:
-                held |= dict.fromkeys(range(column, min(column + wide, SPANNED)), r + high)
+                # A wide cell may run into one that hangs down further.
+                held |= {c: max(held.get(c, 0), r + high) for c in range(column, min(column + wide, SPANNED))}
             column += wide
         out.append(cells)
     return out
